@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
@@ -39,9 +41,12 @@ def latest(df: DataFrame, keys: list[str], version: list[str]) -> DataFrame:
     return picked.select(*df.columns)
 
 
+def has_null_key(keys: list[str]) -> Column:
+    """True for rows a keyed table cannot take."""
+    return reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
+
+
 def split_null_keys(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows a keyed table can take, and rows with a null in the key."""
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
+    missing = has_null_key(keys)
     return df.filter(~missing), df.filter(missing)

@@ -64,9 +64,18 @@ def file_totals(chunks: DataFrame, files: list[str] | None = None) -> DataFrame:
     )
 
 
-def stored_points(chunks: DataFrame) -> DataFrame:
-    """Rows of the points table: stable ids, missing numbers as zero."""
-    flat = unchunk(chunks)
+def in_chunks(points: DataFrame, position: str = "point_index", size: int = CHUNK_POINTS) -> DataFrame:
+    """Chunk number and place in the chunk of single points, without building the chunks."""
+    return points.withColumns(
+        {
+            "chunk_number": F.floor(F.col(position) / size).cast("int"),
+            "point_position": (F.col(position) % size).cast("int"),
+        }
+    )
+
+
+def stored_points(flat: DataFrame) -> DataFrame:
+    """Rows of the points table from unchunked or numbered points: stable ids, missing numbers as zero."""
     file = file_id(F.col("tenant_id"), F.col("file_name"))
 
     def number(name: str, kind: str):

@@ -25,7 +25,7 @@ from gaugeloft.plans.tables import LINE_ORDER, completions, point_chunks, points
 from gaugeloft.session import fresh_dir, settle
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.files import export_points_csv
-from gaugeloft.sources.las import describe_las, read_las, watch_las
+from gaugeloft.sources.las import chunks_of, describe_las, list_las, read_las, watch_las
 from gaugeloft.sources.topics import CHUNK_TOPIC, COMPLETION_TOPIC, as_envelope, chunk_messages, completion_messages, peek_chunks, read_topic
 from gaugeloft.streaming.pipelines import run_chunk_topics, run_las
 
@@ -73,7 +73,7 @@ def totals_per_file(spark, sf_dir):
 def points_table(spark, sf_dir):
     """Chunks stored twice, as after a replay; the ids make both writes the same rows."""
     root = fresh_dir(spark, "points")
-    rows = stored_points(settle(point_chunks(spark, sf_dir)))
+    rows = stored_points(unchunk(settle(point_chunks(spark, sf_dir))))
     keyed.upsert_points(rows, root, 0)
     keyed.upsert_points(rows, root, 1)
     return keyed.read_points(spark, root)
@@ -171,6 +171,17 @@ def las_core_points(spark, sf_dir):
     return core.select("tenant_id", "file_name", "point_index", *[F.col(c).cast("bigint").alias(c) for c in CORE_DIMENSIONS])
 
 
+def las_chunks(spark, sf_dir):
+    chunks = chunks_of(list_las(spark, staged_las(spark, sf_dir), recursive=True), split_bytes=100_000)
+    return chunks.select(
+        "tenant_id",
+        "file_name",
+        F.col("chunk_number").cast("bigint").alias("chunk_number"),
+        F.size("points").cast("bigint").alias("points"),
+        F.aggregate("points", F.lit(0).cast("bigint"), lambda total, p: total + p["X"]).alias("sum_x"),
+    )
+
+
 def las_first_points(spark, sf_dir):
     scanned = read_las(spark, staged_las(spark, sf_dir), ["file_name", "point_index", "X"], recursive=True)
     kept = first_points(scanned, EXPORT_WANTED, "point_index", EXPORT_CHUNK)
@@ -297,6 +308,11 @@ QUERIES = {
         las_core_points,
         f"""SELECT tenant_id, file_name, point_index, "X", "Y", "Z", intensity, classification, point_source_id FROM ({SQL_LAS})""",
     ),
+    "las_chunks": (
+        las_chunks,
+        f"""SELECT tenant_id, file_name, point_index // 10000 AS chunk_number, count(*) AS points, sum("X")::BIGINT AS sum_x
+            FROM ({SQL_LAS}) GROUP BY ALL""",
+    ),
     "las_first_points": (
         las_first_points,
         f"""SELECT file_name, count(*) AS points, sum("X")::BIGINT AS sum_x FROM ({SQL_LAS})

@@ -10,9 +10,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloft.operators.latest import latest, split_null_keys
+from gaugeloft.operators.latest import has_null_key, latest
 
 VERSION = "batch_id"
+REJECTED = "rejected"
 
 SILVER_KEYS = ["vm_id", "window_start"]
 GOLD_KEYS = ["vm_id"]
@@ -29,21 +30,24 @@ def write_version(
     partition_by: list[str] | None = None,
     sort_by: list[str | Column] | None = None,
 ) -> None:
-    """Stores one version. Rows with a null in the key go to the quarantine folder next to it.
+    """Stores one version in a single pass. Rows with a null in the key go to a folder of their own.
 
     Partition folders are filled through a rebalance, which splits a large tenant or day over
     several tasks and packs small ones together.
     """
-    good, bad = split_null_keys(df, keys)
+    folders = [REJECTED, *(partition_by or [])]
+    marked = df.withColumn(REJECTED, has_null_key(keys).cast("int"))
     if partition_by:
-        good = good.hint("rebalance", *partition_by)
+        marked = marked.hint("rebalance", *partition_by)
     if sort_by:
-        good = good.sortWithinPartitions(*(partition_by or []), *sort_by)
-    writer = good.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{root}/versions/{VERSION}={version}")
-    bad.write.mode("overwrite").parquet(f"{root}/quarantine/{VERSION}={version}")
+        marked = marked.sortWithinPartitions(*folders, *sort_by)
+    marked.write.mode("overwrite").partitionBy(*folders).parquet(f"{root}/versions/{VERSION}={version}")
+
+
+def _stored(spark: SparkSession, root: str, rejected: int) -> DataFrame:
+    stored = spark.read.option("basePath", f"{root}/versions").parquet(f"{root}/versions")
+    chosen = stored.filter(F.col(REJECTED) == rejected).drop(REJECTED)
+    return chosen.withColumn(VERSION, F.col(VERSION).cast("bigint"))
 
 
 def _newest_snapshot(spark: SparkSession, root: str) -> int | None:
@@ -57,8 +61,7 @@ def _newest_snapshot(spark: SparkSession, root: str) -> int | None:
 
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
     """All stored rows that can still matter: the newest snapshot and the versions after it."""
-    versions = spark.read.option("basePath", f"{root}/versions").parquet(f"{root}/versions")
-    versions = versions.withColumn(VERSION, F.col(VERSION).cast("bigint"))
+    versions = _stored(spark, root, rejected=0)
     upto = _newest_snapshot(spark, root)
     if upto is None:
         return versions
@@ -72,7 +75,8 @@ def read_latest(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.option("basePath", f"{root}/quarantine").parquet(f"{root}/quarantine")
+    """Rows that could not be stored because a key was null."""
+    return _stored(spark, root, rejected=1)
 
 
 def compact(spark: SparkSession, root: str, keys: list[str], partition_by: list[str] | None = None) -> int:

@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
 from gaugeloft.functions.naming import DEFAULT_TENANT
-from gaugeloft.operators.points import CORE_DIMENSIONS
+from gaugeloft.operators.points import CHUNK_POINTS, CORE_DIMENSIONS
 from gaugeloft.sources import las_records
 
 # Fixed value: file names taken, upper or lower case.
@@ -184,13 +184,16 @@ def _glob_of(dirs: list[str]) -> str:
     return f"{parents.pop()}/{{{','.join(posixpath.basename(d.rstrip('/')) for d in dirs)}}}"
 
 
+def _splits(files: DataFrame, split_bytes: int) -> DataFrame:
+    """One row per byte range of each file, spread over the tasks."""
+    last = F.floor(F.greatest(F.col("length") - 1, F.lit(0)) / split_bytes)
+    numbered = files.select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("split"))
+    return numbered.select("path", (F.col("split") * split_bytes).alias("start")).repartition("path", "start")
+
+
 def points_of(files: DataFrame, columns: list[str] | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Points of a table or stream of files with ``path`` and ``length``, split by bytes like the source."""
     columns = columns or [*PLACES, *CORE_DIMENSIONS]
-    last = F.floor(F.greatest(F.col("length") - 1, F.lit(0)) / split_bytes)
-    splits = files.select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("split")).select(
-        "path", (F.col("split") * split_bytes).alias("start")
-    )
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,4 +201,30 @@ def points_of(files: DataFrame, columns: list[str] | None = None, split_bytes: i
                 path, start = row["path"], row["start"]
                 yield from las_records.read_range(path, start, start + split_bytes, columns, labels_of(path))
 
-    return splits.repartition("path", "start").mapInArrow(decode, spark_schema(columns))
+    return _splits(files, split_bytes).mapInArrow(decode, spark_schema(columns))
+
+
+def chunks_of(
+    files: DataFrame, size: int = CHUNK_POINTS, dimensions: list[str] | None = None, split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
+    """Chunk rows of a table or stream of files: tenant, file, chunk number and an array of points.
+
+    A task reads the chunks that begin in its byte range to their end, so points are not shuffled.
+    """
+    dimensions = dimensions or CORE_DIMENSIONS
+    point = spark_schema(dimensions).simpleString()
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                path, start = row["path"], row["start"]
+                yield from las_records.read_chunks(path, start, start + split_bytes, dimensions, labels_of(path), size)
+
+    schema = f"tenant_id string, file_name string, chunk_number int, points array<{point}>"
+    return _splits(files, split_bytes).mapInArrow(decode, schema)
+
+
+def list_las(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """Table of the LAS files below a path with ``path``, ``modificationTime`` and ``length``."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", GLOB).option("recursiveFileLookup", recursive)
+    return reader.load(path).select("path", "modificationTime", "length")

@@ -196,10 +196,11 @@ def _column(name: str, data: np.ndarray, header: Header) -> pa.Array:
     return pa.nulls(len(data), kind)
 
 
-def read_range(path: str, start: int, end: int, columns: list[str], labels: dict[str, str]) -> Iterator[pa.RecordBatch]:
-    """The points whose first byte lies in ``[start, end)``, so that ranges of a file never share a point.
+def _batches(path: str, start: int, end: int, columns: list[str], labels: dict[str, str], step: int, aligned: bool) -> Iterator[tuple[int, list[pa.Array]]]:
+    """Position of the first point, and the columns, of up to ``step`` points at a time.
 
-    ``labels`` are text columns with one value for the whole file.
+    A range covers the points whose first byte lies in ``[start, end)``; ``aligned`` ranges begin
+    and end at multiples of ``step``. Neighbouring ranges never share a point or leave one out.
     """
     system, local = filesystem_of(path)
     with system.open_input_file(local) as handle:
@@ -208,11 +209,12 @@ def read_range(path: str, start: int, end: int, columns: list[str], labels: dict
 
         def first_from(byte: int) -> int:
             ahead = max(0, byte - header.data_start)
-            return min(header.points, -(-ahead // header.record_bytes))
+            point = -(-ahead // header.record_bytes)
+            return min(header.points, -(-point // step) * step if aligned else point)
 
         at, stop = first_from(start), first_from(end)
         while at < stop:
-            count = min(BATCH_POINTS, stop - at)
+            count = min(step, stop - at)
             handle.seek(header.data_start + at * header.record_bytes)
             data = np.frombuffer(handle.read(count * header.record_bytes), dtype=dtype, count=count)
             arrays = []
@@ -225,5 +227,25 @@ def read_range(path: str, start: int, end: int, columns: list[str], labels: dict
                     arrays.append(pa.array(np.full(count, header.point_format, dtype=np.int32)))
                 else:
                     arrays.append(_column(name, data, header))
-            yield pa.RecordBatch.from_arrays(arrays, names=columns)
+            yield at, arrays
             at += count
+
+
+def read_range(path: str, start: int, end: int, columns: list[str], labels: dict[str, str]) -> Iterator[pa.RecordBatch]:
+    """One row per point. ``labels`` are text columns with one value for the whole file."""
+    for _, arrays in _batches(path, start, end, columns, labels, BATCH_POINTS, aligned=False):
+        yield pa.RecordBatch.from_arrays(arrays, names=columns)
+
+
+def read_chunks(path: str, start: int, end: int, columns: list[str], labels: dict[str, str], size: int) -> Iterator[pa.RecordBatch]:
+    """One row per chunk of ``size`` points: the labels, the chunk number and the points as an array."""
+    for at, arrays in _batches(path, start, end, columns, labels, size, aligned=True):
+        points = pa.StructArray.from_arrays(arrays, names=columns)
+        yield pa.RecordBatch.from_arrays(
+            [
+                *[pa.array([v], pa.string()) for v in labels.values()],
+                pa.array([at // size], pa.int32()),
+                pa.ListArray.from_arrays(pa.array([0, len(points)], pa.int32()), points),
+            ],
+            names=[*labels, "chunk_number", "points"],
+        )

@@ -63,6 +63,7 @@ class MetricsListener(StreamingQueryListener):
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self.last_batch: int | None = None
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -70,6 +71,7 @@ class MetricsListener(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         row = self.spark.createDataFrame([batch_metrics(event.progress)], METRICS_SCHEMA)
         row.coalesce(1).write.mode("append").json(self.path)
+        self.last_batch = event.progress.batchId
 
     def onQueryIdle(self, event) -> None:
         pass

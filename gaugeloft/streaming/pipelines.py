@@ -12,12 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeloft.functions.convert import to_message
 from gaugeloft.operators import gold as gold_ops
 from gaugeloft.operators.latest import latest
-from gaugeloft.operators.points import chunk, file_stats, stored_points
+from gaugeloft.operators.points import CHUNK_POINTS, file_stats, in_chunks, stored_points, unchunk
 from gaugeloft.operators.quality import stop_on_drift
-from gaugeloft.operators.silver import alert_rate, row_alerts, silver_text
+from gaugeloft.operators.silver import WATERMARK, alert_rate, row_alerts, silver_text
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.messages import fan_out, write_messages
-from gaugeloft.sources.las import PLACES, points_of
+from gaugeloft.sources.las import points_of
 from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, GOLD_TOPIC, SILVER_TOPIC, as_envelope
 
 
@@ -72,9 +72,11 @@ def run_alerts(readings: DataFrame, path: str, checkpoint: str, bounded: bool =
     return _start(row_alerts(readings, threshold=threshold), stored_topic(path, ALERT_TOPIC), checkpoint, "append", bounded, None)
 
 
-def run_critical(readings: DataFrame, path: str, checkpoint: str, window: str, limit: float, bounded: bool = False) -> StreamingQuery:
+def run_critical(
+    readings: DataFrame, path: str, checkpoint: str, window: str, limit: float, bounded: bool = False, watermark: str = WATERMARK
+) -> StreamingQuery:
     """An event for every window whose alert rate exceeds the limit."""
-    critical = alert_rate(readings, window, limit)
+    critical = alert_rate(readings, window, limit, watermark=watermark)
     sink = stored_topic(path, CRITICAL_TOPIC, key="window_start")
     return _start(critical, lambda df, n: sink(df.filter("is_critical"), n), checkpoint, "update", bounded, None)
 
@@ -111,15 +113,14 @@ def silver_then_gold(silver: DataFrame, silver_root: str, gold_root: str, checkp
     run_gold(keyed.read_silver(silver.sparkSession, silver_root), gold_root, run)
 
 
-def run_las(files: DataFrame, root: str, checkpoint: str, chunk_points: int = 10_000, bounded: bool = False) -> StreamingQuery:
-    """Arriving LAS files to the points table, through chunks, so that ids match those of chunk messages."""
+def run_las(files: DataFrame, root: str, checkpoint: str, chunk_points: int = CHUNK_POINTS, bounded: bool = False) -> StreamingQuery:
+    """Arriving LAS files to the points table, with the ids their chunk messages would give."""
+    rows = stored_points(in_chunks(points_of(files), size=chunk_points))
 
     def each(batch: DataFrame, number: int) -> None:
-        points = points_of(batch)
-        chunks = chunk(points.drop("point_format_id"), PLACES[:2], "point_index", chunk_points)
-        keyed.upsert_points(stored_points(chunks), root, number)
+        keyed.upsert_points(batch, root, number)
 
-    return _start(files, each, checkpoint, "append", bounded, None)
+    return _start(rows, each, checkpoint, "append", bounded, None)
 
 
 def run_chunk_topics(
@@ -128,7 +129,7 @@ def run_chunk_topics(
     """Chunk and completion messages side by side, each with its own query and checkpoint."""
 
     def each_chunk(batch: DataFrame, number: int) -> None:
-        keyed.upsert_points(stored_points(batch), points_root, number)
+        keyed.upsert_points(stored_points(unchunk(batch)), points_root, number)
 
     def each_completion(batch: DataFrame, number: int) -> None:
         last = latest(batch.filter(F.col("status") == "completed"), ["tenant_id", "file_name"], ["offset"])
