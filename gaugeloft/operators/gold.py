@@ -38,7 +38,14 @@ def in_range(silver: DataFrame, start: datetime | None, end: datetime | None) ->
     """Windows wholly inside the range, both ends included; no range keeps everything."""
     if start is None or end is None:
         return silver
-    return silver.filter((F.col("window_start") >= F.lit(start)) & (F.col("window_end") <= F.lit(end)))
+    return _on_days(silver, start, end).filter((F.col("window_start") >= F.lit(start)) & (F.col("window_end") <= F.lit(end)))
+
+
+def _on_days(silver: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Only the day folders a range of window starts touches, where the table has them."""
+    if "date" not in silver.columns:
+        return silver
+    return silver.filter(F.col("date").between(F.lit(start.date()), F.lit(end.date())))
 
 
 def overload(
@@ -93,7 +100,7 @@ def windows_of(silver: DataFrame, vm_id, start: datetime | None = None, end: dat
     """Windows of one VM, optionally those starting within a range, both ends included."""
     mine = silver.filter(F.col("vm_id") == F.lit(vm_id))
     if start is not None and end is not None:
-        mine = mine.filter(F.col("window_start").between(F.lit(start), F.lit(end)))
+        mine = _on_days(mine, start, end).filter(F.col("window_start").between(F.lit(start), F.lit(end)))
     return mine
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloft.functions.naming import file_id, point_id
+from gaugeloft.operators.latest import latest
 
 # Points per chunk, rows per export chunk, dimensions sent and exported.
 CHUNK_POINTS = 10_000
@@ -123,6 +124,15 @@ def long_measurements(points: DataFrame, keep: list[str] | None = None) -> DataF
     return single.unpivot(["lidar_id", "depth", *keep], ["x", "y"], "measurement_type", "value")
 
 
+def latest_measurements(points: DataFrame, order: list[str]) -> DataFrame:
+    """The long rows that remain when later points overwrite earlier ones of the same depth.
+
+    x and y of a point are written together, so points are reduced first and unpivoted after.
+    """
+    single = points.select("lidar_id", F.col("z").cast("float").alias("z"), F.col("x").cast("float"), F.col("y").cast("float"), *order)
+    return long_measurements(latest(single, ["lidar_id", "z"], order))
+
+
 def first_points(points: DataFrame, wanted: int | None, position: str, size: int = EXPORT_CHUNK_POINTS) -> DataFrame:
     """The leading points of a file, rounded up to whole chunks; none wanted means all."""
     if not wanted:

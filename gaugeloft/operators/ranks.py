@@ -1,8 +1,10 @@
-"""Positions and running totals within a group, without putting a group into one task."""
+"""Positions and percentiles within a group, without putting a group into one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from gaugeloft.operators.joins import join_small
 from gaugeloft.session import settle
 
 SLOT, PART, FIRST, OFFSET = "_slot", "_part", "_first", "_offset"
+WEIGHT, SIZE, COUNT = "_weight", "_size", "_n"
 
 
 def _placed(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
@@ -22,53 +25,55 @@ def _placed(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     return settle(ranged.withColumn(SLOT, F.monotonically_increasing_id())).withColumn(PART, F.shiftright(SLOT, 33))
 
 
-def _offsets(placed: DataFrame, group: list[str], weight) -> DataFrame:
-    """Total weight of a group in earlier partitions; one row per group and partition it touches."""
-    per_part = placed.groupBy(*group, PART).agg(weight.alias("_weight"), F.min(SLOT).alias(FIRST))
-    earlier = W.partitionBy(*group).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
-    total = F.coalesce(F.sum("_weight").over(earlier), F.lit(0).cast("bigint"))
-    return per_part.withColumn(OFFSET, total).drop("_weight")
+def _shares(placed: DataFrame, group: list[str], weight: Column) -> DataFrame:
+    """Per group and partition it touches: its weight there, before it, and in all partitions.
+
+    The windows run over one row per partition, not over the rows of the group.
+    """
+    per_part = placed.groupBy(*group, PART).agg(weight.alias(WEIGHT), F.min(SLOT).alias(FIRST))
+    whole = W.partitionBy(*group)
+    earlier = whole.orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(WEIGHT).over(earlier), F.lit(0).cast("bigint"))
+    return per_part.withColumns({OFFSET: before, SIZE: F.sum(WEIGHT).over(whole)})
 
 
 def dense_position(df: DataFrame, group: list[str], order: list[str], name: str = "position") -> DataFrame:
     """Numbers the rows of each group 0, 1, 2, … in the given order."""
     placed = _placed(df, group, order)
-    offsets = settle(_offsets(placed, group, F.count("*")))
-    joined = join_small(placed, offsets, [*group, PART])
+    shares = settle(_shares(placed, group, F.count("*")).drop(WEIGHT, SIZE))
+    joined = join_small(placed, shares, [*group, PART])
     return joined.withColumn(name, F.col(OFFSET) + F.col(SLOT) - F.col(FIRST)).drop(SLOT, PART, FIRST, OFFSET)
 
 
-def total_before(df: DataFrame, group: list[str], order: list[str], weight: str, name: str) -> DataFrame:
-    """Adds up a whole-number weight over the earlier rows of each group."""
-    placed = _placed(df, group, order)
-    offsets = settle(_offsets(placed, group, F.sum(weight)))
-    joined = join_small(placed, offsets, [*group, PART])
-    earlier = W.partitionBy(PART, *group).orderBy(SLOT).rowsBetween(W.unboundedPreceding, -1)
-    within = F.coalesce(F.sum(weight).over(earlier), F.lit(0).cast("bigint"))
-    return joined.withColumn(name, F.col(OFFSET) + within).drop(SLOT, PART, FIRST, OFFSET)
-
-
 def exact_percentiles(df: DataFrame, group: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
     """Interpolated percentiles per group, one column per entry of ``fractions``.
 
-    Equal values are counted before the shuffle, the counts are put in order across partitions,
-    and only the two values around each wanted rank are kept. NaN and null are left out.
+    Equal values are counted before the shuffle and put in order across partitions. The totals per
+    partition tell which partitions hold the wanted ranks, and only those are looked at again.
+    NaN and null are left out.
     """
     clean = df.filter(F.col(value).isNotNull() & ~F.isnan(value))
-    counts = clean.groupBy(*group, value).agg(F.count("*").alias("_n"))
-    ranked = total_before(counts, group, [value], "_n", "_before")
-    sizes = settle(ranked.groupBy(*group).agg(F.sum("_n").alias("_size")))
-    ranked = join_small(ranked, sizes, group)
+    placed = _placed(clean.groupBy(*group, value).agg(F.count("*").alias(COUNT)), group, [value])
+    shares = _shares(placed, group, F.sum(COUNT))
+
+    def ranks(fraction: float) -> tuple[Column, Column, Column]:
+        wanted = (F.col(SIZE) - 1) * F.lit(float(fraction))
+        return wanted, F.floor(wanted), F.ceil(wanted)
+
+    ends = [rank for fraction in fractions.values() for rank in ranks(fraction)[1:]]
+    holds = reduce(lambda a, b: a | b, [(F.col(OFFSET) <= r) & (r < F.col(OFFSET) + F.col(WEIGHT)) for r in ends])
+    near = join_small(placed, settle(shares.filter(holds).drop(WEIGHT, FIRST)), [*group, PART])
+    earlier = W.partitionBy(PART, *group).orderBy(SLOT).rowsBetween(W.unboundedPreceding, -1)
+    before = F.col(OFFSET) + F.coalesce(F.sum(COUNT).over(earlier), F.lit(0).cast("bigint"))
+    ranked = near.withColumn("_before", before)
 
-    def at(rank):
-        return F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n")), F.col(value))
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_before") + F.col(COUNT)), F.col(value)))
 
     picks, columns = [], []
     for name, fraction in fractions.items():
-        wanted = (F.col("_size") - 1) * F.lit(float(fraction))
-        low, high = F.floor(wanted), F.ceil(wanted)
-        picks += [F.max(at(low)).alias(f"_{name}_lo"), F.max(at(high)).alias(f"_{name}_hi")]
+        wanted, low, high = ranks(fraction)
+        picks += [at(low).alias(f"_{name}_lo"), at(high).alias(f"_{name}_hi")]
         low_value, high_value = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         columns.append((low_value + (wanted - low) * (high_value - low_value)).alias(name))
-    around = ranked.groupBy(*group, "_size").agg(*picks)
-    return around.select(*group, *columns)
+    return ranked.groupBy(*group, SIZE).agg(*picks).select(*group, *columns)

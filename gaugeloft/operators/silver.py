@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -66,6 +68,15 @@ def window_average(
     )
 
 
+def within(readings: DataFrame, start: datetime, end: datetime, time: str = "event_time") -> DataFrame:
+    """The readings that windows inside a range are made of.
+
+    A filter on window bounds cannot reach the files, this one can. Windows crossing an end of the
+    range lose rows here and must be left out after.
+    """
+    return readings.filter((F.col(time) >= F.lit(start)) & (F.col(time) < F.lit(end)))
+
+
 def silver_text(silver: DataFrame) -> DataFrame:
     """Window bounds as text, the form silver rows have in messages."""
     return silver.withColumns({c: time_to_text(F.col(c)) for c in ("window_start", "window_end")})

@@ -14,11 +14,11 @@ from gaugeloft.operators.points import (
     file_stats,
     file_totals,
     first_points,
+    latest_measurements,
     long_measurements,
     stored_points,
     unchunk,
 )
-from gaugeloft.operators.latest import latest
 from gaugeloft.operators.ranks import dense_position
 from gaugeloft.plans.staging import stage_las
 from gaugeloft.plans.tables import LINE_ORDER, completions, point_chunks, points, table
@@ -45,7 +45,7 @@ def sql_uuid(name: str) -> str:
 
 
 def chunk_counts(spark, sf_dir):
-    rows = points(spark, sf_dir).select("flag", "point_index", "l_quantity", "l_orderkey")
+    rows = points(spark, sf_dir, ["l_quantity"]).select("flag", "point_index", "l_quantity", "l_orderkey")
     chunks = chunk(rows, ["flag"], "point_index")
     return chunks.select(
         "flag",
@@ -102,12 +102,12 @@ def measurements(spark, sf_dir):
 
 
 def measurements_latest(spark, sf_dir):
-    return latest(measurements(spark, sf_dir), keyed.MEASUREMENT_KEYS, LINE_ORDER).drop(*LINE_ORDER)
+    return latest_measurements(_as_lidar(spark, sf_dir), LINE_ORDER)
 
 
 def measurements_table(spark, sf_dir):
     root = fresh_dir(spark, "measurements")
-    keyed.upsert_measurements(measurements(spark, sf_dir), root, 0, LINE_ORDER)
+    keyed.upsert_measurements(_as_lidar(spark, sf_dir), root, 0, LINE_ORDER)
     return keyed.read_measurements(spark, root)
 
 
@@ -130,7 +130,7 @@ def file_ids(spark, sf_dir):
 def staged_las(spark: SparkSession, sf_dir: str) -> str:
     """Line items as LAS files in one directory per return flag."""
     root = fresh_dir(spark, "las")
-    rows = points(spark, sf_dir).select(
+    rows = points(spark, sf_dir, ["l_quantity", "l_extendedprice"]).select(
         "flag",
         "point_index",
         F.col("l_partkey").cast("int").alias("X"),

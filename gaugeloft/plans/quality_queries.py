@@ -153,8 +153,9 @@ def slow_runs(spark, sf_dir):
 
 
 def _streamed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tables.staged_messages(spark, sf_dir)
-    messages = read_topic(spark, RAW_TOPIC, "parquet", path, stream=True, per_trigger=3)
+    files = tables.file_count(spark)
+    path = tables.staged_messages(spark, sf_dir, files)
+    messages = read_topic(spark, RAW_TOPIC, "parquet", path, stream=True, per_trigger=-(-files // 3))
     return readings_from_messages(messages)
 
 

@@ -15,10 +15,10 @@ from gaugeloft.operators.latest import latest
 from gaugeloft.operators.runs import ingest_counters, row_counts
 from gaugeloft.operators.scoring import score
 from gaugeloft.operators.secrecy import decrypt_fields, encrypt_fields, encrypt_payload
-from gaugeloft.operators.silver import alert_rate, readings_from_messages, row_alerts, silver_text, window_average
-from gaugeloft.plans.tables import naive, reading_messages, readings, staged_lines, staged_messages, table
+from gaugeloft.operators.silver import alert_rate, readings_from_messages, row_alerts, silver_text, window_average, within
+from gaugeloft.plans.tables import file_count, naive, reading_messages, readings, staged_lines, staged_messages, table
 from gaugeloft.schemas import parse_schema
-from gaugeloft.session import fresh_dir
+from gaugeloft.session import fresh_dir, settle
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.messages import fan_out, write_messages
 from gaugeloft.sources.readings import read_readings_csv, rejected_lines, scan_lines
@@ -76,13 +76,17 @@ def gold(spark, sf_dir):
     return naive(gold_ops.overload(silver(spark, sf_dir)))
 
 
+def _gold_between(spark, sf_dir, start: datetime, end: datetime) -> DataFrame:
+    windows = window_average(within(readings(spark, sf_dir), start, end), window="1 hour")
+    return naive(gold_ops.overload(windows, start, end))
+
+
 def gold_in_range(spark, sf_dir):
-    return naive(gold_ops.overload(silver(spark, sf_dir, "1 hour"), START, END))
+    return _gold_between(spark, sf_dir, START, END)
 
 
 def gold_lookback(spark, sf_dir):
-    start, end = gold_ops.lookback(24 * 7, as_of=datetime(2024, 1, 15))
-    return naive(gold_ops.overload(silver(spark, sf_dir, "1 hour"), start, end))
+    return _gold_between(spark, sf_dir, *gold_ops.lookback(24 * 7, as_of=datetime(2024, 1, 15)))
 
 
 def gold_low_threshold(spark, sf_dir):
@@ -167,7 +171,7 @@ def topic_store(spark, sf_dir):
 
 
 def topic_replay(spark, sf_dir):
-    stored = staged_messages(spark, sf_dir)
+    stored = staged_messages(spark, sf_dir, file_count(spark))
     again = as_envelope(replay(read_topic(spark, "raw-vm-metrics", "parquet", stored), "raw-vm-metrics"), "replayed")
     parsed = readings_from_messages(again).groupBy("vm_id")
     return parsed.agg(F.count("*").alias("readings"), F.max("max_cpu").alias("highest"))
@@ -262,7 +266,7 @@ def csv_counters(spark, sf_dir):
 
 def _tenant_keys(spark, sf_dir) -> DataFrame:
     tenants = table(spark, sf_dir, "events").select(F.col("event_type").alias("tenant_id")).distinct()
-    return tenants.withColumn("key", F.unhex(F.md5("tenant_id")))
+    return settle(tenants.withColumn("key", F.unhex(F.md5("tenant_id"))))
 
 
 def encrypted_fields(spark, sf_dir):

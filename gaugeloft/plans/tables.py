@@ -52,8 +52,13 @@ def reading_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_envelope(to_message(rows, "vm_id"), RAW_TOPIC)
 
 
-def staged_messages(spark: SparkSession, sf_dir: str, files: int = 8) -> str:
-    """The raw topic stored as several files in order of time, for streams to read bit by bit."""
+def file_count(spark: SparkSession) -> int:
+    """Files to spread a staged table over: as many as the cluster's shuffles have tasks, a few at least."""
+    return max(6, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def staged_messages(spark: SparkSession, sf_dir: str, files: int) -> str:
+    """The raw topic stored as that many files in order of time, for streams to read bit by bit."""
     path = fresh_dir(spark, "raw-topic")
     rows = reading_messages(spark, sf_dir)
     second = F.get_json_object(F.col("value").cast("string"), "$.timestamp").cast("bigint")
@@ -73,17 +78,15 @@ def staged_lines(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def points(spark: SparkSession, sf_dir: str, values: list[str]) -> DataFrame:
     """Line items as points of one file per return flag, numbered in key order."""
-    rows = table(spark, sf_dir, "lineitem").select(
-        *LINE_ORDER, "l_quantity", "l_extendedprice", "l_discount", F.col("l_returnflag").alias("flag")
-    )
+    rows = table(spark, sf_dir, "lineitem").select(*LINE_ORDER, *values, F.col("l_returnflag").alias("flag"))
     return dense_position(rows, ["flag"], LINE_ORDER, "point_index")
 
 
 def point_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same points as chunk messages."""
-    fields = points(spark, sf_dir).select(
+    fields = points(spark, sf_dir, ["l_quantity", "l_extendedprice"]).select(
         F.concat(F.lit("tenant"), "flag").alias("tenant_id"),
         F.concat("flag", F.lit(".las")).alias("file_name"),
         "point_index",

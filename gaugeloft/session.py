@@ -57,6 +57,11 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Fix the rows of ``df`` on shared storage, so later reads see the same rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Fix the rows of ``df`` in a table on shared storage.
+
+    Later reads see the same rows whatever becomes of the executors that made them. Being columnar,
+    the table still lets each reader take only its columns, and its size is known to the planner.
+    """
+    path = fresh_dir(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeloft.operators.latest import has_null_key, latest
+from gaugeloft.operators.points import latest_measurements
 
 VERSION = "batch_id"
 REJECTED = "rejected"
+BEFORE_ALL = -1
 
 SILVER_KEYS = ["vm_id", "window_start"]
 GOLD_KEYS = ["vm_id"]
@@ -50,23 +52,36 @@ def _stored(spark: SparkSession, root: str, rejected: int) -> DataFrame:
     return chosen.withColumn(VERSION, F.col(VERSION).cast("bigint"))
 
 
-def _newest_snapshot(spark: SparkSession, root: str) -> int | None:
+def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, int]]:
+    """The finished snapshots that together cover the versions up to the newest one, newest first.
+
+    Each is named by the versions ``(after, upto]`` it merges. There are as many markers as
+    compactions, so they are read here rather than joined.
+    """
     try:
-        return spark.read.json(f"{root}/finished").agg(F.max("upto")).first()[0]
+        marks = [tuple(r) for r in spark.read.schema("after bigint, upto bigint").json(f"{root}/finished").collect()]
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return []
         raise
+    chain = []
+    upto = max(mark[1] for mark in marks)
+    while any(mark[1] == upto for mark in marks):
+        after = min(mark[0] for mark in marks if mark[1] == upto)
+        chain.append((after, upto))
+        upto = after
+    return chain
 
 
 def read_versions(spark: SparkSession, root: str) -> DataFrame:
-    """All stored rows that can still matter: the newest snapshot and the versions after it."""
-    versions = _stored(spark, root, rejected=0)
-    upto = _newest_snapshot(spark, root)
-    if upto is None:
-        return versions
-    snapshot = spark.read.parquet(f"{root}/snapshots/upto={upto}")
-    return snapshot.unionByName(versions.filter(F.col(VERSION) > upto).select(snapshot.columns))
+    """All stored rows that can still matter: the snapshots and the versions after them."""
+    rows = _stored(spark, root, rejected=0)
+    chain = _snapshots(spark, root)
+    if chain:
+        rows = rows.filter(F.col(VERSION) > chain[0][1])
+    for after, upto in chain:
+        rows = rows.unionByName(spark.read.parquet(f"{root}/snapshots/after={after}/upto={upto}"))
+    return rows
 
 
 def read_latest(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
@@ -79,21 +94,26 @@ def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
     return _stored(spark, root, rejected=1)
 
 
-def compact(spark: SparkSession, root: str, keys: list[str], partition_by: list[str] | None = None) -> int:
-    """Writes the latest rows of all versions as a snapshot, ordered by key for narrow lookups.
+def compact(spark: SparkSession, root: str, keys: list[str], partition_by: list[str] | None = None, full: bool = False) -> int:
+    """Merges the versions since the last snapshot into one, ordered by key for narrow lookups.
 
-    The snapshot counts only once its marker is written, so a failed run changes nothing.
+    The work grows with what is new; ``full`` merges everything. A snapshot counts only once its
+    marker is written, so a failed run changes nothing.
     """
-    rows = read_versions(spark, root)
-    upto = rows.agg(F.max(VERSION)).first()[0]
+    chain = _snapshots(spark, root)
+    after = BEFORE_ALL if full or not chain else chain[0][1]
+    rows = read_versions(spark, root).filter(F.col(VERSION) > after)
+    newest = rows.agg(F.max(VERSION)).first()[0]
+    if newest is None:
+        return after
     order = [*(partition_by or []), *keys]
     ordered = latest(rows, keys, [VERSION]).repartitionByRange(*order).sortWithinPartitions(*order)
     writer = ordered.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{root}/snapshots/upto={upto}")
-    spark.createDataFrame([(upto,)], "upto bigint").write.mode("append").json(f"{root}/finished")
-    return upto
+    writer.parquet(f"{root}/snapshots/after={after}/upto={newest}")
+    spark.createDataFrame([(after, newest)], "after bigint, upto bigint").write.mode("append").json(f"{root}/finished")
+    return newest
 
 
 def upsert_silver(df: DataFrame, root: str, batch: int) -> None:
@@ -119,7 +139,8 @@ def upsert_points(df: DataFrame, root: str, batch: int) -> None:
 
 
 def read_points(spark: SparkSession, root: str) -> DataFrame:
-    return read_latest(spark, root, POINT_KEYS)
+    """Tenant and file name follow from the file id; as keys they leave only numbers to aggregate."""
+    return read_latest(spark, root, [*POINT_KEYS, "tenant_id", "file_name"])
 
 
 def upsert_file_stats(df: DataFrame, root: str, batch: int) -> None:
@@ -130,9 +151,9 @@ def read_file_stats(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, root, FILE_KEYS)
 
 
-def upsert_measurements(df: DataFrame, root: str, batch: int, order: list[str]) -> None:
-    """Long rows; within a batch the row last in ``order`` stands, as later writes overwrite earlier ones."""
-    write_version(latest(df, MEASUREMENT_KEYS, order).drop(*order), root, batch, MEASUREMENT_KEYS)
+def upsert_measurements(points: DataFrame, root: str, batch: int, order: list[str]) -> None:
+    """Long rows of points; of equal depths the point last in ``order`` stands."""
+    write_version(latest_measurements(points, order), root, batch, MEASUREMENT_KEYS)
 
 
 def read_measurements(spark: SparkSession, root: str) -> DataFrame:

@@ -39,6 +39,9 @@ def show(df: DataFrame) -> None:
 
 def fan_out(df: DataFrame, sinks: list[Callable[[DataFrame], None]]) -> None:
     """The same rows to several stores, computed once. A failing sink fails the batch, so it is retried."""
+    if len(sinks) == 1:
+        sinks[0](df)
+        return
     held = df.persist()
     try:
         for sink in sinks:

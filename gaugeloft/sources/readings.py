@@ -10,21 +10,14 @@ from gaugeloft.functions.convert import convert_text
 from gaugeloft.functions.naming import in_key_sample, tenant_of
 from gaugeloft.schemas import READINGS
 
-RAW, FIELDS = "_line", "_fields"
+FIELDS = "_fields"
 
 
-def _has_arity(line: Column, fields: StructType) -> Column:
-    """At least as many fields as the schema.
-
-    The parser marks short and long lines alike and reads an empty field as null, so only marked
-    lines without a last value need their separators counted, outside quotes.
-    """
-    marked = F.col(f"{FIELDS}.{RAW}").isNotNull()
-    last = F.col(FIELDS)[fields.fieldNames()[-1]]
-    bare = F.regexp_replace(line, '"(?:[^"]|"")*"', "")
+def _field_count(line: Column) -> Column:
+    """Fields of a line, without parsing it: separators outside quoted fields, plus one; a blank line has none."""
+    bare = F.when(line.contains('"'), F.regexp_replace(line, '(^|,)"(?:[^"]|"")*"', "$1")).otherwise(line)
     separators = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
-    blank = F.length(line) == 0
-    return F.when(blank, len(fields) <= 1).when(~marked | last.isNotNull(), True).otherwise(separators >= len(fields) - 1)
+    return F.when(F.length(line) == 0, 0).otherwise(separators + 1)
 
 
 def scan_lines(
@@ -45,15 +38,15 @@ def scan_lines(
 
 def mark_lines(lines: DataFrame, schema: StructType = READINGS, key: str | None = "vm_id", modulus: int | None = None) -> DataFrame:
     """Marks for any table of lines with ``value`` and ``path``; also for streams of text files."""
-    texts = ", ".join(f"`{name}` STRING" for name in [*schema.fieldNames(), RAW])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW, "escape": '"'}
+    texts = ", ".join(f"`{name}` STRING" for name in schema.fieldNames())
+    options = {"mode": "PERMISSIVE", "escape": '"'}
     parsed = lines.select(
         tenant_of(F.col("path")).alias("tenant_id"), "path", "value", F.from_csv("value", texts, options).alias(FIELDS)
     )
     sampled = F.lit(True)
     if modulus and key in schema.fieldNames():
         sampled = F.coalesce(in_key_sample(F.coalesce(F.col(f"{FIELDS}.{key}"), F.lit("")), modulus), F.lit(False))
-    return parsed.withColumns({"is_valid": _has_arity(F.col("value"), schema), "is_sampled": sampled})
+    return parsed.withColumns({"is_valid": _field_count(F.col("value")) >= len(schema), "is_sampled": sampled})
 
 
 def _converted(schema: StructType, on_error: str) -> list[Column]:

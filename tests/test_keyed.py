@@ -75,13 +75,19 @@ def test_snapshot_changes_nothing_for_readers(spark, path):
     assert averages(spark, path) == before
     keyed.upsert_silver(silver(spark, [row("a", 0, 9.0)]), path, 3)
     assert ("a", 0, 9.0) in averages(spark, path)
-    keyed.compact(spark, path, keys, ["date"])
-    assert ("a", 0, 9.0) in averages(spark, path) and len(averages(spark, path)) == len(before)
+    after = averages(spark, path)
+    assert keyed.compact(spark, path, keys, ["date"]) == 3
+    assert spark.read.parquet(f"{path}/snapshots/after=2/upto=3").count() == 1
+    assert averages(spark, path) == after and len(after) == len(before)
+    assert keyed.compact(spark, path, keys, ["date"]) == 3
+    assert keyed.compact(spark, path, keys, ["date"], full=True) == 3
+    assert averages(spark, path) == after
+    assert keyed.read_versions(spark, path).count() == len(after)
 
 
 def test_unfinished_snapshot_is_ignored(spark, path):
     keyed.upsert_silver(silver(spark, [row("a", 0, 1.0)]), path, 0)
-    silver(spark, [row("z", 0, 1.0)]).write.parquet(f"{path}/snapshots/upto=0")
+    silver(spark, [row("z", 0, 1.0)]).write.parquet(f"{path}/snapshots/after=-1/upto=0")
     assert averages(spark, path) == [("a", 0, 1.0)]
 
 
@@ -98,6 +104,6 @@ def test_gold_keeps_the_last_run(spark, path):
 
 
 def test_points_of_equal_depth_overwrite_each_other(spark, path):
-    df = spark.createDataFrame([("l", 1.0, "x", 5.0, 0), ("l", 1.0, "x", 6.0, 1), ("l", 2.0, "x", 7.0, 2)], "lidar_id string, depth float, measurement_type string, value float, at int")
+    df = spark.createDataFrame([("l", 1.0, 5.0, 50.0, 0), ("l", 1.0, 6.0, 60.0, 1), ("l", 2.0, 7.0, 70.0, 2)], "lidar_id string, z double, x double, y double, at int")
     keyed.upsert_measurements(df, path, 0, ["at"])
-    assert sorted((r.depth, r.value) for r in keyed.read_measurements(spark, path).collect()) == [(1.0, 6.0), (2.0, 7.0)]
+    assert sorted((r.depth, r.value) for r in keyed.read_measurements(spark, path).collect()) == [(1.0, 6.0), (1.0, 60.0), (2.0, 7.0), (2.0, 70.0)]

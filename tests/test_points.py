@@ -9,8 +9,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gaugeloft.operators import points
+from gaugeloft.operators.latest import latest
 from gaugeloft.operators.joins import fits_broadcast, join_small
-from gaugeloft.operators.ranks import dense_position, exact_percentiles, total_before
+from gaugeloft.operators.ranks import dense_position, exact_percentiles
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -75,7 +76,7 @@ def skewed(rows=4000, seed=1):
     return [("hot" if i % 3 else rng.choice("abc"), rng.randint(0, 400), i) for i in range(rows)]
 
 
-def test_positions_in_a_hot_group_spread_over_partitions(spark):
+def test_positions_in_a_hot_group_spread_over_partitions(spark, many_partitions):
     rows = skewed() + [(None, 3, 10_000), (None, 1, 10_001)]
     df = spark.createDataFrame(rows, "g string, v int, i int").repartition(7)
     got = dense_position(df, ["g"], ["v", "i"]).collect()
@@ -85,19 +86,26 @@ def test_positions_in_a_hot_group_spread_over_partitions(spark):
         assert [m[0] for m in mine] == list(range(len(want))) and [m[1:] for m in mine] == want
 
 
-def test_positions_without_a_group(spark):
+def test_positions_without_a_group(spark, many_partitions):
     got = dense_position(spark.range(100).repartition(5), [], ["id"]).collect()
     assert all(r.id == r.position for r in got) and len(got) == 100
 
 
-def test_totals_before(spark):
-    rows = [(g, v) for g, v in {(r[0], r[1]) for r in skewed()}]
-    df = spark.createDataFrame([(g, v, v % 5 + 1) for g, v in rows], "g string, v int, w bigint").repartition(6)
-    for r in total_before(df, ["g"], ["v"], "w", "before").collect():
-        assert r.before == sum(v % 5 + 1 for g, v in rows if g == r.g and v < r.v)
+def test_latest_measurements_equal_reducing_the_long_rows(spark):
+    df = spark.createDataFrame([("l", float(i % 7), float(i), float(-i), i) for i in range(50)], "lidar_id string, z double, x double, y double, at int")
+    long = latest(points.long_measurements(df, ["at"]), ["lidar_id", "depth", "measurement_type"], ["at"]).drop("at")
+    assert sorted(points.latest_measurements(df, ["at"]).collect()) == sorted(long.collect())
 
 
-def test_percentiles_equal_linear_interpolation(spark):
+@pytest.fixture
+def many_partitions(spark):
+    """Keeps small shuffles from being packed into one task, as large ones would not be either."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_percentiles_equal_linear_interpolation(spark, many_partitions):
     rows = skewed()
     df = spark.createDataFrame([(g, float(v)) for g, v, _ in rows] + [("a", None), ("a", float("nan"))], "g string, v double")
     wanted = {"lo": 0.01, "mid": 0.5, "hi": 0.99, "top": 1.0, "low": 0.0}
