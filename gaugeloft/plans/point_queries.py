@@ -26,8 +26,9 @@ from gaugeloft.session import fresh_dir, settle
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.files import export_points_csv
 from gaugeloft.sources.las import chunks_of, describe_las, list_las, read_las, watch_las
+from gaugeloft.sources.runlogs import read_run_logs
 from gaugeloft.sources.topics import CHUNK_TOPIC, COMPLETION_TOPIC, as_envelope, chunk_messages, completion_messages, peek_chunks, read_topic
-from gaugeloft.streaming.pipelines import run_chunk_topics, run_las
+from gaugeloft.streaming.pipelines import run_chunk_topics, run_las, run_las_topics, stored_topic
 
 EVENT_CHUNK = 100
 EXPORT_WANTED, EXPORT_CHUNK = 2500, 1000
@@ -232,6 +233,19 @@ def chunk_topics(spark, sf_dir):
     return counted.join(keyed.read_file_stats(spark, roots[1]), "file_id").select("file_name", "points", "sum_z", "records_processed", "status")
 
 
+def las_topics(spark, sf_dir):
+    """LAS files published by a stream: messages and points per file against the announced totals and the log."""
+    root, out = staged_las(spark, sf_dir), fresh_dir(spark, "las-topics")
+    writers = [stored_topic(f"{out}/{t}", t, key="tenant_id") for t in (CHUNK_TOPIC, COMPLETION_TOPIC)]
+    files = watch_las(spark, f"{root}/*", per_trigger=100)
+    run_las_topics(files, *writers, f"{out}/log", fresh_dir(spark, "checkpoint"), bounded=True).awaitTermination()
+    sent = file_totals(chunk_messages(read_topic(spark, CHUNK_TOPIC, "parquet", f"{out}/{CHUNK_TOPIC}"))[0])
+    told = completion_messages(read_topic(spark, COMPLETION_TOPIC, "parquet", f"{out}/{COMPLETION_TOPIC}"))[0]
+    logged = read_run_logs(spark, f"{out}/log").select("file_name", "records_processed", F.col("status").alias("log_status"))
+    announced = told.select("file_name", F.col("total_points").alias("announced_points"), F.col("total_chunks").alias("announced_chunks"), "status")
+    return sent.join(announced, "file_name").join(logged, "file_name")
+
+
 def chunk_peek(spark, sf_dir):
     peeked = peek_chunks(_chunk_envelopes(spark, sf_dir))
     first = F.col("first_point.X").isNotNull()
@@ -343,6 +357,12 @@ QUERIES = {
         f"""SELECT file_name, count(*) AS points, round(sum(z), 2) AS sum_z, count(*) AS records_processed, 'completed' AS status
             FROM ({SQL_STORED}) GROUP BY file_name""",
     ),
+    "las_topics": (
+        las_topics,
+        f"""SELECT tenant_id, file_name, count(*) AS total_points, count(DISTINCT point_index // 10000) AS total_chunks,
+                   count(*) AS announced_points, count(DISTINCT point_index // 10000) AS announced_chunks, 'completed' AS status,
+                   count(*) AS records_processed, 'success' AS log_status FROM ({SQL_LAS}) GROUP BY tenant_id, file_name""",
+    ),
     "chunk_peek": (
         chunk_peek,
         f"SELECT 'raw-data' AS topic, count(*) > 0 AS has_points, count(x) > 0 AS has_first_point FROM ({SQL_STORED})",

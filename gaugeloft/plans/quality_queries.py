@@ -29,8 +29,6 @@ from gaugeloft.streaming.monitoring import MetricsListener, observed, read_metri
 NO_LATENESS = "60 days"
 LINE_BOUNDS = {"l_quantity": (5, 45), "l_extendedprice": (None, 60000), "l_discount": (0.01, None)}
 REQUIRED = ["price", "discount", "number"]
-# Means of a few dozen values with two places end before the seventh, so none lies between two roundings.
-PLACES = 7
 
 
 def _holed_lines(spark, sf_dir) -> DataFrame:
@@ -127,15 +125,24 @@ def chunk_log(spark, sf_dir):
 
 
 def run_log_stats(spark, sf_dir):
-    return _rounded_stats(runs.run_statistics(tables.runs(spark, sf_dir)))
-
-
-def _rounded_stats(stats: DataFrame) -> DataFrame:
-    return stats.withColumns({c: F.round(c, PLACES) for c in ("mean_throughput", "mean_good_throughput", "mean_seconds")})
+    stats = runs.run_statistics(tables.runs(spark, sf_dir))
+    return stats.withColumns({c: F.round(c, 4) for c in ("mean_throughput", "mean_good_throughput", "mean_seconds")})
 
 
 def run_log_trend(spark, sf_dir):
-    return _rounded_stats(naive(runs.run_trend(tables.runs(spark, sf_dir), F.col("run_time"), "30 days")))
+    """Means as totals, which end after two places: a mean can lie halfway between two roundings."""
+    trend = naive(runs.run_trend(tables.runs(spark, sf_dir), F.col("run_time"), "30 days"))
+    good_runs = F.col("success_rate") * F.col("runs")
+    return trend.select(
+        "tenant_id",
+        "window_start",
+        "window_end",
+        "runs",
+        "success_rate",
+        F.round(F.col("mean_throughput") * F.col("runs"), 2).alias("throughput_total"),
+        F.round(F.col("mean_good_throughput") * good_runs, 2).alias("good_throughput_total"),
+        F.round(F.col("mean_seconds") * F.col("runs"), 2).alias("seconds_total"),
+    )
 
 
 def failure_patterns(spark, sf_dir):
@@ -234,9 +241,9 @@ SQL_RUNS = f"""
            CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_custkey END AS records_processed,
            CASE WHEN o_orderstatus = 'P' THEN 'error' ELSE 'success' END AS status, o_orderstatus, o_custkey, o_orderkey
     FROM orders"""
-SQL_STATS = f"""count(*) AS runs, round(avg(throughput_mb_sec), {PLACES}) AS mean_throughput,
-    round(avg(throughput_mb_sec) FILTER (WHERE status = 'success'), {PLACES}) AS mean_good_throughput,
-    count(*) FILTER (WHERE status = 'success') / count(*)::DOUBLE AS success_rate, round(avg(ingestion_time_sec), {PLACES}) AS mean_seconds"""
+SQL_STATS = """count(*) AS runs, round(avg(throughput_mb_sec), 4) AS mean_throughput,
+    round(avg(throughput_mb_sec) FILTER (WHERE status = 'success'), 4) AS mean_good_throughput,
+    count(*) FILTER (WHERE status = 'success') / count(*)::DOUBLE AS success_rate, round(avg(ingestion_time_sec), 4) AS mean_seconds"""
 SQL_TREND = f"""
     SELECT tenant_id, time_bucket(INTERVAL '30 days', run_time, TIMESTAMP '1970-01-01') AS window_start,
            time_bucket(INTERVAL '30 days', run_time, TIMESTAMP '1970-01-01') + INTERVAL '30 days' AS window_end, {SQL_STATS}
@@ -328,7 +335,15 @@ QUERIES = {
                    'success' AS status FROM ({SQL_STORED}) GROUP BY tenant_id, file_name, chunk""",
     ),
     "run_log_stats": (run_log_stats, f"SELECT tenant_id, {SQL_STATS} FROM ({SQL_RUNS}) GROUP BY tenant_id"),
-    "run_log_trend": (run_log_trend, SQL_TREND),
+    "run_log_trend": (
+        run_log_trend,
+        f"""SELECT tenant_id, time_bucket(INTERVAL '30 days', run_time, TIMESTAMP '1970-01-01') AS window_start,
+                   time_bucket(INTERVAL '30 days', run_time, TIMESTAMP '1970-01-01') + INTERVAL '30 days' AS window_end, count(*) AS runs,
+                   count(*) FILTER (WHERE status = 'success') / count(*)::DOUBLE AS success_rate,
+                   round(sum(throughput_mb_sec), 2) AS throughput_total,
+                   round(sum(throughput_mb_sec) FILTER (WHERE status = 'success'), 2) AS good_throughput_total,
+                   round(sum(ingestion_time_sec), 2) AS seconds_total FROM ({SQL_RUNS}) GROUP BY 1, 2, 3""",
+    ),
     "failure_patterns": (
         failure_patterns,
         """SELECT o_orderpriority AS tenant_id, p AS pattern, count(*) AS occurrences

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType
 
-from gaugeloft.functions.convert import convert_text, parse_json, to_message
+from gaugeloft.functions.convert import convert_text, event_time_or_arrival, parse_json, to_message
+from gaugeloft.functions.measures import latency_seconds
 from gaugeloft.functions.naming import in_key_sample
 from gaugeloft.operators import gold as gold_ops
 from gaugeloft.operators.latest import latest
@@ -190,6 +192,14 @@ def topic_peek(spark, sf_dir):
     return parse_json(first_messages(rows), "value", schema, keep=["topic", "partition", "offset"])
 
 
+def time_fallback(spark, sf_dir):
+    """Every third reading has no time of its own and takes the time it arrived."""
+    rows = readings(spark, sf_dir)
+    own = F.when(F.col("event_id") % 3 != 0, F.col("event_time"))
+    arrival = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
+    return rounded(window_average(rows.withColumn("event_time", event_time_or_arrival(own, arrival)), window="1 day"))
+
+
 def alerts(spark, sf_dir):
     return naive(row_alerts(readings(spark, sf_dir)))
 
@@ -284,19 +294,15 @@ def encrypted_payload(spark, sf_dir):
     return parse_json(opened, "payload", schema, keep=["tenant_id"])
 
 
-def _mean_of_bounds(payloads: list[str]) -> list[float]:
-    import json
-
+def _share_of_capacity(payloads: list[str]) -> list[float]:
     return [json.loads(p)["avg_max_cpu"] / 100 for p in payloads]
 
 
 def scored_silver(spark, sf_dir):
-    return score(rounded(silver(spark, sf_dir, "1 hour")), _mean_of_bounds).select("vm_id", "window_start", F.round("score", 6).alias("score"))
+    return score(rounded(silver(spark, sf_dir, "1 hour")), _share_of_capacity).select("vm_id", "window_start", F.round("score", 6).alias("score"))
 
 
 def message_latency(spark, sf_dir):
-    from gaugeloft.functions.measures import latency_seconds
-
     late = latency_seconds(F.col("ts"), F.lit(datetime(2024, 2, 1)))
     return table(spark, sf_dir, "events").select("event_id", F.round(late, 3).alias("latency_sec"))
 
@@ -391,6 +397,12 @@ QUERIES = {
         """SELECT event_type AS topic, (user_id % 3)::INTEGER AS partition, event_id AS "offset", CAST(props ->> 'k' AS BIGINT) AS k
            FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY user_id % 3, event_id) = 1""",
     ),
+    "time_fallback": (
+        time_fallback,
+        sql_silver("1 day").replace(
+            "ts AS event_time", "CASE WHEN event_id % 3 <> 0 THEN ts ELSE TIMESTAMP '2024-03-01 00:00:00' END AS event_time"
+        ),
+    ),
     "row_alerts": (
         alerts,
         'SELECT user_id AS vm_id, ts AS "timestamp", value AS max_cpu, TRUE AS is_anomaly FROM events WHERE value > 90',

@@ -17,6 +17,11 @@ def export_points_csv(points: DataFrame, path: str, wanted: int | None = EXPORT_
     export_columns(ordered).write.mode("overwrite").option("header", True).csv(path)
 
 
+def log_batch(df: DataFrame, path: str, number: int) -> None:
+    """The log rows of one micro-batch; a replay replaces them."""
+    df.write.mode("overwrite").partitionBy("tenant_id").json(f"{path}/batch_id={number}")
+
+
 def append_run_log(df: DataFrame, path: str) -> None:
     """JSON lines in one folder per tenant."""
     df.write.mode("append").partitionBy("tenant_id").json(path)

@@ -14,6 +14,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
+from gaugeloft.functions.measures import MEGABYTE
 from gaugeloft.functions.naming import DEFAULT_TENANT
 from gaugeloft.operators.points import CHUNK_POINTS, CORE_DIMENSIONS
 from gaugeloft.sources import las_records
@@ -224,6 +225,33 @@ def chunks_of(
     return _splits(files, split_bytes).mapInArrow(decode, schema)
 
 
+def file_totals_of(files: DataFrame, size: int = CHUNK_POINTS) -> DataFrame:
+    """Per file: tenant, name, MB, points and chunks. Only headers are read, not the points."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = [labels_of(p) for p in batch["path"].to_pylist()]
+            counts = [las_records.whole_points(p) for p in batch["path"].to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[pa.array([row[c] for row in labels], pa.string()) for c in LABELS],
+                    batch["length"],
+                    pa.array(counts, pa.int64()),
+                ],
+                names=[*LABELS, "length", "total_points"],
+            )
+
+    counted = files.select("path", "length").repartition("path").mapInArrow(
+        count, "tenant_id string, file_name string, length bigint, total_points bigint"
+    )
+    return counted.select(
+        *LABELS,
+        "total_points",
+        F.ceil(F.col("total_points") / size).alias("total_chunks"),
+        (F.col("length") / MEGABYTE).alias("file_size_mb"),
+    )
+
+
 def list_las(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Table of the LAS files below a path with ``path``, ``modificationTime`` and ``length``."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", GLOB).option("recursiveFileLookup", recursive)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import datetime
 
@@ -14,12 +15,16 @@ from gaugeloft.operators import gold as gold_ops
 from gaugeloft.operators.latest import latest
 from gaugeloft.operators.points import CHUNK_POINTS, file_stats, in_chunks, stored_points, unchunk
 from gaugeloft.operators.quality import stop_on_drift
+from gaugeloft.operators.runs import chunk_record, completed_record, ingestion_record
 from gaugeloft.operators.silver import WATERMARK, alert_rate, row_alerts, silver_text
 from gaugeloft.sinks import keyed
+from gaugeloft.sinks.files import log_batch
 from gaugeloft.sinks.messages import fan_out, write_messages
-from gaugeloft.sources.las import points_of
+from gaugeloft.sources.las import chunks_of, file_totals_of, points_of
 from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, GOLD_TOPIC, SILVER_TOPIC, as_envelope
 
+TopicWriter = Callable[[DataFrame, int], None]
+
 
 def _start(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, mode: str, bounded: bool, name: str | None) -> StreamingQuery:
     writer = df.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", checkpoint)
@@ -28,7 +33,7 @@ def _start(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: st
     return (writer.trigger(availableNow=True) if bounded else writer).start()
 
 
-def silver_sink(root: str, topic: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+def silver_sink(root: str, topic: TopicWriter | None = None) -> Callable[[DataFrame, int], None]:
     """Writes a micro-batch of silver to the keyed table and, if given, hands it to a topic writer too.
 
     Errors are raised: the batch is not marked done and runs again.
@@ -43,7 +48,7 @@ def silver_sink(root: str, topic: Callable[[DataFrame, int], None] | None = None
     return each
 
 
-def stored_topic(path: str, topic: str = SILVER_TOPIC, key: str = "vm_id") -> Callable[[DataFrame, int], None]:
+def stored_topic(path: str, topic: str = SILVER_TOPIC, key: str = "vm_id") -> TopicWriter:
     """Topic writer for places without a broker: one folder of message rows per batch, replaced on replay."""
 
     def each(df: DataFrame, number: int) -> None:
@@ -52,11 +57,16 @@ def stored_topic(path: str, topic: str = SILVER_TOPIC, key: str = "vm_id") -> Ca
     return each
 
 
+def broker_topic(topic: str, key: str = "vm_id", **options: str) -> TopicWriter:
+    """Topic writer for a broker; ``options`` name it. A replayed batch is sent again."""
+    return lambda df, number: write_messages(df, topic, key, **options)
+
+
 def run_silver(
     silver: DataFrame,
     root: str,
     checkpoint: str,
-    topic: Callable[[DataFrame, int], None] | None = None,
+    topic: TopicWriter | None = None,
     bounded: bool = False,
     name: str | None = None,
 ) -> StreamingQuery:
@@ -123,17 +133,63 @@ def run_las(files: DataFrame, root: str, checkpoint: str, chunk_points: int = CH
     return _start(rows, each, checkpoint, "append", bounded, None)
 
 
+def run_las_topics(
+    files: DataFrame,
+    chunk_topic: TopicWriter,
+    completion_topic: TopicWriter,
+    log_path: str,
+    checkpoint: str,
+    chunk_points: int = CHUNK_POINTS,
+    bounded: bool = False,
+) -> StreamingQuery:
+    """Arriving LAS files to chunk messages, then one completion message and one log row per file.
+
+    The processing time of a file is that of its micro-batch, as its chunks are read by many tasks.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        begin = time.monotonic()
+        sent = F.unix_micros(F.current_timestamp()) / 1e6
+        chunk_topic(chunks_of(batch, chunk_points).withColumn("timestamp", sent), number)
+        seconds = F.lit(time.monotonic() - begin)
+        totals = file_totals_of(batch, chunk_points).persist()
+        try:
+            done = totals.withColumns({"status": F.lit("completed"), "processing_time_sec": seconds})
+            completion_topic(done, number)
+            run = totals.withColumns({"ingestion_time_sec": seconds, "records_processed": F.col("total_points")})
+            log_batch(ingestion_record(run, F.current_timestamp()), log_path, number)
+        finally:
+            totals.unpersist()
+
+    return _start(files, each, checkpoint, "append", bounded, None)
+
+
 def run_chunk_topics(
-    chunks: DataFrame, completions: DataFrame, points_root: str, stats_root: str, checkpoint: str, bounded: bool = False
+    chunks: DataFrame,
+    completions: DataFrame,
+    points_root: str,
+    stats_root: str,
+    checkpoint: str,
+    bounded: bool = False,
+    log_path: str | None = None,
 ) -> list[StreamingQuery]:
-    """Chunk and completion messages side by side, each with its own query and checkpoint."""
+    """Chunk and completion messages side by side, each with its own query and checkpoint.
+
+    ``log_path`` also gets a log row per stored chunk and per completed file.
+    """
 
     def each_chunk(batch: DataFrame, number: int) -> None:
+        begin = time.monotonic()
         keyed.upsert_points(stored_points(unchunk(batch)), points_root, number)
+        if log_path:
+            seconds = F.lit(time.monotonic() - begin)
+            log_batch(chunk_record(batch, F.current_timestamp(), seconds), f"{log_path}/consumer", number)
 
     def each_completion(batch: DataFrame, number: int) -> None:
         last = latest(batch.filter(F.col("status") == "completed"), ["tenant_id", "file_name"], ["offset"])
         keyed.upsert_file_stats(file_stats(last), stats_root, number)
+        if log_path:
+            log_batch(completed_record(last, F.current_timestamp()), f"{log_path}/completed", number)
 
     return [
         _start(chunks, each_chunk, f"{checkpoint}/points", "append", bounded, None),

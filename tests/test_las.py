@@ -11,6 +11,9 @@ from gaugeloft.plans.staging import las_bytes
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.files import export_points_csv
 from gaugeloft.sources import las, las_records
+from gaugeloft.sources.runlogs import read_run_logs
+from gaugeloft.sources.topics import chunk_messages, completion_messages, read_topic
+from gaugeloft.streaming import pipelines
 from gaugeloft.streaming.pipelines import run_las
 
 
@@ -149,6 +152,30 @@ def test_arriving_files_are_taken_once(spark, path):
     assert sorted(map(tuple, stored.collect())) == [("tenantA", "one.las", 5), ("tenantB", "one.las", 5), ("tenantB", "two.LAS", 7)]
 
 
+def test_published_files(spark, path):
+    """Chunks of one file go out, then are consumed: points, stats and logs agree."""
+    put(f"{path}/in/tenantA", "one.las", cloud(25))
+    put(f"{path}/in/tenantA", "none.las", cloud(0))
+    topics = {name: pipelines.stored_topic(f"{path}/{name}", name, "tenant_id") for name in ("raw-data", "raw-data-metadata")}
+    files = las.watch_las(spark, f"{path}/in/tenantA")
+    pipelines.run_las_topics(files, *topics.values(), f"{path}/log", f"{path}/c", chunk_points=10, bounded=True).awaitTermination()
+    logged = {r.file_name: (r.records_processed, r.status) for r in read_run_logs(spark, f"{path}/log").collect()}
+    assert logged == {"one.las": (25, "success"), "none.las": (0, "error")}
+
+    chunks, completions = (read_topic(spark, n, "parquet", f"{path}/{n}", stream=True) for n in topics)
+    running = pipelines.run_chunk_topics(
+        chunk_messages(chunks)[0], completion_messages(completions)[0], f"{path}/points", f"{path}/stats", f"{path}/c2", True, f"{path}/log2"
+    )
+    for query in running:
+        query.awaitTermination()
+    stats = {r.file_name: r.records_processed for r in keyed.read_file_stats(spark, f"{path}/stats").collect()}
+    assert stats == {"one.las": 25, "none.las": 0}
+    points = keyed.read_points(spark, f"{path}/points")
+    assert points.count() == 25 and points.agg(F.sum("x")).first()[0] == sum(2 * i for i in range(25))
+    assert sorted(r.points_processed for r in read_run_logs(spark, f"{path}/log2/consumer", "consumer").collect()) == [5, 10, 10]
+    assert read_run_logs(spark, f"{path}/log2/completed", "completed").count() == 2
+
+
 def test_labels_agree_with_the_column_functions(spark):
     from gaugeloft.functions.naming import file_name_of, tenant_of
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gaugeloft.functions.convert import to_message
 from gaugeloft.operators import gold, silver
+from gaugeloft.sinks.messages import show
 from gaugeloft.sources.topics import as_envelope
 
 T0 = datetime(2019, 1, 1)
@@ -92,6 +93,22 @@ def test_lookup_of_one_vm(spark):
     assert [r.window_start for r in gold.preview(frame, 1).collect()] == [T0 + timedelta(minutes=3)]
 
 
+def test_report_is_shown_whole(spark, capsys):
+    show(gold.report(gold.overload(windows(spark, [("a" * 30, 0, True)]))).select("vm_id", "overload_frequency"))
+    assert "a" * 30 in capsys.readouterr().out
+
+
+def test_time_bounds_reach_the_files(spark, path):
+    rows = readings(spark, [("a", T0 + timedelta(minutes=i), float(i)) for i in range(30)])
+    rows.write.parquet(f"{path}/r")
+    stored = spark.read.parquet(f"{path}/r")
+    start, end = T0 + timedelta(minutes=6), T0 + timedelta(minutes=21)
+    bounded = silver.window_average(silver.within(stored, start, end))
+    assert "GreaterThanOrEqual(event_time" in bounded._jdf.queryExecution().toString()
+    whole = gold.in_range(silver.window_average(stored), start, end)
+    assert sorted(gold.in_range(bounded, start, end).collect()) == sorted(whole.collect()) and whole.count() == 5
+
+
 def test_lookback(spark):
     assert gold.lookback(24, datetime(2024, 1, 2)) == (datetime(2024, 1, 1), datetime(2024, 1, 2))
 
