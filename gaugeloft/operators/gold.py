@@ -11,6 +11,7 @@ from gaugeloft.functions.convert import parse_json, text_to_time
 from gaugeloft.functions.measures import FREQUENCY_THRESHOLD, overload_ratio, percent_text, recommendation
 from gaugeloft.operators.latest import latest
 from gaugeloft.schemas import SILVER_MESSAGE
+from gaugeloft.sources.topics import sent_order
 
 # Hours a run looks back, and rows a preview shows.
 LOOKBACK_HOURS = 24
@@ -23,10 +24,10 @@ def silver_from_messages(messages: DataFrame, dedup: bool = True) -> DataFrame:
     Windows are sent again whenever they change. ``dedup`` keeps the last message of each window;
     without it every message counts.
     """
-    order = ["offset"] if dedup else []
+    order = sent_order(messages) if dedup else []
     parsed = parse_json(messages, "value", SILVER_MESSAGE, keep=order)
     timed = parsed.withColumns({c: text_to_time(F.col(c)) for c in ("window_start", "window_end")})
-    return latest(timed, ["vm_id", "window_start"], order).drop("offset") if dedup else timed
+    return latest(timed, ["vm_id", "window_start"], order).drop(*order) if dedup else timed
 
 
 def lookback(hours: int = LOOKBACK_HOURS, as_of: datetime | None = None) -> tuple[datetime, datetime]:

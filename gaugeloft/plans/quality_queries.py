@@ -21,7 +21,7 @@ from gaugeloft.session import fresh_dir
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.files import append_run_log
 from gaugeloft.sources.runlogs import read_run_logs
-from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, RAW_TOPIC, read_topic
+from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, GOLD_TOPIC, RAW_TOPIC, SILVER_TOPIC, read_topic
 from gaugeloft.streaming import pipelines
 from gaugeloft.streaming.monitoring import MetricsListener, observed, read_metrics
 
@@ -178,17 +178,17 @@ def streaming_silver_topic(spark, sf_dir):
     root, topic, checkpoint = fresh_dir(spark, "silver"), fresh_dir(spark, "topic"), fresh_dir(spark, "checkpoint")
     averages = window_average(_streamed_readings(spark, sf_dir), window="1 day", watermark=NO_LATENESS)
     pipelines.run_silver(averages, root, checkpoint, pipelines.stored_topic(topic), bounded=True).awaitTermination()
-    messages = spark.read.parquet(topic)
-    # Offsets restart with each stored batch, so the batch leads.
-    ordered = messages.withColumn("offset", F.struct("batch_id", "offset"))
-    return rounded(gold_ops.silver_from_messages(ordered))
+    return rounded(gold_ops.silver_from_messages(read_topic(spark, SILVER_TOPIC, "parquet", topic)))
 
 
 def streaming_gold(spark, sf_dir):
     silver_root, gold_root = fresh_dir(spark, "silver"), fresh_dir(spark, "gold")
     averages = window_average(_streamed_readings(spark, sf_dir), window="1 hour", watermark=NO_LATENESS)
-    pipelines.silver_then_gold(averages, silver_root, gold_root, fresh_dir(spark, "checkpoint"))
-    return naive(keyed.read_gold(spark, gold_root).drop("processed_time"))
+    topic = fresh_dir(spark, "gold-topic")
+    writer = pipelines.stored_topic(topic, GOLD_TOPIC)
+    pipelines.silver_then_gold(averages, silver_root, gold_root, fresh_dir(spark, "checkpoint"), topic=writer)
+    told = read_topic(spark, GOLD_TOPIC, "parquet", topic).select(F.col("key").cast("string").alias("vm_id"))
+    return naive(keyed.read_gold(spark, gold_root).drop("processed_time").join(told, "vm_id"))
 
 
 def streaming_alerts(spark, sf_dir):
@@ -203,7 +203,7 @@ def streaming_critical(spark, sf_dir):
     path = fresh_dir(spark, "critical")
     readings = _streamed_readings(spark, sf_dir)
     pipelines.run_critical(readings, path, fresh_dir(spark, "checkpoint"), "1 day", 0.17, bounded=True, watermark=NO_LATENESS).awaitTermination()
-    stored = spark.read.parquet(path).filter(F.col("topic") == CRITICAL_TOPIC)
+    stored = read_topic(spark, CRITICAL_TOPIC, "parquet", path)
     body = F.from_json(F.col("value").cast("string"), "window_start timestamp, readings bigint, alerts bigint")
     last = stored.select("batch_id", body.alias("m")).groupBy("m.window_start").agg(F.max_by("m", "batch_id").alias("m"))
     return naive(last.select("window_start", "m.readings", "m.alerts").filter("alerts / readings > 0.17"))

@@ -22,9 +22,9 @@ from gaugeloft.plans.tables import file_count, naive, reading_messages, readings
 from gaugeloft.schemas import parse_schema
 from gaugeloft.session import fresh_dir, settle
 from gaugeloft.sinks import keyed
-from gaugeloft.sinks.messages import fan_out, write_messages
+from gaugeloft.sinks.messages import fan_out
 from gaugeloft.sources.readings import read_readings_csv, rejected_lines, scan_lines
-from gaugeloft.sources.topics import SILVER_TOPIC, as_envelope, first_messages, read_topic, replay
+from gaugeloft.sources.topics import SILVER_TOPIC, as_envelope, first_messages, read_topic, replay, store_messages
 
 START, END = datetime(2024, 1, 5), datetime(2024, 1, 20)
 LOW_FREQUENCY = 0.15
@@ -168,7 +168,7 @@ def keyed_json(spark, sf_dir):
 def topic_store(spark, sf_dir):
     path = fresh_dir(spark, "silver-topic")
     rows = silver(spark, sf_dir, "1 hour").withColumn("vm_id", F.col("vm_id").cast("string"))
-    write_messages(silver_text(rows), SILVER_TOPIC, format="parquet", path=path)
+    store_messages(to_message(silver_text(rows), "vm_id"), SILVER_TOPIC, path, 0)
     return rounded(gold_ops.silver_from_messages(read_topic(spark, SILVER_TOPIC, "parquet", path)))
 
 
@@ -246,7 +246,7 @@ def fan_out_counts(spark, sf_dir):
         rows,
         [
             lambda df: keyed.upsert_silver(df, root, 0),
-            lambda df: write_messages(silver_text(df), SILVER_TOPIC, format="parquet", path=topic),
+            lambda df: store_messages(to_message(silver_text(df), "vm_id"), SILVER_TOPIC, topic, 0),
         ],
     )
     stores = {"table": keyed.read_silver(spark, root), "topic": read_topic(spark, SILVER_TOPIC, "parquet", topic)}

@@ -51,6 +51,9 @@ ENVELOPE = _struct(
     timestamp=TimestampType(),
 )
 
+# Stored topics keep each batch in a folder of its own.
+STORED_ENVELOPE = StructType([*ENVELOPE, StructField("batch_id", LongType(), True)])
+
 POINT = _struct(
     X=DoubleType(),
     Y=DoubleType(),

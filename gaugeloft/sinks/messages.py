@@ -8,19 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeloft.functions.convert import to_message
-from gaugeloft.sources.topics import as_envelope
 
 # Fixed value: rows the console shows.
 CONSOLE_ROWS = 10
 
 
-def write_messages(df: DataFrame, topic: str, key: str = "vm_id", format: str = "kafka", path: str | None = None, **options: str) -> None:
-    """Rows as keyed JSON messages; formats other than ``kafka`` append message rows below ``path``."""
-    messages = to_message(df, key)
-    if format == "kafka":
-        messages.write.format("kafka").options(**options).option("topic", topic).save()
-    else:
-        as_envelope(messages, topic).write.format(format).options(**options).mode("append").save(path)
+def write_messages(df: DataFrame, topic: str, key: str = "vm_id", **options: str) -> None:
+    """Rows as keyed JSON messages on a broker."""
+    to_message(df, key).write.format("kafka").options(**options).option("topic", topic).save()
 
 
 def stream_messages(df: DataFrame, topic: str, checkpoint: str, key: str = "vm_id", **options: str) -> StreamingQuery:

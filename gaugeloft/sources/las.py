@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -69,6 +69,7 @@ class LasReader(DataSourceReader):
         self.columns = schema.fieldNames()
         self.paths, self.recursive, self.split_bytes = paths, recursive, split_bytes
         self.wanted: dict[str, set] = {}
+        self.before: int | None = None
 
     def partitions(self) -> list[ByteRange]:
         ranges = []
@@ -81,17 +82,20 @@ class LasReader(DataSourceReader):
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         yield from las_records.read_range(
-            partition.path, partition.start, partition.end, self.columns, labels_of(partition.path)
+            partition.path, partition.start, partition.end, self.columns, labels_of(partition.path), self.before
         )
 
 
 class PruningLasReader(LasReader):
-    """Skips files that a filter on tenant or file name rules out."""
+    """Skips files that a filter on tenant or file name rules out, and stops at a bound on the position."""
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for item in filters:
-            column = item.attribute[0] if isinstance(item, (EqualTo, In)) and len(item.attribute) == 1 else None
-            if column in LABELS:
+            column = item.attribute[0] if hasattr(item, "attribute") and len(item.attribute) == 1 else None
+            if column == "point_index" and isinstance(item, (LessThan, LessThanOrEqual)):
+                bound = item.value + isinstance(item, LessThanOrEqual)
+                self.before = bound if self.before is None else min(self.before, bound)
+            elif column in LABELS and isinstance(item, (EqualTo, In)):
                 values = {item.value} if isinstance(item, EqualTo) else set(item.value)
                 self.wanted[column] = self.wanted.get(column, values) & values
             else:

@@ -201,7 +201,9 @@ def _column(name: str, data: np.ndarray, header: Header) -> pa.Array:
     return pa.nulls(len(data), kind)
 
 
-def _batches(path: str, start: int, end: int, columns: list[str], labels: dict[str, str], step: int, aligned: bool) -> Iterator[tuple[int, list[pa.Array]]]:
+def _batches(
+    path: str, start: int, end: int, columns: list[str], labels: dict[str, str], step: int, aligned: bool, before: int | None = None
+) -> Iterator[tuple[int, list[pa.Array]]]:
     """Position of the first point, and the columns, of up to ``step`` points at a time.
 
     A range covers the points whose first byte lies in ``[start, end)``; ``aligned`` ranges begin
@@ -218,6 +220,8 @@ def _batches(path: str, start: int, end: int, columns: list[str], labels: dict[s
             return min(header.points, -(-point // step) * step if aligned else point)
 
         at, stop = first_from(start), first_from(end)
+        if before is not None:
+            stop = min(stop, before)
         while at < stop:
             count = min(step, stop - at)
             handle.seek(header.data_start + at * header.record_bytes)
@@ -236,15 +240,17 @@ def _batches(path: str, start: int, end: int, columns: list[str], labels: dict[s
             at += count
 
 
-def read_range(path: str, start: int, end: int, columns: list[str], labels: dict[str, str]) -> Iterator[pa.RecordBatch]:
-    """One row per point. ``labels`` are text columns with one value for the whole file."""
-    for _, arrays in _batches(path, start, end, columns, labels, BATCH_POINTS, aligned=False):
+def read_range(
+    path: str, start: int, end: int, columns: list[str], labels: dict[str, str], before: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """One row per point, up to the position ``before``. ``labels`` are text columns with one value per file."""
+    for _, arrays in _batches(path, start, end, columns, labels, BATCH_POINTS, False, before):
         yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
 
 def read_chunks(path: str, start: int, end: int, columns: list[str], labels: dict[str, str], size: int) -> Iterator[pa.RecordBatch]:
     """One row per chunk of ``size`` points: the labels, the chunk number and the points as an array."""
-    for at, arrays in _batches(path, start, end, columns, labels, size, aligned=True):
+    for at, arrays in _batches(path, start, end, columns, labels, size, True):
         points = pa.StructArray.from_arrays(arrays, names=columns)
         yield pa.RecordBatch.from_arrays(
             [

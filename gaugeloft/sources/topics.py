@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gaugeloft.schemas import CHUNK_MESSAGE, COMPLETION_MESSAGE, ENVELOPE
+from gaugeloft.schemas import CHUNK_MESSAGE, COMPLETION_MESSAGE, STORED_ENVELOPE
 
 # Topic names and messages per trigger.
 RAW_TOPIC = "raw-vm-metrics"
@@ -30,8 +30,9 @@ def read_topic(
 ) -> DataFrame:
     """All messages of a topic from the earliest on: unbounded as a stream, else up to the latest.
 
-    Formats other than ``kafka`` read stored message rows below ``path``. ``per_trigger`` limits a
-    micro-batch to so many offsets, or files.
+    Formats other than ``kafka`` read stored message rows below ``path``; they also have the batch
+    they were stored by, within which offsets count. ``per_trigger`` limits a micro-batch to so many
+    offsets, or files.
     """
     reader = (spark.readStream if stream else spark.read).format(format).options(**options)
     if format == "kafka":
@@ -43,7 +44,7 @@ def read_topic(
         return reader.load()
     if stream and per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
-    return reader.schema(ENVELOPE).load(path).filter(F.col("topic") == topic)
+    return reader.schema(STORED_ENVELOPE).load(path).filter(F.col("topic") == topic)
 
 
 def as_envelope(messages: DataFrame, topic: str) -> DataFrame:
@@ -59,9 +60,19 @@ def as_envelope(messages: DataFrame, topic: str) -> DataFrame:
     )
 
 
+def store_messages(messages: DataFrame, topic: str, path: str, batch: int, format: str = "parquet") -> None:
+    """Stores keyed messages as one batch of a topic; the same batch again replaces it."""
+    as_envelope(messages, topic).write.format(format).mode("overwrite").save(f"{path}/batch_id={batch}")
+
+
+def sent_order(messages: DataFrame) -> list[str]:
+    """The columns that tell which of two messages of a key was sent later."""
+    return [c for c in ("batch_id", "offset") if c in messages.columns]
+
+
 def first_messages(messages: DataFrame) -> DataFrame:
-    """The first message of each topic, by partition and offset."""
-    place = F.struct("partition", "offset", "key", "value", "timestamp")
+    """The first message of each topic, by partition and place in it."""
+    place = F.struct("partition", *sent_order(messages), "key", "value", "timestamp")
     return messages.groupBy("topic").agg(F.min(place).alias("_m")).select("topic", "_m.*")
 
 
@@ -88,24 +99,25 @@ def peek_completions(messages: DataFrame, schema: StructType = COMPLETION_MESSAG
 
 
 def chunk_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Messages that carry points, parsed and with their offset, and those that do not."""
+    """Messages that carry points, parsed and with their place, and those that do not."""
     return _by_field(messages, CHUNK_MESSAGE, "points")
 
 
 def completion_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Messages that carry a status, parsed and with their offset, and those that do not."""
+    """Messages that carry a status, parsed and with their place, and those that do not."""
     return _by_field(messages, COMPLETION_MESSAGE, "status")
 
 
 def _by_field(messages: DataFrame, schema: StructType, field: str) -> tuple[DataFrame, DataFrame]:
     parsed = messages.withColumn("data", F.from_json(F.col("value").cast("string"), schema))
     has = F.col("data").isNotNull() & F.col(f"data.{field}").isNotNull()
-    return parsed.filter(has).select("offset", "data.*"), parsed.filter(~has).select(*messages.columns)
+    return parsed.filter(has).select(*sent_order(messages), "data.*"), parsed.filter(~has).select(*messages.columns)
 
 
 def replay(stored: DataFrame, topic: str) -> DataFrame:
     """Key and value of a stored topic in their old order within a partition, ready for another sink."""
-    ordered = stored.filter(F.col("topic") == topic).repartitionByRange("partition", "offset")
-    return ordered.sortWithinPartitions("partition", "offset").select("key", "value")
+    place = ["partition", *sent_order(stored)]
+    ordered = stored.filter(F.col("topic") == topic).repartitionByRange(*place)
+    return ordered.sortWithinPartitions(*place).select("key", "value")
 
 

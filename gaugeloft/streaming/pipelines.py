@@ -21,7 +21,7 @@ from gaugeloft.sinks import keyed
 from gaugeloft.sinks.files import log_batch
 from gaugeloft.sinks.messages import fan_out, write_messages
 from gaugeloft.sources.las import chunks_of, file_totals_of, points_of
-from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, GOLD_TOPIC, SILVER_TOPIC, as_envelope
+from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, SILVER_TOPIC, store_messages
 
 TopicWriter = Callable[[DataFrame, int], None]
 
@@ -52,7 +52,7 @@ def stored_topic(path: str, topic: str = SILVER_TOPIC, key: str = "vm_id") -> To
     """Topic writer for places without a broker: one folder of message rows per batch, replaced on replay."""
 
     def each(df: DataFrame, number: int) -> None:
-        as_envelope(to_message(df, key), topic).write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+        store_messages(to_message(df, key), topic, path, number)
 
     return each
 
@@ -107,20 +107,20 @@ def run_gold(
     run: int,
     start: datetime | None = None,
     end: datetime | None = None,
-    topic_path: str | None = None,
+    topic: TopicWriter | None = None,
 ) -> None:
-    """One batch run: gold from silver, once computed, to the keyed table and to stored messages."""
+    """One batch run: gold from silver, once computed, to the keyed table and, if given, a topic."""
     gold = gold_ops.stamped(gold_ops.overload(silver, start, end))
     sinks = [lambda df: keyed.upsert_gold(df, root, run)]
-    if topic_path:
-        sinks.append(lambda df: write_messages(df, GOLD_TOPIC, format="parquet", path=topic_path))
+    if topic:
+        sinks.append(lambda df: topic(df, run))
     fan_out(gold, sinks)
 
 
-def silver_then_gold(silver: DataFrame, silver_root: str, gold_root: str, checkpoint: str, run: int = 0) -> None:
+def silver_then_gold(silver: DataFrame, silver_root: str, gold_root: str, checkpoint: str, run: int = 0, topic: TopicWriter | None = None) -> None:
     """Drains a bounded stream, then runs the batch job on the finished table."""
     run_silver(silver, silver_root, checkpoint, bounded=True).awaitTermination()
-    run_gold(keyed.read_silver(silver.sparkSession, silver_root), gold_root, run)
+    run_gold(keyed.read_silver(silver.sparkSession, silver_root), gold_root, run, topic=topic)
 
 
 def run_las(files: DataFrame, root: str, checkpoint: str, chunk_points: int = CHUNK_POINTS, bounded: bool = False) -> StreamingQuery:

@@ -120,6 +120,17 @@ def test_file_filters_skip_files(spark, path):
     assert df.filter(F.col("file_name").isin("a.las", "c.las")).count() == 3
 
 
+def test_position_bounds_stop_the_read(spark, path):
+    put(path, "f.las", cloud(60))
+    df = las.read_las(spark, path, ["point_index", "X"], split_bytes=500)
+    assert df.filter("point_index < 7").count() == 7 and df.filter("point_index <= 7 AND point_index < 20").count() == 8
+    assert df.filter("point_index <= 7 AND point_index >= 5 AND X > 10").count() == 2
+    assert df.filter("point_index < 0").count() == 0
+    reader = las.PruningLasReader(df.schema, [path], False, 500)
+    assert list(reader.pushFilters([las.LessThanOrEqual(("point_index",), 7), las.EqualTo(("X",), 1)])) == [las.EqualTo(("X",), 1)]
+    assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == 8
+
+
 def test_description(spark, path):
     file = put(path, "f.las", cloud(9, 2))
     rows = las.describe_las(spark, file, sample=1).collect()

@@ -5,11 +5,13 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from gaugeloft.functions.convert import to_message
 from gaugeloft.operators import faults, runs
+from gaugeloft.operators.gold import silver_from_messages
 from gaugeloft.schemas import CHUNK_MESSAGE, COMPLETION_MESSAGE
 from gaugeloft.sinks.files import append_run_log
 from gaugeloft.sinks.messages import fan_out, write_messages
@@ -127,8 +129,9 @@ def test_peek(spark):
 
 def test_stored_topics_and_replay(spark, path):
     df = spark.createDataFrame([("a", 1), ("b", None)], "vm_id string, n int")
-    write_messages(df, "one", format="parquet", path=path)
-    write_messages(df.limit(1), "two", format="parquet", path=path)
+    topics.store_messages(to_message(df, "vm_id"), "one", path, 0)
+    topics.store_messages(to_message(df, "vm_id"), "one", path, 0)
+    topics.store_messages(to_message(df.limit(1), "vm_id"), "two", path, 1)
     stored = topics.read_topic(spark, "one", "parquet", path)
     assert sorted((bytes(r.key).decode(), bytes(r.value).decode()) for r in stored.collect()) == [("a", '{"vm_id":"a","n":1}'), ("b", '{"vm_id":"b"}')]
     assert topics.replay(spark.read.parquet(path), "two").count() == 1
@@ -155,6 +158,25 @@ def test_fan_out_computes_once_and_raises(spark):
         fan_out(df, [broken])
 
 
+def test_later_batches_of_a_topic_win(spark, path):
+    for batch, average in enumerate([93.0, 65.0]):
+        rows = spark.createDataFrame([("a", "2019-01-01 00:00:00", "2019-01-01 00:03:00", average, average > 90)], "vm_id string, window_start string, window_end string, avg_max_cpu double, is_window_anomaly boolean")
+        topics.store_messages(to_message(rows, "vm_id"), "silver", path, batch)
+    stored = topics.read_topic(spark, "silver", "parquet", path)
+    assert [r.avg_max_cpu for r in silver_from_messages(stored).collect()] == [65.0]
+    assert silver_from_messages(stored, dedup=False).count() == 2
+    first = topics.first_messages(stored).first()
+    assert json.loads(bytes(first.value))["avg_max_cpu"] == 93.0
+
+
+def test_broker_options_are_passed_on(spark):
+    """There is no connector here, so Spark names the missing source."""
+    with pytest.raises(AnalysisException, match="kafka"):
+        topics.read_topic(spark, "t", **{"kafka.bootstrap.servers": "host:1"})
+    with pytest.raises(AnalysisException, match="kafka"):
+        write_messages(spark.range(1).toDF("vm_id"), "t", **{"kafka.bootstrap.servers": "host:1"})
+
+
 def test_run_logs_round_trip(spark, path):
     rows = spark.createDataFrame([("tenantA", "f", 30.0, 16.83, 550000), ("tenantB", "g", 30.0, 0.0, 0)], "tenant_id string, file_name string, file_size_mb double, ingestion_time_sec double, records_processed bigint")
     record = runs.ingestion_record(rows, F.lit("2025-03-13 12:42:56").cast("timestamp"))
