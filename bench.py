@@ -22,9 +22,9 @@ from gaugeloft.plans.quality_queries import NO_LATENESS
 from gaugeloft.plans.registry import REGISTRY
 from gaugeloft.plans.staging import las_bytes
 from gaugeloft.session import build_session, fresh_dir
-from gaugeloft.sources.las import chunks_of, list_las, read_las
+from gaugeloft.sources.las import chunks_of, list_las, read_las, watch_las
 from gaugeloft.sources.topics import RAW_TOPIC, read_topic
-from gaugeloft.streaming.pipelines import run_silver
+from gaugeloft.streaming.pipelines import run_las, run_silver
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -63,6 +63,8 @@ HEADLINE = [
 ]
 # As in the published runs: files of 550,000 points, one, two and four at once.
 LAS_POINTS, LAS_FILES = 550_000, (1, 2, 4)
+# Small enough that one such file keeps several cores busy.
+SPLIT_BYTES = 8 << 20
 
 
 def seconds(run: Callable[[], None]) -> float:
@@ -88,6 +90,14 @@ def las_folder(spark, files: int) -> tuple[str, float]:
     return f"{folder}/tenantA", files * len(data) / 1048576
 
 
+def ingest_run(spark, folder: str) -> float:
+    """Seconds from files in a folder to rows in the points table."""
+    begin = time.perf_counter()
+    points, check = fresh_dir(spark, "bench-points"), fresh_dir(spark, "bench-check")
+    run_las(watch_las(spark, folder), points, check, bounded=True, split_bytes=SPLIT_BYTES).awaitTermination()
+    return time.perf_counter() - begin
+
+
 def stream_run(spark) -> tuple[float, int, int]:
     """Seconds, rows and state rows of one bounded silver stream over 20 stored files."""
     path = tables.staged_messages(spark, SF_DIR, files=20)
@@ -127,13 +137,16 @@ def main() -> None:
         name = f"las_scan_{files}_files"
         if wanted(name):
             folder, size = las_folder(spark, files)
-            scan = read_las(spark, folder, ["tenant_id", "file_name", "point_index", "X", "Y", "Z", "intensity"], split_bytes=8 << 20)
+            scan = read_las(spark, folder, ["tenant_id", "file_name", "point_index", "X", "Y", "Z", "intensity"], split_bytes=SPLIT_BYTES)
             timed[name] = median(lambda: scan.write.format("noop").mode("overwrite").save())
-            chunks = chunks_of(list_las(spark, folder), split_bytes=8 << 20)
+            chunks = chunks_of(list_las(spark, folder), split_bytes=SPLIT_BYTES)
             timed[f"las_chunks_{files}_files"] = median(lambda: chunks.write.format("noop").mode("overwrite").save())
             details[f"{name}_mb_per_sec"] = round(size / timed[name], 1)
             details[f"{name}_points_per_sec"] = round(files * LAS_POINTS / timed[name])
             details[f"las_chunks_{files}_files_mb_per_sec"] = round(size / timed[f"las_chunks_{files}_files"], 1)
+            ingest_run(spark, folder)
+            timed[f"las_ingest_{files}_files"] = round(ingest_run(spark, folder), 4)
+            details[f"las_ingest_{files}_files_mb_per_sec"] = round(size / timed[f"las_ingest_{files}_files"], 1)
             print(name, timed[name], size, file=sys.stderr, flush=True)
     if wanted("streaming_silver"):
         stream_run(spark)

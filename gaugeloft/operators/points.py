@@ -77,14 +77,15 @@ def in_chunks(points: DataFrame, position: str = "point_index", size: int = CHUN
 
 def stored_points(flat: DataFrame) -> DataFrame:
     """Rows of the points table from unchunked or numbered points: stable ids, missing numbers as zero."""
-    file = file_id(F.col("tenant_id"), F.col("file_name"))
+    if "file_id" not in flat.columns:
+        flat = flat.withColumn("file_id", file_id(F.col("tenant_id"), F.col("file_name")))
 
     def number(name: str, kind: str):
         if name not in flat.columns:
             return F.lit(0).cast(kind)
         return F.coalesce(F.col(name).try_cast(kind), F.lit(0).cast(kind))
 
-    return flat.withColumn("file_id", file).select(
+    return flat.select(
         "file_id",
         "tenant_id",
         "file_name",

@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from gaugeloft.storage import ship_package
+
 PAYLOAD = "_payload"
 
 
 def score(df: DataFrame, scorer: Callable[[list[str]], list[float]], name: str = "score") -> DataFrame:
     """Adds the scorer's number to each row. The scorer gets the JSON texts of one batch at a time."""
+    ship_package(df.sparkSession)
     schema = StructType([*df.schema.fields, StructField(name, DoubleType(), True)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

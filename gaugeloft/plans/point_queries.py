@@ -28,7 +28,7 @@ from gaugeloft.sinks.files import export_points_csv
 from gaugeloft.sources.las import chunks_of, describe_las, list_las, read_las, watch_las
 from gaugeloft.sources.runlogs import read_run_logs
 from gaugeloft.sources.topics import CHUNK_TOPIC, COMPLETION_TOPIC, as_envelope, chunk_messages, completion_messages, peek_chunks, read_topic
-from gaugeloft.streaming.pipelines import run_chunk_topics, run_las, run_las_topics, stored_topic
+from gaugeloft.streaming.pipelines import load_measurements, run_chunk_topics, run_las, run_las_topics, stored_topic
 
 EVENT_CHUNK = 100
 EXPORT_WANTED, EXPORT_CHUNK = 2500, 1000
@@ -197,6 +197,13 @@ def las_export(spark, sf_dir):
     return rows.select(*[F.col(c).cast("bigint").alias(c) for c in CORE_DIMENSIONS], F.col("gps_time").cast("double"), "x_t")
 
 
+def las_measurements(spark, sf_dir):
+    root = fresh_dir(spark, "measurements")
+    columns = ["file_name", "point_index", "scaled_x", "scaled_y", "scaled_z"]
+    load_measurements(read_las(spark, staged_las(spark, sf_dir), columns, recursive=True), root, 0)
+    return keyed.read_measurements(spark, root)
+
+
 def las_description(spark, sf_dir):
     described = describe_las(spark, f"{staged_las(spark, sf_dir)}/tenantA/A_0.las")
     return described.filter(F.col("dimension").isin("X", "Y", "Z")).select("file_name", "point_index", "dimension", "value")
@@ -337,6 +344,14 @@ QUERIES = {
         f"""SELECT "X", "Y", "Z", intensity, classification, point_source_id, gps_time, NULL::VARCHAR AS x_t FROM ({SQL_LAS})
             WHERE point_index < ceil({EXPORT_WANTED} / {EXPORT_CHUNK}.0) * {EXPORT_CHUNK}""",
     ),
+    "las_measurements": (
+        las_measurements,
+        f"""SELECT string_split(file_name, '.')[1] AS lidar_id, ("Z" * 0.5::DOUBLE + 300)::FLOAT AS depth, 'x' AS measurement_type,
+                   arg_max(("X" * 0.5::DOUBLE + 100)::FLOAT, point_index) AS value FROM ({SQL_LAS}) GROUP BY 1, 2
+            UNION ALL
+            SELECT string_split(file_name, '.')[1], ("Z" * 0.5::DOUBLE + 300)::FLOAT, 'y',
+                   arg_max(("Y" * 0.5::DOUBLE + 200)::FLOAT, point_index) FROM ({SQL_LAS}) GROUP BY 1, 2""",
+    ),
     "las_describe": (
         las_description,
         f"""SELECT file_name, point_index, dimension, value::DOUBLE AS value

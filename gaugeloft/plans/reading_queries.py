@@ -24,7 +24,8 @@ from gaugeloft.session import fresh_dir, settle
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.messages import fan_out
 from gaugeloft.sources.readings import read_readings_csv, rejected_lines, scan_lines
-from gaugeloft.sources.topics import SILVER_TOPIC, as_envelope, first_messages, read_topic, replay, store_messages
+from gaugeloft.sources.topics import RAW_TOPIC, SILVER_TOPIC, as_envelope, first_messages, read_topic, replay, store_messages
+from gaugeloft.streaming.pipelines import stored_topic
 
 START, END = datetime(2024, 1, 5), datetime(2024, 1, 20)
 LOW_FREQUENCY = 0.15
@@ -160,9 +161,9 @@ def raw_topic(spark, sf_dir):
 
 
 def keyed_json(spark, sf_dir):
-    nations = table(spark, sf_dir, "nation").withColumnRenamed("n_name", "name")
-    schema = parse_schema('{"fields": [{"name": "n_nationkey", "type": "long"}, {"name": "name", "type": "string"}]}')
-    return parse_json(to_message(nations, "n_regionkey"), "value", schema, keep=["key"])
+    customers = table(spark, sf_dir, "customer")
+    fields = [{"name": "c_custkey", "type": "long"}, {"name": "c_name", "type": "string"}, {"name": "c_acctbal", "type": "double"}]
+    return parse_json(to_message(customers, "c_nationkey"), "value", parse_schema(json.dumps({"fields": fields})), keep=["key"])
 
 
 def topic_store(spark, sf_dir):
@@ -174,7 +175,7 @@ def topic_store(spark, sf_dir):
 
 def topic_replay(spark, sf_dir):
     stored = staged_messages(spark, sf_dir, file_count(spark))
-    again = as_envelope(replay(read_topic(spark, "raw-vm-metrics", "parquet", stored), "raw-vm-metrics"), "replayed")
+    again = as_envelope(replay(read_topic(spark, RAW_TOPIC, "parquet", stored), RAW_TOPIC), "replayed")
     parsed = readings_from_messages(again).groupBy("vm_id")
     return parsed.agg(F.count("*").alias("readings"), F.max("max_cpu").alias("highest"))
 
@@ -265,6 +266,14 @@ def csv_readings(spark, sf_dir):
     return read_readings_csv(spark, [f"{staged_lines(spark, sf_dir)}/tenant=*"], glob="*.txt")
 
 
+def csv_to_silver(spark, sf_dir):
+    """CSV lines to the raw topic, and from there to silver."""
+    path = fresh_dir(spark, "raw-topic")
+    stored_topic(path, RAW_TOPIC)(csv_readings(spark, sf_dir), 0)
+    published = readings_from_messages(read_topic(spark, RAW_TOPIC, "parquet", path))
+    return rounded(window_average(published))
+
+
 def csv_rejected(spark, sf_dir):
     rejected = rejected_lines(_lines(spark, sf_dir))
     return rejected.groupBy("tenant_id", "reason").agg(F.count("*").alias("lines"))
@@ -383,7 +392,7 @@ QUERIES = {
                   value / 2 AS min_cpu, value AS max_cpu, epoch(date_trunc('second', ts))::BIGINT AS adjusted_timestamp,
                   date_trunc('second', ts) AS event_time, coalesce(value > 90, FALSE) AS is_anomaly FROM events""",
     ),
-    "keyed_json": (keyed_json, "SELECT n_regionkey::VARCHAR AS key, n_nationkey::BIGINT AS n_nationkey, n_name AS name FROM nation"),
+    "keyed_json": (keyed_json, "SELECT c_nationkey::VARCHAR AS key, c_custkey, c_name, c_acctbal FROM customer"),
     "topic_store": (
         topic_store,
         f"SELECT * REPLACE (vm_id::VARCHAR AS vm_id) FROM ({sql_silver('1 hour')})",
@@ -440,6 +449,14 @@ QUERIES = {
                    coalesce(value, 0.0) AS max_cpu, CASE WHEN faulty AND kind = 1 THEN 0.0::DOUBLE ELSE coalesce(value, 0.0) END AS avg_cpu
             FROM ({SQL_LINES}) WHERE NOT (faulty AND kind = 0)""",
     ),
+    "csv_to_silver": (
+        csv_to_silver,
+        f"""SELECT vm_id, window_start, window_start + INTERVAL '3 minutes' AS window_end, round(avg(max_cpu), 6) AS avg_max_cpu,
+                   coalesce(avg(max_cpu) > 90, FALSE) AS is_window_anomaly
+            FROM (SELECT 'vm' || user_id AS vm_id, coalesce(value, 0.0) AS max_cpu,
+                         time_bucket(INTERVAL '3 minutes', TIMESTAMP '2019-01-01' + to_seconds(event_id)) AS window_start
+                  FROM ({SQL_LINES}) WHERE NOT (faulty AND kind = 0)) GROUP BY vm_id, window_start""",
+    ),
     "csv_rejected": (
         csv_rejected,
         f"""SELECT tenant_id, CASE WHEN kind = 0 THEN 'too few fields' ELSE 'bad avg_cpu' END AS reason, count(*) AS lines

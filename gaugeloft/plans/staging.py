@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeloft.sources.las_records import RECORDS, filesystem_of
+from gaugeloft.sources.las_records import RECORDS
+from gaugeloft.storage import filesystem_of, ship_package
 
 FILE_POINTS = 100_000
 
@@ -47,5 +48,6 @@ def stage_las(points: DataFrame, root: str) -> DataFrame:
             out.write(las_bytes(1, columns))
         return pa.table({"file_name": [f"{flag}_{part}.las"], "points": [group.num_rows]})
 
+    ship_package(points.sparkSession)
     parted = points.withColumn("part", F.floor(F.col("point_index") / FILE_POINTS))
     return parted.groupBy("flag", "part").applyInArrow(write, "file_name string, points bigint")

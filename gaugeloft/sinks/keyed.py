@@ -31,15 +31,16 @@ def write_version(
     keys: list[str],
     partition_by: list[str] | None = None,
     sort_by: list[str | Column] | None = None,
+    rebalance: bool = True,
 ) -> None:
     """Stores one version in a single pass. Rows with a null in the key go to a folder of their own.
 
     Partition folders are filled through a rebalance, which splits a large tenant or day over
-    several tasks and packs small ones together.
+    several tasks and packs small ones together. It can be left out where tasks hold few folders.
     """
     folders = [REJECTED, *(partition_by or [])]
     marked = df.withColumn(REJECTED, has_null_key(keys).cast("int"))
-    if partition_by:
+    if partition_by and rebalance:
         marked = marked.hint("rebalance", *partition_by)
     if sort_by:
         marked = marked.sortWithinPartitions(*folders, *sort_by)
@@ -134,8 +135,8 @@ def read_gold(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, root, GOLD_KEYS)
 
 
-def upsert_points(df: DataFrame, root: str, batch: int) -> None:
-    write_version(df, root, batch, POINT_KEYS, ["tenant_id", "file_id"])
+def upsert_points(df: DataFrame, root: str, batch: int, rebalance: bool = True) -> None:
+    write_version(df, root, batch, POINT_KEYS, ["tenant_id", "file_id"], rebalance=rebalance)
 
 
 def read_points(spark: SparkSession, root: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import posixpath
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -18,6 +19,7 @@ from gaugeloft.functions.measures import MEGABYTE
 from gaugeloft.functions.naming import DEFAULT_TENANT
 from gaugeloft.operators.points import CHUNK_POINTS, CORE_DIMENSIONS
 from gaugeloft.sources import las_records
+from gaugeloft.storage import filesystem_of, ship_package
 
 # Fixed value: file names taken, upper or lower case.
 GLOB = "*.[lL][aA][sS]"
@@ -25,10 +27,12 @@ SPLIT_BYTES = 128 * 1024 * 1024
 LABELS = ["tenant_id", "file_name"]
 PLACES = [*LABELS, "point_index", "point_format_id"]
 SAMPLE_POINTS = 5
+MAX_TASKS = 100_000
+HEADERS_PER_TASK = 64
 
 
 def _arrow_field(name: str) -> pa.Field:
-    if name in LABELS:
+    if name in LABELS or name == "file_id":
         return pa.field(name, pa.string())
     return pa.field(name, pa.int64() if name == "point_index" else las_records.arrow_type(name))
 
@@ -44,11 +48,18 @@ def labels_of(path: str) -> dict[str, str]:
     return {"tenant_id": tenant, "file_name": parts[-1]}
 
 
+def _labels_with_id(path: str) -> dict[str, str]:
+    """With the file id too, made once per file instead of once per point."""
+    labels = labels_of(path)
+    name = f"{labels['tenant_id']}:{labels['file_name']}"
+    return {**labels, "file_id": str(uuid.uuid5(uuid.NAMESPACE_DNS, name))}
+
+
 def _list_files(paths: list[str], recursive: bool) -> list[tuple[str, int]]:
     """LAS files and their sizes. Only the listing is read, no file is opened."""
     found = []
     for path in paths:
-        system, local = las_records.filesystem_of(path)
+        system, local = filesystem_of(path)
         info = system.get_file_info(local)
         if info.type == fs.FileType.NotFound:
             raise las_records.LasError(f"no such path: {path}")
@@ -145,6 +156,7 @@ def read_las(
     name from the path, the position in the file and the point format. ``columns`` decodes only
     what is needed; a column some file lacks is null there.
     """
+    ship_package(spark)
     spark.dataSource.register(LasSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     reader = spark.read.format("las").options(
@@ -189,22 +201,35 @@ def _glob_of(dirs: list[str]) -> str:
     return f"{parents.pop()}/{{{','.join(posixpath.basename(d.rstrip('/')) for d in dirs)}}}"
 
 
+def _spread(rows: DataFrame, per_task: int) -> DataFrame:
+    """Gives each task its share of rows that are small themselves but stand for much work.
+
+    The number of tasks must be stated: left to itself, Spark packs so few bytes into one task.
+    A stream cannot count its rows, so there it is the number of shuffle partitions.
+    """
+    spark = rows.sparkSession
+    ship_package(spark)
+    if rows.isStreaming:
+        return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartitionByRange(max(1, min(MAX_TASKS, -(-rows.count() // per_task))), *rows.columns)
+
+
 def _splits(files: DataFrame, split_bytes: int) -> DataFrame:
-    """One row per byte range of each file, spread over the tasks."""
+    """One row per byte range of each file, one task per range."""
     last = F.floor(F.greatest(F.col("length") - 1, F.lit(0)) / split_bytes)
     numbered = files.select("path", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("split"))
-    return numbered.select("path", (F.col("split") * split_bytes).alias("start")).repartition("path", "start")
+    return _spread(numbered.select("path", (F.col("split") * split_bytes).alias("start")), 1)
 
 
 def points_of(files: DataFrame, columns: list[str] | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Points of a table or stream of files with ``path`` and ``length``, split by bytes like the source."""
-    columns = columns or [*PLACES, *CORE_DIMENSIONS]
+    columns = columns or ["file_id", *PLACES, *CORE_DIMENSIONS]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 path, start = row["path"], row["start"]
-                yield from las_records.read_range(path, start, start + split_bytes, columns, labels_of(path))
+                yield from las_records.read_range(path, start, start + split_bytes, columns, _labels_with_id(path))
 
     return _splits(files, split_bytes).mapInArrow(decode, spark_schema(columns))
 
@@ -245,7 +270,7 @@ def file_totals_of(files: DataFrame, size: int = CHUNK_POINTS) -> DataFrame:
                 names=[*LABELS, "length", "total_points"],
             )
 
-    counted = files.select("path", "length").repartition("path").mapInArrow(
+    counted = _spread(files.select("path", "length"), HEADERS_PER_TASK).mapInArrow(
         count, "tenant_id string, file_name string, length bigint, total_points bigint"
     )
     return counted.select(

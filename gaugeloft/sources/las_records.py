@@ -8,7 +8,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
+
+from gaugeloft.storage import filesystem_of
 
 # Fixed values of the public LAS 1.0-1.4 format: header offsets, record fields, packed bits.
 HEADER_BYTES = 375
@@ -143,15 +144,6 @@ def arrow_type(name: str) -> pa.DataType:
     return pa.int64() if name in LONG else pa.int32()
 
 
-def filesystem_of(path: str) -> tuple[fs.FileSystem, str]:
-    """Any file system Arrow knows, so that executors read shared storage directly."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:") :].lstrip("/")
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
-
-
 def parse_header(raw: bytes, size: int) -> Header:
     """The header; the point count is cut to the whole records the file really holds."""
     if len(raw) < 227 or raw[:4] != b"LASF":
@@ -229,7 +221,7 @@ def _batches(
             arrays = []
             for name in columns:
                 if name in labels:
-                    arrays.append(pa.array([labels[name]] * count, pa.string()))
+                    arrays.append(pa.repeat(pa.scalar(labels[name], pa.string()), count))
                 elif name == "point_index":
                     arrays.append(pa.array(np.arange(at, at + count, dtype=np.int64)))
                 elif name == "point_format_id":

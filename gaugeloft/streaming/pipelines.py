@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeloft.functions.convert import to_message
+from gaugeloft.functions.naming import stem_of
 from gaugeloft.operators import gold as gold_ops
 from gaugeloft.operators.latest import latest
 from gaugeloft.operators.points import CHUNK_POINTS, file_stats, in_chunks, stored_points, unchunk
@@ -20,7 +21,7 @@ from gaugeloft.operators.silver import WATERMARK, alert_rate, row_alerts, silver
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.files import log_batch
 from gaugeloft.sinks.messages import fan_out, write_messages
-from gaugeloft.sources.las import chunks_of, file_totals_of, points_of
+from gaugeloft.sources.las import SPLIT_BYTES, chunks_of, file_totals_of, points_of
 from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, SILVER_TOPIC, store_messages
 
 TopicWriter = Callable[[DataFrame, int], None]
@@ -123,14 +124,36 @@ def silver_then_gold(silver: DataFrame, silver_root: str, gold_root: str, checkp
     run_gold(keyed.read_silver(silver.sparkSession, silver_root), gold_root, run, topic=topic)
 
 
-def run_las(files: DataFrame, root: str, checkpoint: str, chunk_points: int = CHUNK_POINTS, bounded: bool = False) -> StreamingQuery:
-    """Arriving LAS files to the points table, with the ids their chunk messages would give."""
-    rows = stored_points(in_chunks(points_of(files), size=chunk_points))
+def load_measurements(points: DataFrame, root: str, run: int) -> None:
+    """Points of LAS files to the table of long measurements, the file's stem naming the scanner."""
+    single = points.select(
+        stem_of(F.col("file_name")).alias("lidar_id"),
+        F.col("scaled_z").alias("z"),
+        F.col("scaled_x").alias("x"),
+        F.col("scaled_y").alias("y"),
+        "point_index",
+    )
+    keyed.upsert_measurements(single, root, run, ["point_index"])
+
+
+def run_las(
+    files: DataFrame,
+    root: str,
+    checkpoint: str,
+    chunk_points: int = CHUNK_POINTS,
+    bounded: bool = False,
+    split_bytes: int = SPLIT_BYTES,
+) -> StreamingQuery:
+    """Arriving LAS files to the points table, with the ids their chunk messages would give.
+
+    A task reads a part of one file, so it writes to one folder and nothing is shuffled.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        keyed.upsert_points(batch, root, number)
+        rows = stored_points(in_chunks(points_of(batch, split_bytes=split_bytes), size=chunk_points))
+        keyed.upsert_points(rows, root, number, rebalance=False)
 
-    return _start(rows, each, checkpoint, "append", bounded, None)
+    return _start(files, each, checkpoint, "append", bounded, None)
 
 
 def run_las_topics(

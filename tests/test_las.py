@@ -1,5 +1,8 @@
 import os
 import struct
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -68,7 +71,7 @@ def test_chunks_without_a_shuffle_equal_grouped_chunks(spark, path, split, size)
     put(f"{path}/tenantC", "f.las", cloud(60))
     files = las.list_las(spark, path, recursive=True)
     direct = las.chunks_of(files, size, split_bytes=split)
-    grouped = chunk(las.points_of(files, split_bytes=split).drop("point_format_id"), ["tenant_id", "file_name"], "point_index", size)
+    grouped = chunk(las.points_of(files, split_bytes=split).drop("point_format_id", "file_id"), ["tenant_id", "file_name"], "point_index", size)
     assert sorted(direct.collect(), key=lambda r: r.chunk_number) == sorted(grouped.select(direct.columns).collect(), key=lambda r: r.chunk_number)
     assert sorted(stored_points(unchunk(direct)).collect()) == sorted(stored_points(unchunk(grouped)).collect())
 
@@ -187,6 +190,30 @@ def test_published_files(spark, path):
     assert read_run_logs(spark, f"{path}/log2/completed", "completed").count() == 2
 
 
+def test_small_rows_for_much_work_are_not_packed_into_one_task(spark, path):
+    for i in range(5):
+        put(path, f"{i}.las", cloud(100))
+    files = las.list_las(spark, path)
+    sizes = las.points_of(files, split_bytes=1500).select(F.spark_partition_id().alias("p")).groupBy("p").count()
+    assert sizes.count() == 10
+    assert las.file_totals_of(files).agg(F.sum("total_points")).first()[0] == 500
+
+
+def test_package_reaches_workers_outside_the_repository(path):
+    """The Python workers of a program started elsewhere cannot import the package by themselves."""
+    put(f"{path}/data", "f.las", cloud(9))
+    script = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from gaugeloft.session import build_session
+from gaugeloft.sources.las import list_las, points_of, read_las
+spark = build_session("elsewhere", "local[2]", **{{"spark.ui.enabled": "false", "spark.checkpoint.dir": {path!r}}})
+print("points", read_las(spark, {path + "/data"!r}).count() + points_of(list_las(spark, {path + "/data"!r})).count())
+"""
+    done = subprocess.run([sys.executable, "-c", script], cwd=path, capture_output=True, text=True, timeout=120, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert "points 18" in done.stdout, done.stderr[-2000:]
+
+
 def test_labels_agree_with_the_column_functions(spark):
     from gaugeloft.functions.naming import file_name_of, tenant_of
 
