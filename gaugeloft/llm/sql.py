@@ -58,3 +58,23 @@ scored AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5
 """
+
+DUPLICATES_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words),
+classes AS (SELECT md5(list_sort(s)::VARCHAR) AS class, min(doc_id) AS doc_id, any_value(s) AS s FROM sets WHERE len(s) > 0 GROUP BY 1),
+held AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM classes),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n_a, b.n AS n_b, count(*) AS n FROM held a JOIN held b
+  ON a.shingle = b.shingle AND a.doc_id < b.doc_id AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80 GROUP BY ALL),
+links AS (SELECT a, b FROM common WHERE 100 * n >= 80 * (n_a + n_b - n)),
+either AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (SELECT doc_id AS node, doc_id AS other FROM classes UNION SELECT r.node, e.b FROM reached r JOIN either e ON r.other = e.a),
+named AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(n.component_id, s.doc_id)::BIGINT AS component_id, s.doc_id = coalesce(n.component_id, s.doc_id) AS kept
+FROM sets s LEFT JOIN classes c ON md5(list_sort(s.s)::VARCHAR) = c.class LEFT JOIN named n ON n.node = c.doc_id
+"""
