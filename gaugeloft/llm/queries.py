@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloft.llm import minhash, sharding, topk
+from gaugeloft.llm import minhash, pii, sharding, topk
 from gaugeloft.llm.common import table, text_of
-from gaugeloft.llm.sql import DUPLICATES_SQL, SHARD_SEED, SHARDS, SHARDS_SQL, TOPK_SQL
+from gaugeloft.llm.sql import DUPLICATES_SQL, PII_SQL, SHARD_SEED, SHARDS, SHARDS_SQL, TOPK_SQL
 
 
 
@@ -31,8 +31,14 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.digest(pii.find_personal_data(docs), "doc_id")
+
+
 QUERIES = {
     "op1_sharding": (op1_sharding, SHARDS_SQL),
     "op2_exact_topk": (op2_exact_topk, TOPK_SQL),
     "op3_minhash": (op3_minhash, DUPLICATES_SQL),
+    "op6_personal_data": (op6_personal_data, PII_SQL),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gaugeloft.llm.pii import AFTER, BASE, BEFORE, CONTEXT, LOWER, OCTET, SCORES, UPPER
 from gaugeloft.llm.sharding import PRIME, ROUNDS, _key
 
 SHARDS, SHARD_SEED = 8, 20
@@ -78,3 +79,53 @@ named AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(n.component_id, s.doc_id)::BIGINT AS component_id, s.doc_id = coalesce(n.component_id, s.doc_id) AS kept
 FROM sets s LEFT JOIN classes c ON md5(list_sort(s.s)::VARCHAR) = c.class LEFT JOIN named n ON n.node = c.doc_id
 """
+
+#: Plain forms of the proposals, without look-around: the engine of DuckDB has none and needs none.
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)\b",
+}
+DIGITS = "regexp_replace(hit, '[^0-9]', '', 'g')"
+LUHN = f"""list_sum(list_transform(range(length({DIGITS})), lambda i: CASE WHEN i % 2 = 0 THEN reverse({DIGITS})[i + 1]::INTEGER
+  WHEN reverse({DIGITS})[i + 1]::INTEGER > 4 THEN reverse({DIGITS})[i + 1]::INTEGER * 2 - 9 ELSE reverse({DIGITS})[i + 1]::INTEGER * 2 END)) % 10 = 0"""
+MOD97 = """list_reduce(list_prepend(0::BIGINT, list_transform(string_split(replace(hit, ' ', '')[5:] || replace(hit, ' ', '')[1:4], ''),
+  lambda c: CASE WHEN c >= 'A' THEN 1000 + ascii(c) - 55 ELSE ascii(c) - 48 END)),
+  lambda rest, v: CASE WHEN v >= 1000 THEN (rest * 100 + v - 1000) % 97 ELSE (rest * 10 + v) % 97 END) = 1"""
+PASSES = {
+    "email": "true",
+    "ip": rf"regexp_full_match(hit, '{OCTET}(?:\.{OCTET}){{3}}')",
+    "card": f"length({DIGITS}) BETWEEN 14 AND 19 AND {LUHN}",
+    "phone": f"length({DIGITS}) BETWEEN 10 AND 15",
+    "iban": MOD97,
+}
+
+
+def _spans(kind: str, rank: int) -> str:
+    low, high = SCORES[kind]
+    words = "|".join(CONTEXT[kind])
+    near = f"translate(text[greatest(pos - {BEFORE}, 0) + 1 : pos] || ' ' || text[pos + length(hit) + 1 : pos + length(hit) + {AFTER}], '{UPPER}', '{LOWER}')"
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, {rank} AS rank, pos AS start, pos + length(hit) AS "end",
+    CASE WHEN regexp_matches({near}, '(?:^|[^a-z])(?:{words})(?:$|[^a-z])') THEN '{high}' ELSE '{low}' END AS score
+  FROM (
+    SELECT doc_id, text, hit, sum(length(piece)) OVER w + sum(length(hit)) OVER w - length(hit) AS pos
+    FROM (
+      SELECT doc_id, text, unnest(hits) AS hit, unnest(pieces[1:len(hits)]) AS piece, generate_subscripts(hits, 1) AS n
+      FROM (SELECT doc_id, text, regexp_extract_all(text, '{PLAIN[kind]}') AS hits, string_split_regex(text, '{PLAIN[kind]}') AS pieces FROM texts))
+    WINDOW w AS (PARTITION BY doc_id ORDER BY n))
+  WHERE {PASSES[kind]}"""
+
+
+_JOINED = """string_agg(kind || ':' || start::BIGINT || ':' || \"end\"::BIGINT, ',' ORDER BY start, rank)"""
+
+PII_SQL = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({" UNION ALL ".join(_spans(k, r) for r, k in enumerate(PLAIN))})
+SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in PLAIN)},
+  sha256(coalesce({_JOINED} FILTER (rank < {len(BASE)}), '')) AS base_sha256,
+  coalesce({_JOINED}, '') AS spans, coalesce(string_agg(score, ',' ORDER BY start, rank), '') AS scores
+FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id
+"""
