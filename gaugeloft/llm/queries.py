@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloft.llm import minhash, pii, sharding, topk
+from gaugeloft.llm import licenses, minhash, pii, sharding, token_files, topk
 from gaugeloft.llm.common import table, text_of
 from gaugeloft.llm.sql import DUPLICATES_SQL, PII_SQL, SHARD_SEED, SHARDS, SHARDS_SQL, TOPK_SQL
+from gaugeloft.session import fresh_dir
 
 
+TOKENIZER, END_ID = "word_bpe_49k.json", 1
+
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = text_of("text")
@@ -36,9 +39,23 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(docs), "doc_id")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = fresh_dir(spark, "tokens")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID)
+    return token_files.read_token_files(spark, path)
+
+
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 QUERIES = {
     "op1_sharding": (op1_sharding, SHARDS_SQL),
     "op2_exact_topk": (op2_exact_topk, TOPK_SQL),
     "op3_minhash": (op3_minhash, DUPLICATES_SQL),
     "op6_personal_data": (op6_personal_data, PII_SQL),
+    "op8_token_files": (op8_token_files, None),
+    "op10_licences": (op10_licences, None),
 }
