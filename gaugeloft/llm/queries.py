@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloft.llm import html_text, licenses, minhash, pii, sharding, token_files, topk
+from gaugeloft.llm import html_text, language, licenses, minhash, pii, sharding, token_files, topk
 from gaugeloft.llm.common import table, text_of
 from gaugeloft.llm.sql import DUPLICATES_SQL, PII_SQL, SHARD_SEED, SHARDS, SHARDS_SQL, TOPK_SQL
 from gaugeloft.session import fresh_dir
@@ -34,6 +34,10 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents")).select("doc_id", "language", F.round("confidence", 6).alias("confidence"), F.col("accepted").alias("kept"))
+
+
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -59,6 +63,7 @@ QUERIES = {
     "op1_sharding": (op1_sharding, SHARDS_SQL),
     "op2_exact_topk": (op2_exact_topk, TOPK_SQL),
     "op3_minhash": (op3_minhash, DUPLICATES_SQL),
+    "op4_language": (op4_language, None),
     "op5_main_text": (op5_main_text, None),
     "op6_personal_data": (op6_personal_data, PII_SQL),
     "op8_token_files": (op8_token_files, None),
