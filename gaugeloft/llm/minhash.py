@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from decimal import Decimal
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ ROWS = 5
 BITS = 4
 CHUNK = 2048
 MARGIN = 4.9
+STARS = 2
 DIGEST = 10**38
 
 KEY = pa.decimal128(38, 0)
@@ -107,13 +109,13 @@ def similarity_of_bits(a: str, b: str) -> Column:
     """Estimated similarity from the packed bits: equal groups, less those that agree by chance."""
     low = 0x1111111111111111
 
-    def differing(x: Column, y: Column) -> Column:
-        d = x.bitwiseXOR(y)
+    def differing(i: int) -> Column:
+        d = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
         for shift in (1, 2):
             d = d.bitwiseOR(F.shiftrightunsigned(d, shift))
         return F.bit_count(d.bitwiseAND(F.lit(low)))
 
-    unequal = F.aggregate(F.zip_with(a, b, differing), F.lit(0), lambda total, x: total + x)
+    unequal = reduce(lambda x, y: x + y, map(differing, range(HASHES * BITS // 64)))
     return ((1 - unequal / HASHES) - 2.0**-BITS) / (1 - 2.0**-BITS)
 
 
@@ -128,9 +130,10 @@ class NearDuplicates:
     """One run over a table of documents; ``rows`` has one row per document.
 
     Steps: sign every text; let equal sets be one class; find buckets with more than one class. In each
-    bucket the class with the most company is the hub, and every other class is held against it. Then
-    classes of one bucket that are still in different components are held against each other, so
-    that a bucket of copies costs its size and not its square, and no candidate pair goes unjudged.
+    bucket the class with the most company is the hub, and every other class is held against it; then, twice,
+    a hub by hash against the classes of other components. What is left, classes of one bucket in different
+    components, is held against each other, pair by pair where sizes and bits leave a link possible. So
+    a bucket of copies costs about its size and not its square, and no candidate pair goes unjudged.
     """
 
     def __init__(self, docs: DataFrame, id_column: str, text_column: str, shingle: int, percent: int):
@@ -141,25 +144,51 @@ class NearDuplicates:
         known = self.signed.filter("set_key IS NOT NULL").groupBy("set_key")
         self.classes = settle(known.agg(F.min("text_key").alias("text_key"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")))
 
-    def links(self) -> DataFrame:
-        """Confirmed links between classes, ``a, b``: enough of them to connect what any link connects."""
+    def labels(self) -> DataFrame:
+        """Component of each linked class, ``node, label``. Only links that still join components are looked for."""
         places = self.classes.select("set_key", F.explode("bands").alias("bucket"))
         shared = places.groupBy("bucket").agg(F.count("*").alias("company")).filter("company > 1")
         members = settle(places.join(shared, "bucket"))
         self.sets = self._sets(members)
-        company = members.groupBy("set_key").agg((-F.sum("company")).alias("company"))
-        ranked = members.select("bucket", "set_key").join(company, "set_key")
-        hubs = ranked.groupBy("bucket").agg(F.min(F.struct("company", "set_key")).alias("hub")).select("bucket", F.col("hub.set_key").alias("a"))
-        star = members.join(hubs, "bucket").select("a", F.col("set_key").alias("b")).filter("a <> b")
-        first = settle(self._confirmed(star.distinct()))
-        label = components(first)
-        labelled = members.join(label.withColumnRenamed("node", "set_key"), "set_key", "left")
-        labelled = labelled.select("bucket", "set_key", F.coalesce("label", "set_key").alias("label"))
-        open_buckets = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
-        apart = settle(labelled.join(open_buckets, "bucket", "left_semi"))
-        sides = [apart.select("bucket", F.col("set_key").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab"]
-        crossing = sides[0].join(sides[1], "bucket").filter("a < b AND label_a <> label_b").select("a", "b").distinct()
-        return first.unionByName(settle(self._confirmed(crossing.join(star.distinct(), ["a", "b"], "left_anti"))))
+        company = members.groupBy("set_key").agg((-F.sum("company")).alias("rank"))
+        label = components(self._confirmed(self._star(members.select("bucket", "set_key").join(company, "set_key"))))
+        for salt in range(STARS + 1):
+            apart = self._apart(members, label)
+            if apart.isEmpty():
+                break
+            ranked = apart.withColumn("rank", F.xxhash64(F.lit(salt), "bucket", "set_key"))
+            found = settle(self._confirmed(self._star(ranked, "label") if salt < STARS else self._crossing(apart)))
+            if not found.isEmpty():
+                label = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
+        return label
+
+    @staticmethod
+    def _star(ranked: DataFrame, apart_by: str = "set_key") -> DataFrame:
+        """Pairs of each bucket's member of least ``rank`` with those that differ from it in ``apart_by``."""
+        hub = F.struct("rank", "set_key", F.col(apart_by).alias("own"))
+        hubs = ranked.groupBy("bucket").agg(F.min(hub).alias("hub")).select("bucket", F.col("hub.set_key").alias("a"), F.col("hub.own").alias("own"))
+        pairs = ranked.join(hubs, "bucket").filter(F.col(apart_by) != F.col("own"))
+        return pairs.select(F.least("a", "set_key").alias("a"), F.greatest("a", "set_key").alias("b")).distinct()
+
+    @staticmethod
+    def _apart(members: DataFrame, label: DataFrame) -> DataFrame:
+        """Members, with their component, of buckets that hold more than one component."""
+        labelled = members.select("bucket", "set_key").join(label.withColumnRenamed("node", "set_key"), "set_key", "left")
+        labelled = labelled.withColumn("label", F.coalesce("label", "set_key"))
+        mixed_buckets = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+        return settle(labelled.join(mixed_buckets, "bucket", "left_semi"))
+
+    def _crossing(self, apart: DataFrame) -> DataFrame:
+        """All pairs of one bucket and different components whose sizes and bits leave a link possible."""
+        signed = apart.join(self.classes.select("set_key", "n", "bits"), "set_key")
+        left, right = (signed.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in ("set_key", "label", "n", "bits")]) for x in "ab")
+        possible = (F.col("set_key_a") < F.col("set_key_b")) & (F.col("label_a") != F.col("label_b")) & self._possible()
+        pairs = left.withColumnRenamed("bucket", "_bucket").join(right, (F.col("_bucket") == F.col("bucket")) & possible)
+        return pairs.select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b")).distinct()
+
+    def _possible(self) -> Column:
+        near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
+        return near & (similarity_of_bits("bits_a", "bits_b") >= lowest_estimate(self.percent))
 
     def _sets(self, members: DataFrame) -> DataFrame:
         """Full sets of the classes that share a bucket, from the text of one document each."""
@@ -171,8 +200,7 @@ class NearDuplicates:
         signs = self.classes.select("set_key", "n", "bits")
         for side in "ab":
             pairs = pairs.join(signs.withColumnsRenamed({"set_key": side, "n": f"n_{side}", "bits": f"bits_{side}"}), side)
-        near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
-        pairs = settle(pairs.filter(near & (similarity_of_bits("bits_a", "bits_b") >= lowest_estimate(self.percent))).select("a", "b", "n_a", "n_b"))
+        pairs = settle(pairs.filter(self._possible()).select("a", "b", "n_a", "n_b"))
         for side in "ba":
             pairs = pairs.join(self.sets.withColumnsRenamed({"set_key": side, "shingles": f"set_{side}"}), side)
         common = F.size(F.array_intersect("set_a", "set_b"))
@@ -180,7 +208,7 @@ class NearDuplicates:
 
     def rows(self) -> DataFrame:
         """``id, text_key, n_shingles, component, component_id``, one row per document."""
-        label = components(self.links()).withColumnsRenamed({"node": "set_key", "label": "component"})
+        label = self.labels().withColumnsRenamed({"node": "set_key", "label": "component"})
         ids = self.signed.filter("set_key IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("least"))
         placed = settle(ids.join(label, "set_key", "left").select("set_key", "least", F.coalesce("component", "set_key").alias("component")))
         least = placed.groupBy("component").agg(F.min("least").alias("component_id"))
