@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloft.llm import html_text, language, licenses, minhash, pii, sharding, token_files, topk
+from gaugeloft.llm import decontamination, html_text, language, licenses, minhash, mixing, pii, sharding, token_files, topk
 from gaugeloft.llm.common import table, text_of
 from gaugeloft.llm.sql import DUPLICATES_SQL, PII_SQL, SHARD_SEED, SHARDS, SHARDS_SQL, TOPK_SQL
 from gaugeloft.session import fresh_dir
@@ -47,6 +48,15 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(docs), "doc_id")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 9).alias("weight"), F.round("probability", 9).alias("probability"), "kept")
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -66,6 +76,9 @@ QUERIES = {
     "op4_language": (op4_language, None),
     "op5_main_text": (op5_main_text, None),
     "op6_personal_data": (op6_personal_data, PII_SQL),
+    "op7_mixing": (op7_mixing, None),
+    "op9_decontamination": (op9_decontamination, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op8_token_files": (op8_token_files, None),
     "op10_licences": (op10_licences, None),
 }
