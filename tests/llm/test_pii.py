@@ -1,0 +1,92 @@
+import hashlib
+import re
+
+import pytest
+from gaugeloft.llm.pii import digest, find_personal_data
+from gaugeloft.llm.queries import op6_personal_data
+
+from tests_support import against_sql
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        x = int(d) * (1 + i % 2)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def plain(text):
+    text, out = text or "", []
+    for m in EMAIL.finditer(text):
+        out.append((m.start(), 0, f"email:{m.start()}:{m.end()}"))
+    for m in IP.finditer(text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append((m.start(), 1, f"ip:{m.start()}:{m.end()}"))
+    for m in CARD.finditer(text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 14 <= len(digits) <= 19 and luhn(digits):
+            out.append((m.start(), 2, f"card:{m.start()}:{m.end()}"))
+    for m in PHONE.finditer(text):
+        if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append((m.start(), 3, f"phone:{m.start()}:{m.end()}"))
+    return ",".join(s for _, _, s in sorted(out))
+
+
+TEXTS = [
+    None, "", "a@b.c", "x" * 60_000, "1" * 60_000, "a@b.c-x_y@d.e", "a@b@c.d", "@a.b", "a.b@c", "é.é@ü.de me@é.de", "a@a" + ".a" * 6000,
+    "1.2.3.4.5.6.7.8", "256.1.1.1 255.255.255.255 010.1.1.1 1.2.3", "0000000000000000000001.2.3.4", "1.2.3.4" * 40,
+    "4111 1111 1111 1111", "4111-1111-1111-1111 x 4111111111111112", "12  4111111111111111", "4111111111111111 4111111111111111", "1 4111111111111111",
+    "00000000000000", "+1 (017) 555-7713", "+1 (017) 555-7713+49 30 123456", "+1-----------------2", "+123456789", "+1 234 567 8901 234 567", "++12345678901",
+    "𝄞𝄞 mail: é@b.cc me@b.cc 𝄞 +49 (30) 1234567 card 4111111111111111", "5-5-5-5-5-5-5-5-5-5-5-5-5-5-5-5", "1 " * 20_000, "+1 " * 9000,
+]
+
+
+def test_base_spans_by_brute_force(make_docs):
+    rows = {r["doc_id"]: r for r in digest(find_personal_data(make_docs(list(enumerate(TEXTS)))), "doc_id").collect()}
+    for i, text in enumerate(TEXTS):
+        base = ",".join(s for s in rows[i]["spans"].split(",") if not s.startswith("iban"))
+        assert base == plain(text), (i, (text or "")[:60])
+        assert rows[i]["base_sha256"] == hashlib.sha256(plain(text).encode()).hexdigest()
+        assert [rows[i][f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [plain(text).count(f"{k}:") for k in ("email", "ip", "card", "phone")]
+
+
+def test_all_documents_by_brute_force(table):
+    docs = table("documents")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for row in digest(find_personal_data(docs), "doc_id").collect():
+        assert row["base_sha256"] == hashlib.sha256(plain(texts[row["doc_id"]]).encode()).hexdigest()
+
+
+@pytest.mark.parametrize(
+    "text, spans, scores",
+    [
+        ("DE89370400440532013000", "iban:0:22", "0.9"),
+        ("IBAN: GB82 WEST 1234 5698 7654 32.", "iban:6:33", "1.0"),
+        ("DE88370400440532013000", "", ""),
+        ("xDE89370400440532013000", "", ""),
+        ("call +1 (017) 555-7713", "phone:5:22", "0.9"),
+        ("10.0.0.1", "ip:0:8", "0.5"),
+        ("the server 10.0.0.1", "ip:11:19", "0.9"),
+    ],
+)
+def test_checksums_and_context(make_docs, text, spans, scores):
+    row = digest(find_personal_data(make_docs([(1, text)])), "doc_id").first()
+    assert (row["spans"], row["scores"]) == (spans, scores)
+
+
+def test_no_python_in_the_plan_and_odd_tables(spark, odd_docs, make_docs):
+    found = find_personal_data(odd_docs.withColumnRenamed("n_chars", "PII_SPANS"))
+    assert found.count() == 15 and "PII_SPANS" not in found.columns
+    plan = digest(find_personal_data(odd_docs), "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+    assert find_personal_data(make_docs([])).collect() == []
+
+
+def test_query_equals_sql(spark):
+    against_sql(spark, op6_personal_data, "op6_personal_data")
