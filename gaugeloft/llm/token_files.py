@@ -8,6 +8,7 @@ ids and ends. Parts follow each other in ascending document id; a manifest names
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -26,52 +27,82 @@ from gaugeloft.storage import filesystem_of
 
 MAGIC = b"GLTOK1"
 HEADER = "<6sBBqQ"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
 LONG_WORD = 64
-GROUP = 64
 BLOCK = 256
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
+PLAIN = re.compile(f"[!-~{LETTERS}]+")
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
 MANIFEST = "part int, name string, n_docs bigint, n_ids bigint"
 TOKENS = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids_crc32 bigint"
 
 
 class WordTokenizer:
-    """Encodes texts word by word, remembering words.
+    """Encodes texts word by word, remembering words and their parts.
 
-    Holds for tokenizers that drop white space and never join across it, as word-end vocabularies do.
-    Words come between ASCII white space; encodings of a text's words in a row are its encoding.
+    Holds for tokenizers that lower case, drop white space and never join across it, as word-end vocabularies
+    do. Words come between ASCII white space. A plain word (visible ASCII and Latin letters) is cut into
+    its parts as the tokenizer's own pattern cuts it, and the parts go to its model; any other word goes
+    through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.model, self.bytes = self.tokenizer.model, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, dtype=f"<u{self.width}").tobytes() for e in found]
+        self.parts: dict[str, bytes] = {}
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return b"".join([i.to_bytes(self.width, "little") for i in ids])
+
+    def _plain(self, word: str) -> bytes:
+        out = []
+        for part in PARTS.findall(word.lower()):
+            ids = self.parts.get(part)
+            if ids is None:
+                seen = part if part.isascii() else self.bytes.pre_tokenize_str(part)[0][0]
+                ids = self._packed([t.id for t in self.model.tokenize(seen)])
+                if len(part) <= LONG_WORD:
+                    self.parts[part] = ids
+            out.append(ids)
+        return b"".join(out)
+
+    def _encode(self, words: list[bytes]) -> None:
+        rest = []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            if PLAIN.fullmatch(text) and "<|" not in text:
+                self.known[word] = self._plain(text)
+            else:
+                rest.append((word, text))
+        for (word, _), e in zip(rest, self.tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False), strict=True):
+            self.known[word] = self._packed(e.ids)
 
     def _words(self, words: list[bytes]) -> bytes:
-        missing = [w for w in set(words) if w not in self.known]
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known.clear()
-            missing = list(set(words))
-        self.known.update(zip(missing, self._encode(missing), strict=True))
-        out = b"".join(map(self.known.__getitem__, words))
+        known = self.known
+        missing = {w for w in words if w not in known}
+        if missing:
+            if len(known) + len(missing) > CACHED_WORDS:
+                known.clear()
+                missing = set(words)
+            if len(self.parts) > CACHED_WORDS:
+                self.parts.clear()
+            self._encode(list(missing))
+        out = b"".join([known[w] for w in words])
         for word in missing:
             if len(word) > LONG_WORD:
-                del self.known[word]
+                del known[word]
         return out
 
-    def texts(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as bytes; new words of all of them are encoded together."""
-        split = [(t or "").encode("utf-8", "replace").split() for t in texts]
-        if sum(map(len, split)) <= CACHED_WORDS // 4:
-            self._words([w for words in split for w in words if len(w) <= LONG_WORD])
+    def text(self, text: str | None) -> bytes:
+        """Ids of a text as bytes; a very long one in steps."""
+        words = (text or "").encode("utf-8", "replace").split()
         step = CACHED_WORDS // 4
-        return [b"".join(self._words(words[i : i + step]) for i in range(0, len(words), step)) for words in split]
+        return b"".join([self._words(words[i : i + step]) for i in range(0, len(words), step)])
 
 
 @lru_cache(maxsize=2)
@@ -89,19 +120,17 @@ def _writer(path: str, tokenizer: str, end_id: int):
         ids, nulls, ends, total = [], 0, [], 0
         out = None
         for batch in batches:
-            for start in range(0, batch.num_rows, GROUP):
-                rows = batch.slice(start, GROUP)
+            for doc, text in zip(batch.column("id"), batch.column("text"), strict=True):
                 if out is None:
                     out = system.open_output_stream(f"{folder}/{name}.ids")
-                for doc, data in zip(rows.column("id").to_pylist(), encoder.texts(rows.column("text").to_pylist()), strict=True):
-                    out.write(data)
-                    out.write(end)
-                    total += len(data) // encoder.width + 1
-                    ends.append(total)
-                    if doc is None:
-                        nulls += 1
-                    else:
-                        ids.append(doc)
+                data = encoder.text(text.as_py())
+                out.write(data + end)
+                total += len(data) // encoder.width + 1
+                ends.append(total)
+                if doc.as_py() is None:
+                    nulls += 1
+                else:
+                    ids.append(doc.as_py())
         if out is None:
             return
         out.close()
