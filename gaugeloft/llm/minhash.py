@@ -151,13 +151,13 @@ class NearDuplicates:
         members = settle(places.join(shared, "bucket"))
         self.sets = self._sets(members)
         company = members.groupBy("set_key").agg((-F.sum("company")).alias("rank"))
-        label = components(self._confirmed(self._star(members.select("bucket", "set_key").join(company, "set_key"))))
+        label = components(self._confirmed(self._hopeful(self._star(members.select("bucket", "set_key").join(company, "set_key")))))
         for salt in range(STARS + 1):
             apart = self._apart(members, label)
             if apart.isEmpty():
                 break
             ranked = apart.withColumn("rank", F.xxhash64(F.lit(salt), "bucket", "set_key"))
-            found = settle(self._confirmed(self._star(ranked, "label") if salt < STARS else self._crossing(apart)))
+            found = settle(self._confirmed(self._hopeful(self._star(ranked, "label")) if salt < STARS else self._crossing(apart)))
             if not found.isEmpty():
                 label = components(label.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(found))
         return label
@@ -179,12 +179,30 @@ class NearDuplicates:
         return settle(labelled.join(mixed_buckets, "bucket", "left_semi"))
 
     def _crossing(self, apart: DataFrame) -> DataFrame:
-        """All pairs of one bucket and different components whose sizes and bits leave a link possible."""
-        signed = apart.join(self.classes.select("set_key", "n", "bits"), "set_key")
-        left, right = (signed.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in ("set_key", "label", "n", "bits")]) for x in "ab")
-        possible = (F.col("set_key_a") < F.col("set_key_b")) & (F.col("label_a") != F.col("label_b")) & self._possible()
+        """All pairs of one bucket and different components that a link is possible for: ``a, b, n_a, n_b``.
+
+        Sizes and bits must allow it, and so must what either set shares at all: a link takes percent
+        / (100 + percent) of both sizes together in common, and shingles that no other set of the
+        family has are common to none.
+        """
+        signed = apart.join(self.classes.select("set_key", "n", "bits"), "set_key").join(self._shared(apart), "set_key")
+        columns = ("set_key", "label", "n", "bits", "shared")
+        left, right = (signed.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
+        enough = F.least("shared_a", "shared_b") * (100 + self.percent) >= (F.col("n_a") + F.col("n_b")) * self.percent
+        possible = (F.col("set_key_a") < F.col("set_key_b")) & (F.col("label_a") != F.col("label_b")) & enough & self._possible()
         pairs = left.withColumnRenamed("bucket", "_bucket").join(right, (F.col("_bucket") == F.col("bucket")) & possible)
-        return pairs.select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b")).distinct()
+        return settle(pairs.select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b"), "n_a", "n_b").distinct())
+
+    def _shared(self, apart: DataFrame) -> DataFrame:
+        """How many shingles of a set some other set of its family has: ``set_key, shared``. A family is what buckets connect."""
+        first = apart.groupBy("bucket").agg(F.min("set_key").alias("b"))
+        family = components(apart.select("bucket", F.col("set_key").alias("a")).join(first, "bucket").select("a", "b"))
+        kept = apart.select("set_key").distinct().join(family.withColumnRenamed("node", "set_key"), "set_key", "left")
+        sets = kept.select("set_key", F.coalesce("label", "set_key").alias("family")).join(self.sets, "set_key")
+        each = sets.select("set_key", "family", F.explode("shingles").alias("shingle"))
+        alone = each.groupBy("family", "shingle").agg(F.count("*").alias("n"), F.min("set_key").alias("set_key")).filter("n = 1")
+        lost = alone.groupBy("set_key").agg(F.count("*").alias("lost"))
+        return sets.join(lost, "set_key", "left").select("set_key", (F.size("shingles") - F.coalesce("lost", F.lit(0))).alias("shared"))
 
     def _possible(self) -> Column:
         near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
@@ -196,11 +214,14 @@ class NearDuplicates:
         texts = self.docs.select("text_key", "text").join(wanted, "text_key").groupBy("set_key").agg(F.first("text").alias("text"))
         return settle(texts.mapInArrow(_shingler(self.size), "set_key decimal(38,0), shingles array<bigint>"))
 
-    def _confirmed(self, pairs: DataFrame) -> DataFrame:
+    def _hopeful(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose sizes and bits leave a link possible, with their sizes."""
         signs = self.classes.select("set_key", "n", "bits")
         for side in "ab":
             pairs = pairs.join(signs.withColumnsRenamed({"set_key": side, "n": f"n_{side}", "bits": f"bits_{side}"}), side)
-        pairs = settle(pairs.filter(self._possible()).select("a", "b", "n_a", "n_b"))
+        return settle(pairs.filter(self._possible()).select("a", "b", "n_a", "n_b"))
+
+    def _confirmed(self, pairs: DataFrame) -> DataFrame:
         for side in "ba":
             pairs = pairs.join(self.sets.withColumnsRenamed({"set_key": side, "shingles": f"set_{side}"}), side)
         common = F.size(F.array_intersect("set_a", "set_b"))
