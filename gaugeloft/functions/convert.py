@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DoubleType, LongType, StringType, StructType
@@ -71,3 +73,8 @@ def event_time_or_arrival(event_time: Column, arrival: Column) -> Column:
 def to_message(df: DataFrame, key: str) -> DataFrame:
     """One ``key`` and JSON ``value`` per row."""
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+
+
+def utc_time(moment: datetime) -> Column:
+    """A point in time as a literal. Without a zone it is UTC, whatever zone the driver's clock has."""
+    return F.lit(moment if moment.tzinfo else moment.replace(tzinfo=timezone.utc))

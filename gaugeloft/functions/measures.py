@@ -34,8 +34,19 @@ def throughput(size_mb: Column, seconds: Column) -> Column:
 
 
 def percent_text(ratio: Column) -> Column:
-    """Percent with two places; a ratio halfway between two texts takes the even one."""
-    return F.format_string("%.2f%%", F.bround(ratio * 100, 2))
+    """Percent with two places, rounded as the binary value lies; one exactly halfway takes the even text.
+
+    The percent value is split into two halves of 26 bits, so that its distance from the middle
+    between two texts comes out exactly.
+    """
+    percent = ratio * 100
+    wide = percent * float((1 << 27) + 1)
+    high = wide - (wide - percent)
+    low = percent - high
+    below = F.floor(percent * 100).cast("double")
+    beyond = (high * 200 - (below * 2 + 1)) + low * 200
+    up = (beyond > 0) | ((beyond == 0) & (below % 2 == 1))
+    return F.format_string("%.2f%%", F.when(up, below + 1).otherwise(below) / 100)
 
 
 def estimated_mb(points: Column) -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeloft.functions.convert import parse_json, text_to_time
+from gaugeloft.functions.convert import parse_json, text_to_time, utc_time
 from gaugeloft.functions.measures import FREQUENCY_THRESHOLD, overload_ratio, percent_text, recommendation
 from gaugeloft.operators.latest import latest
 from gaugeloft.schemas import SILVER_MESSAGE
@@ -31,7 +31,7 @@ def silver_from_messages(messages: DataFrame, dedup: bool = True) -> DataFrame:
 
 
 def lookback(hours: int = LOOKBACK_HOURS, as_of: datetime | None = None) -> tuple[datetime, datetime]:
-    end = as_of or datetime.now()
+    end = as_of or datetime.now(timezone.utc)
     return end - timedelta(hours=hours), end
 
 
@@ -39,14 +39,15 @@ def in_range(silver: DataFrame, start: datetime | None, end: datetime | None) ->
     """Windows wholly inside the range, both ends included; no range keeps everything."""
     if start is None or end is None:
         return silver
-    return _on_days(silver, start, end).filter((F.col("window_start") >= F.lit(start)) & (F.col("window_end") <= F.lit(end)))
+    return _on_days(silver, start, end).filter((F.col("window_start") >= utc_time(start)) & (F.col("window_end") <= utc_time(end)))
 
 
 def _on_days(silver: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Only the day folders a range of window starts touches, where the table has them."""
     if "date" not in silver.columns:
         return silver
-    return silver.filter(F.col("date").between(F.lit(start.date()), F.lit(end.date())))
+    first, last = (utc_time(t).cast("timestamp") for t in (start, end))
+    return silver.filter(F.col("date").between(F.to_date(first), F.to_date(last)))
 
 
 def overload(
@@ -69,8 +70,8 @@ def _judged(counts: DataFrame, keys: list[str], start, end, threshold: float) ->
     ranged = start is not None and end is not None
     return counts.select(
         *keys,
-        F.lit(start if ranged else None).cast("timestamp").alias("date_range_start"),
-        F.lit(end if ranged else None).cast("timestamp").alias("date_range_end"),
+        (utc_time(start) if ranged else F.lit(None)).cast("timestamp").alias("date_range_start"),
+        (utc_time(end) if ranged else F.lit(None)).cast("timestamp").alias("date_range_end"),
         "total_windows",
         "anomaly_windows",
         ratio.alias("overload_frequency"),
@@ -84,7 +85,7 @@ def stamped(gold: DataFrame) -> DataFrame:
 
 def finished_between(silver: DataFrame, after: datetime, until: datetime) -> DataFrame:
     """Windows that ended since the last run, up to the new cut-off."""
-    return silver.filter((F.col("window_end") > F.lit(after)) & (F.col("window_end") <= F.lit(until)))
+    return silver.filter((F.col("window_end") > utc_time(after)) & (F.col("window_end") <= utc_time(until)))
 
 
 def add_counts(previous: DataFrame, fresh: DataFrame, keys: list[str] | None = None, threshold: float = FREQUENCY_THRESHOLD) -> DataFrame:
@@ -101,7 +102,7 @@ def windows_of(silver: DataFrame, vm_id, start: datetime | None = None, end: dat
     """Windows of one VM, optionally those starting within a range, both ends included."""
     mine = silver.filter(F.col("vm_id") == F.lit(vm_id))
     if start is not None and end is not None:
-        mine = _on_days(mine, start, end).filter(F.col("window_start").between(F.lit(start), F.lit(end)))
+        mine = _on_days(mine, start, end).filter(F.col("window_start").between(utc_time(start), utc_time(end)))
     return mine
 
 

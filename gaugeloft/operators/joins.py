@@ -26,6 +26,8 @@ def join_small(df: DataFrame, side: DataFrame, keys: list[str], how: str = "inne
     The side is broadcast when its measured size allows it. Beyond that it is a shuffled join,
     whose hot keys are split at run time.
     """
+    if not keys:
+        return join_small(df.withColumn("_all", F.lit(0)), side.withColumn("_all", F.lit(0)), ["_all"], how).drop("_all")
     renamed = side.withColumnsRenamed({k: f"_side_{k}" for k in keys})
     matches = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_side_{k}")) for k in keys])
     if fits_broadcast(side):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloft.functions.naming import file_id, point_id
@@ -13,7 +13,6 @@ from gaugeloft.operators.latest import latest
 # Points per chunk, rows per export chunk, dimensions sent and exported.
 CHUNK_POINTS = 10_000
 EXPORT_CHUNK_POINTS = 100_000
-EXPORT_POINTS = 500_000
 CORE_DIMENSIONS = ["X", "Y", "Z", "intensity", "classification", "point_source_id"]
 EXPORT_DIMENSIONS = [
     "X", "Y", "Z", "intensity", "return_number", "number_of_returns",
@@ -100,8 +99,11 @@ def stored_points(flat: DataFrame) -> DataFrame:
     )
 
 
-def file_stats(completions: DataFrame) -> DataFrame:
-    """Rows of the stats table from completion messages; other messages are left out."""
+def file_stats(completions: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Rows of the stats table from completion messages; other messages are left out.
+
+    ``timestamp`` is when the file was ingested, by default now.
+    """
     done = completions.filter(F.col("status") == "completed")
     return done.select(
         file_id(F.col("tenant_id"), F.col("file_name")).alias("file_id"),
@@ -112,6 +114,7 @@ def file_stats(completions: DataFrame) -> DataFrame:
         F.coalesce("total_points", F.lit(0).cast("bigint")).alias("records_processed"),
         "status",
         F.lit("[]").alias("errors"),
+        (F.current_timestamp() if as_of is None else as_of).alias("timestamp"),
     )
 
 

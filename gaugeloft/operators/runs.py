@@ -117,9 +117,14 @@ def failure_patterns(logs: DataFrame, group: list[str] | None = None) -> DataFra
 
 
 def throughput_grid(logs: DataFrame, rows: str, columns: str, values: list, places: int | None = None) -> DataFrame:
-    """Mean throughput with one row per value of ``rows`` and one column per listed value of ``columns``."""
+    """Mean throughput with one row per value of ``rows`` and one column per listed value of ``columns``.
+
+    What is not listed, null included, is averaged in the column ``other``.
+    """
     mean = F.avg("throughput_mb_sec")
-    return logs.groupBy(rows).pivot(columns, values).agg(F.round(mean, places) if places is not None else mean)
+    names = [str(v) for v in values]
+    shown = F.when(F.col(columns).isin(values), F.col(columns).cast("string")).otherwise("other")
+    return logs.withColumn(columns, shown).groupBy(rows).pivot(columns, [*names, "other"]).agg(F.round(mean, places) if places is not None else mean)
 
 
 def run_alerts(

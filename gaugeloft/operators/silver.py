@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gaugeloft.functions.convert import TRACE_START, epoch_to_time, parse_json, shift_epoch, time_to_text
+from gaugeloft.functions.convert import TRACE_START, epoch_to_time, parse_json, shift_epoch, time_to_text, utc_time
 from gaugeloft.functions.measures import ANOMALY_THRESHOLD, is_over
 from gaugeloft.schemas import READINGS
 
@@ -74,7 +74,7 @@ def within(readings: DataFrame, start: datetime, end: datetime, time: str = "eve
     A filter on window bounds cannot reach the files, this one can. Windows crossing an end of the
     range lose rows here and must be left out after.
     """
-    return readings.filter((F.col(time) >= F.lit(start)) & (F.col(time) < F.lit(end)))
+    return readings.filter((F.col(time) >= utc_time(start)) & (F.col(time) < utc_time(end)))
 
 
 def silver_text(silver: DataFrame) -> DataFrame:

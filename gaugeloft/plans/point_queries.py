@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloft.functions.convert import to_message
+from gaugeloft.functions.convert import to_message, utc_time
 from gaugeloft.functions.naming import file_id, file_name_of, stem_of, tenant_of
 from gaugeloft.operators.points import (
     CORE_DIMENSIONS,
+    EXPORT_DIMENSIONS,
     chunk,
     core_points,
     file_stats,
@@ -21,10 +24,11 @@ from gaugeloft.operators.points import (
 )
 from gaugeloft.operators.ranks import dense_position
 from gaugeloft.plans.staging import stage_las
-from gaugeloft.plans.tables import LINE_ORDER, completions, point_chunks, points, table
+from gaugeloft.plans.tables import LINE_ORDER, completions, naive, point_chunks, points, table
 from gaugeloft.session import fresh_dir, settle
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.files import export_points_csv
+from gaugeloft.sources import las_records
 from gaugeloft.sources.las import chunks_of, describe_las, list_las, read_las, watch_las
 from gaugeloft.sources.runlogs import read_run_logs
 from gaugeloft.sources.topics import CHUNK_TOPIC, COMPLETION_TOPIC, as_envelope, chunk_messages, completion_messages, peek_chunks, read_topic
@@ -83,9 +87,39 @@ def points_table(spark, sf_dir):
 def file_stats_table(spark, sf_dir):
     root = fresh_dir(spark, "file-stats")
     messages = completions(spark, sf_dir)
-    keyed.upsert_file_stats(file_stats(messages), root, 0)
-    keyed.upsert_file_stats(file_stats(messages), root, 1)
-    return keyed.read_file_stats(spark, root)
+    for run, day in enumerate((12, 13)):
+        keyed.upsert_file_stats(file_stats(messages, utc_time(datetime(2025, 3, day, 12, 42, 56))), root, run)
+    return naive(keyed.read_file_stats(spark, root))
+
+
+def points_numeric_tenants(spark, sf_dir):
+    """Tenants whose names look like numbers, stored twice, compacted, then joined by one with letters."""
+    root = fresh_dir(spark, "points")
+    names = F.element_at(F.array(F.lit("007"), F.lit("1e5"), F.lit("B")), (F.col("event_id") % 3 + 1).cast("int"))
+    rows = table(spark, sf_dir, "events").select(
+        names.alias("tenant_id"), F.lit("f.las").alias("file_name"), F.lit(0).alias("chunk_number"), F.col("event_id").cast("int").alias("point_position"), F.col("user_id").alias("X")
+    )
+    for version, part in enumerate((rows.filter("tenant_id <> 'B'"), rows.filter("tenant_id = '007'"))):
+        keyed.upsert_points(stored_points(part), root, version)
+    keyed.compact(spark, root, keyed.POINT_KEYS, ["tenant_id", "file_id"])
+    keyed.upsert_points(stored_points(rows.filter("tenant_id = 'B'")), root, 2)
+    stored = keyed.read_points(spark, root)
+    return stored.groupBy("tenant_id").agg(F.count("*").alias("points"), F.sum("x").alias("sum_x"))
+
+
+def completion_versions(spark, sf_dir):
+    """Each file completed twice, in two batches read by one trigger; the later batch counts, whatever its offsets."""
+    stored, root = fresh_dir(spark, "completions"), fresh_dir(spark, "stats")
+    messages = to_message(completions(spark, sf_dir).drop("total_points").withColumn("total_points", F.lit(100)), "tenant_id")
+    later = to_message(completions(spark, sf_dir).withColumn("status", F.lit("completed")), "tenant_id")
+    for batch, (rows, shift) in enumerate(((messages, 1 << 40), (later, 0))):
+        placed = as_envelope(rows, COMPLETION_TOPIC).withColumn("offset", F.col("offset") + shift)
+        placed.write.parquet(f"{stored}/batch_id={batch}")
+    told = completion_messages(read_topic(spark, COMPLETION_TOPIC, "parquet", stored, stream=True))[0]
+    none = chunk_messages(read_topic(spark, CHUNK_TOPIC, "parquet", stored, stream=True))[0]
+    for query in run_chunk_topics(none, told, fresh_dir(spark, "points"), root, fresh_dir(spark, "checkpoint"), bounded=True):
+        query.awaitTermination()
+    return keyed.read_file_stats(spark, root).select("file_name", "records_processed")
 
 
 def _as_lidar(spark, sf_dir) -> DataFrame:
@@ -167,8 +201,8 @@ def las_one_tenant(spark, sf_dir):
 
 
 def las_core_points(spark, sf_dir):
-    scanned = read_las(spark, staged_las(spark, sf_dir), recursive=True)
-    core = core_points(scanned, ["tenant_id", "file_name", "point_index"])
+    places = ["tenant_id", "file_name", "point_index"]
+    core = core_points(read_las(spark, staged_las(spark, sf_dir), [*places, *CORE_DIMENSIONS], recursive=True), places)
     return core.select("tenant_id", "file_name", "point_index", *[F.col(c).cast("bigint").alias(c) for c in CORE_DIMENSIONS])
 
 
@@ -191,8 +225,9 @@ def las_first_points(spark, sf_dir):
 
 def las_export(spark, sf_dir):
     out = fresh_dir(spark, "las-csv")
-    scanned = read_las(spark, staged_las(spark, sf_dir), recursive=True)
-    export_points_csv(scanned, out, EXPORT_WANTED, EXPORT_CHUNK)
+    have = set(las_records.all_dimensions())
+    columns = ["file_name", "point_index", *[c for c in EXPORT_DIMENSIONS if c in have]]
+    export_points_csv(read_las(spark, staged_las(spark, sf_dir), columns, recursive=True), out)
     rows = spark.read.option("header", True).csv(out)
     return rows.select(*[F.col(c).cast("bigint").alias(c) for c in CORE_DIMENSIONS], F.col("gps_time").cast("double"), "x_t")
 
@@ -254,9 +289,13 @@ def las_topics(spark, sf_dir):
 
 
 def chunk_peek(spark, sf_dir):
-    peeked = peek_chunks(_chunk_envelopes(spark, sf_dir))
-    first = F.col("first_point.X").isNotNull()
-    return peeked.select("topic", (F.col("point_count") > 0).alias("has_points"), first.alias("has_first_point"))
+    """Messages in one partition, in order of file and chunk, so that the first one is known."""
+    body = F.col("value").cast("string")
+    file, number = F.get_json_object(body, "$.file_name"), F.get_json_object(body, "$.chunk_number").cast("bigint")
+    placed = _chunk_envelopes(spark, sf_dir).withColumns({"partition": F.lit(0), "offset": F.ascii(file) * 1_000_000 + number})
+    return peek_chunks(placed).select(
+        "topic", "tenant_id", "file_name", F.col("chunk_number").cast("bigint").alias("chunk_number"), "point_count", F.col("first_point.X").cast("double").alias("first_x")
+    )
 
 
 LAS_FILE = "flag || '_' || (point_index // 100000) || '.las'"
@@ -307,8 +346,13 @@ QUERIES = {
         f"""SELECT {sql_uuid("'tenant' || o_orderpriority || ':order' || o_orderkey || '.las'")} AS file_id,
                    'tenant' || o_orderpriority AS tenant_id, 'order' || o_orderkey || '.las' AS file_name,
                    o_totalprice AS file_size_mb, o_custkey::DOUBLE AS ingestion_time_sec, o_custkey AS records_processed,
-                   'completed' AS status, '[]' AS errors FROM orders WHERE o_orderstatus <> 'P'""",
+                   'completed' AS status, '[]' AS errors, TIMESTAMP '2025-03-13 12:42:56' AS timestamp FROM orders WHERE o_orderstatus <> 'P'""",
+    ),
+    "points_numeric_tenants": (
+        points_numeric_tenants,
+        "SELECT ['007', '1e5', 'B'][event_id % 3 + 1] AS tenant_id, count(*) AS points, sum(user_id)::DOUBLE AS sum_x FROM events GROUP BY 1",
     ),
+    "completion_versions": (completion_versions, "SELECT 'order' || o_orderkey || '.las' AS file_name, o_custkey AS records_processed FROM orders"),
     "unpivot_measurements": (measurements, SQL_LONG),
     "measurements_latest": (measurements_latest, SQL_LATEST),
     "measurements_table": (measurements_table, SQL_LATEST),
@@ -341,8 +385,7 @@ QUERIES = {
     ),
     "las_export": (
         las_export,
-        f"""SELECT "X", "Y", "Z", intensity, classification, point_source_id, gps_time, NULL::VARCHAR AS x_t FROM ({SQL_LAS})
-            WHERE point_index < ceil({EXPORT_WANTED} / {EXPORT_CHUNK}.0) * {EXPORT_CHUNK}""",
+        f"""SELECT "X", "Y", "Z", intensity, classification, point_source_id, gps_time, NULL::VARCHAR AS x_t FROM ({SQL_LAS})""",
     ),
     "las_measurements": (
         las_measurements,
@@ -380,6 +423,7 @@ QUERIES = {
     ),
     "chunk_peek": (
         chunk_peek,
-        f"SELECT 'raw-data' AS topic, count(*) > 0 AS has_points, count(x) > 0 AS has_first_point FROM ({SQL_STORED})",
+        f"""SELECT 'raw-data' AS topic, tenant_id, file_name, chunk AS chunk_number, count(*) AS point_count, arg_min(x, place) AS first_x
+            FROM ({SQL_STORED}) GROUP BY ALL ORDER BY file_name, chunk LIMIT 1""",
     ),
 }

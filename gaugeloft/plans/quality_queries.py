@@ -25,12 +25,18 @@ from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, GOLD_TOPIC, RA
 from gaugeloft.streaming import pipelines
 from gaugeloft.streaming.monitoring import MetricsListener, observed, read_metrics
 
-# Longer than the data's time span, so that no replayed row is late.
-NO_LATENESS = "60 days"
+METRICS_SECONDS = 120
 LINE_BOUNDS = {"l_quantity": (5, 45), "l_extendedprice": (None, 60000), "l_discount": (0.01, None)}
 REQUIRED = ["price", "discount", "number"]
 
 
+def no_lateness(spark, sf_dir) -> str:
+    """As long as the data's time span, so that no replayed row is late."""
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    span = table(spark, sf_dir, "events").agg(F.max(seconds) - F.min(seconds)).first()[0] or 0
+    return f"{span // 86_400 + 2} days"
+
+
 def _holed_lines(spark, sf_dir) -> DataFrame:
     """Line items in which some values are missing."""
     return table(spark, sf_dir, "lineitem").select(
@@ -43,12 +49,8 @@ def _holed_lines(spark, sf_dir) -> DataFrame:
 
 def range_check(spark, sf_dir):
     checked = quality.range_errors(table(spark, sf_dir, "lineitem"), LINE_BOUNDS)
-    good, bad = quality.split_by(checked, "_out_of_range")
-    counted = [
-        df.groupBy(F.lit(kind).alias("kind"), F.array_join("_out_of_range", ",").alias("columns")).agg(F.count("*").alias("rows"))
-        for kind, df in (("kept", good), ("excluded", bad))
-    ]
-    return counted[0].unionByName(counted[1])
+    kind = F.when(F.size("_out_of_range") == 0, "kept").otherwise("excluded")
+    return checked.groupBy(kind.alias("kind"), F.array_join("_out_of_range", ",").alias("columns")).agg(F.count("*").alias("rows"))
 
 
 def completeness(spark, sf_dir):
@@ -150,7 +152,7 @@ def failure_patterns(spark, sf_dir):
 
 
 def throughput_grid(spark, sf_dir):
-    return runs.throughput_grid(tables.runs(spark, sf_dir), "tenant_id", "o_orderstatus", ["F", "O", "P"], places=4)
+    return runs.throughput_grid(tables.runs(spark, sf_dir), "tenant_id", "o_orderstatus", ["F", "O"], places=4)
 
 
 def slow_runs(spark, sf_dir):
@@ -168,7 +170,7 @@ def _streamed_readings(spark: SparkSession, sf_dir: str, batches: int = 3) -> Da
 
 def streaming_silver(spark, sf_dir):
     root, checkpoint = fresh_dir(spark, "silver"), fresh_dir(spark, "checkpoint")
-    averages = window_average(_streamed_readings(spark, sf_dir), watermark=NO_LATENESS)
+    averages = window_average(_streamed_readings(spark, sf_dir), watermark=no_lateness(spark, sf_dir))
     pipelines.run_silver(averages, root, checkpoint, bounded=True).awaitTermination()
     return rounded(keyed.read_silver(spark, root).drop("date"))
 
@@ -176,14 +178,14 @@ def streaming_silver(spark, sf_dir):
 def streaming_silver_topic(spark, sf_dir):
     """Table and topic from one stream; the topic holds several versions of a window, the last one counts."""
     root, topic, checkpoint = fresh_dir(spark, "silver"), fresh_dir(spark, "topic"), fresh_dir(spark, "checkpoint")
-    averages = window_average(_streamed_readings(spark, sf_dir), window="1 day", watermark=NO_LATENESS)
+    averages = window_average(_streamed_readings(spark, sf_dir), window="1 day", watermark=no_lateness(spark, sf_dir))
     pipelines.run_silver(averages, root, checkpoint, pipelines.stored_topic(topic), bounded=True).awaitTermination()
     return rounded(gold_ops.silver_from_messages(read_topic(spark, SILVER_TOPIC, "parquet", topic)))
 
 
 def streaming_gold(spark, sf_dir):
     silver_root, gold_root = fresh_dir(spark, "silver"), fresh_dir(spark, "gold")
-    averages = window_average(_streamed_readings(spark, sf_dir), window="1 hour", watermark=NO_LATENESS)
+    averages = window_average(_streamed_readings(spark, sf_dir), window="1 hour", watermark=no_lateness(spark, sf_dir))
     topic = fresh_dir(spark, "gold-topic")
     writer = pipelines.stored_topic(topic, GOLD_TOPIC)
     pipelines.silver_then_gold(averages, silver_root, gold_root, fresh_dir(spark, "checkpoint"), topic=writer)
@@ -203,7 +205,7 @@ def streaming_critical(spark, sf_dir):
     """In one batch: a window still filling up may be critical for a while, depending on where batches end."""
     path = fresh_dir(spark, "critical")
     readings = _streamed_readings(spark, sf_dir, batches=1)
-    pipelines.run_critical(readings, path, fresh_dir(spark, "checkpoint"), "1 day", 0.17, bounded=True, watermark=NO_LATENESS).awaitTermination()
+    pipelines.run_critical(readings, path, fresh_dir(spark, "checkpoint"), "1 day", 0.17, bounded=True, watermark=no_lateness(spark, sf_dir)).awaitTermination()
     stored = read_topic(spark, CRITICAL_TOPIC, "parquet", path)
     body = F.from_json(F.col("value").cast("string"), "window_start timestamp, readings bigint, alerts bigint")
     return naive(stored.select(body.alias("m")).select("m.*"))
@@ -213,16 +215,17 @@ def stream_metrics(spark, sf_dir):
     """Rows and errors per micro-batch as a listener saw them, added up over the run."""
     path, root = fresh_dir(spark, "metrics"), fresh_dir(spark, "silver")
     readings = observed(_streamed_readings(spark, sf_dir), is_over(F.col("max_cpu")))
-    averages = window_average(readings, window="1 day", watermark=NO_LATENESS)
+    averages = window_average(readings, window="1 day", watermark=no_lateness(spark, sf_dir))
     listener = MetricsListener(spark, path)
     spark.streams.addListener(listener)
     try:
         query = pipelines.run_silver(averages, root, fresh_dir(spark, "checkpoint"), bounded=True, name="metered")
         query.awaitTermination()
         last = query.lastProgress["batchId"]
-        for _ in range(300):
-            if listener.last_batch == last:
-                break
+        deadline = time.monotonic() + METRICS_SECONDS
+        while listener.last_batch != last:
+            if time.monotonic() > deadline:
+                raise TimeoutError(f"no metrics of batch {last} within {METRICS_SECONDS} s")
             time.sleep(0.1)
     finally:
         spark.streams.removeListener(listener)
@@ -354,7 +357,7 @@ QUERIES = {
         throughput_grid,
         f"""SELECT tenant_id, round(avg(throughput_mb_sec) FILTER (WHERE o_orderstatus = 'F'), 4) AS "F",
                    round(avg(throughput_mb_sec) FILTER (WHERE o_orderstatus = 'O'), 4) AS "O",
-                   round(avg(throughput_mb_sec) FILTER (WHERE o_orderstatus = 'P'), 4) AS "P" FROM ({SQL_RUNS}) GROUP BY 1""",
+                   round(avg(throughput_mb_sec) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')), 4) AS other FROM ({SQL_RUNS}) GROUP BY 1""",
     ),
     "slow_runs": (
         slow_runs,

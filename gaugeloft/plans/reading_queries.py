@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType
 
-from gaugeloft.functions.convert import convert_text, event_time_or_arrival, parse_json, to_message
+from gaugeloft.functions.convert import convert_text, event_time_or_arrival, parse_json, to_message, utc_time
 from gaugeloft.functions.measures import latency_seconds
 from gaugeloft.functions.naming import in_key_sample
 from gaugeloft.operators import gold as gold_ops
@@ -285,7 +285,7 @@ def csv_counters(spark, sf_dir):
 
 def _tenant_keys(spark, sf_dir) -> DataFrame:
     tenants = table(spark, sf_dir, "events").select(F.col("event_type").alias("tenant_id")).distinct()
-    return settle(tenants.withColumn("key", F.unhex(F.md5("tenant_id"))))
+    return tenants.withColumn("key", F.unhex(F.md5("tenant_id")))
 
 
 def encrypted_fields(spark, sf_dir):
@@ -312,7 +312,7 @@ def scored_silver(spark, sf_dir):
 
 
 def message_latency(spark, sf_dir):
-    late = latency_seconds(F.col("ts"), F.lit(datetime(2024, 2, 1)))
+    late = latency_seconds(F.col("ts"), utc_time(datetime(2024, 2, 1)))
     return table(spark, sf_dir, "events").select("event_id", F.round(late, 3).alias("latency_sec"))
 
 

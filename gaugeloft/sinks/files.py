@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from gaugeloft.operators.points import EXPORT_CHUNK_POINTS, EXPORT_POINTS, export_columns, first_points
+from gaugeloft.operators.points import EXPORT_CHUNK_POINTS, export_columns, first_points
 
 
-def export_points_csv(points: DataFrame, path: str, wanted: int | None = EXPORT_POINTS, size: int = EXPORT_CHUNK_POINTS) -> None:
-    """Leading points with the 23 named dimensions and a header; missing values are empty.
+def export_points_csv(points: DataFrame, path: str, wanted: int | None = None, size: int = EXPORT_CHUNK_POINTS) -> None:
+    """All points, or about ``wanted`` leading ones per file, with the 23 named dimensions and a header; missing values are empty.
 
     The order is kept by file: parts are written in order of the position in the file.
     """

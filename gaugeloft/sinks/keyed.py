@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from gaugeloft.operators.latest import has_null_key, latest
 from gaugeloft.operators.points import latest_measurements
@@ -17,6 +18,9 @@ VERSION = "batch_id"
 REJECTED = "rejected"
 BEFORE_ALL = -1
 
+#: Columns that name folders, and their types.
+FOLDER_TYPES = {VERSION: LongType(), "tenant_id": StringType(), "file_id": StringType(), "date": DateType()}
+
 SILVER_KEYS = ["vm_id", "window_start"]
 GOLD_KEYS = ["vm_id"]
 POINT_KEYS = ["file_id", "point_id"]
@@ -47,8 +51,17 @@ def write_version(
     marked.write.mode("overwrite").partitionBy(*folders).parquet(f"{root}/versions/{VERSION}={version}")
 
 
+def _read(spark: SparkSession, path: str, base: str) -> DataFrame:
+    """A stored folder. Values of partition folders keep the type they were written with: what looks like
+    a number, such as the tenant 007, must not become one."""
+    reader = spark.read.option("basePath", base)
+    guessed = reader.parquet(path).schema
+    fields = [StructField(f.name, FOLDER_TYPES.get(f.name, f.dataType), True) for f in guessed]
+    return reader.schema(StructType(fields)).parquet(path)
+
+
 def _stored(spark: SparkSession, root: str, rejected: int) -> DataFrame:
-    stored = spark.read.option("basePath", f"{root}/versions").parquet(f"{root}/versions")
+    stored = _read(spark, f"{root}/versions", f"{root}/versions")
     chosen = stored.filter(F.col(REJECTED) == rejected).drop(REJECTED)
     return chosen.withColumn(VERSION, F.col(VERSION).cast("bigint"))
 
@@ -81,7 +94,8 @@ def read_versions(spark: SparkSession, root: str) -> DataFrame:
     if chain:
         rows = rows.filter(F.col(VERSION) > chain[0][1])
     for after, upto in chain:
-        rows = rows.unionByName(spark.read.parquet(f"{root}/snapshots/after={after}/upto={upto}"))
+        folder = f"{root}/snapshots/after={after}/upto={upto}"
+        rows = rows.unionByName(_read(spark, folder, folder))
     return rows
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import posixpath
+import struct
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -115,7 +117,7 @@ class PruningLasReader(LasReader):
 
 class LasSource(DataSource):
     """Options: ``path`` or ``paths`` (JSON list), ``columns`` (JSON list), ``splitBytes``,
-    ``recursive``, ``mergeSchema``, ``pruneFiles``."""
+    ``recursive``, ``pruneFiles``."""
 
     @classmethod
     def name(cls) -> str:
@@ -130,12 +132,7 @@ class LasSource(DataSource):
     def schema(self) -> StructType:
         if "columns" in self.options:
             return spark_schema(json.loads(self.options["columns"]))
-        files = _list_files(self._paths(), self._is("recursive"))
-        if not files:
-            raise las_records.LasError("no LAS file to take the dimensions from")
-        opened = files if self._is("mergeSchema") else files[:1]
-        names = dict.fromkeys(n for path, _ in opened for n in las_records.read_header(path).dimensions)
-        return spark_schema([*PLACES, *names, *las_records.SCALED])
+        return spark_schema([*PLACES, *las_records.all_dimensions(), *las_records.SCALED])
 
     def reader(self, schema: StructType) -> LasReader:
         kind = PruningLasReader if self._is("pruneFiles") else LasReader
@@ -148,13 +145,12 @@ def read_las(
     columns: list[str] | None = None,
     split_bytes: int = SPLIT_BYTES,
     recursive: bool = False,
-    merge_schema: bool = False,
 ) -> DataFrame:
     """Points of LAS files, each file split by bytes over many tasks.
 
-    Besides the dimensions in the header there are the scaled coordinates, the tenant and file
-    name from the path, the position in the file and the point format. ``columns`` decodes only
-    what is needed; a column some file lacks is null there.
+    There are the dimensions of all point formats, the scaled coordinates, the tenant and file name
+    from the path, the position in the file and the point format. ``columns`` decodes only what is
+    needed; a dimension that some file lacks is null there. No file is opened for the schema.
     """
     ship_package(spark)
     spark.dataSource.register(LasSource)
@@ -163,7 +159,6 @@ def read_las(
         paths=json.dumps([paths] if isinstance(paths, str) else paths),
         splitBytes=str(split_bytes),
         recursive=str(recursive),
-        mergeSchema=str(merge_schema),
         pruneFiles="true",
     )
     return (reader.option("columns", json.dumps(columns)) if columns else reader).load()
@@ -171,8 +166,8 @@ def read_las(
 
 def describe_las(spark: SparkSession, path: str, sample: int = SAMPLE_POINTS) -> DataFrame:
     """Dimension names of a file, its point format, and the values of its leading points."""
-    points = read_las(spark, path)
-    names = [c for c in points.columns if c not in PLACES and c not in las_records.SCALED]
+    names = las_records.read_header(path).dimensions
+    points = read_las(spark, path, [*PLACES, *names])
     pairs = F.array(*[F.struct(F.lit(i).alias("place"), F.lit(c).alias("dimension"), F.col(c).cast("double").alias("value")) for i, c in enumerate(names)])
     return (
         points.filter(F.col("point_index") < sample)
@@ -221,25 +216,40 @@ def _splits(files: DataFrame, split_bytes: int) -> DataFrame:
     return _spread(numbered.select("path", (F.col("split") * split_bytes).alias("start")), 1)
 
 
-def points_of(files: DataFrame, columns: list[str] | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Points of a table or stream of files with ``path`` and ``length``, split by bytes like the source."""
+def _or_nothing(batches: Iterator[pa.RecordBatch], skip_bad: bool) -> Iterator[pa.RecordBatch]:
+    """The batches of one file; of a file that is no good none, if bad files are to be skipped."""
+    try:
+        yield from batches
+    except (las_records.LasError, struct.error):
+        if not skip_bad:
+            raise
+
+
+def points_of(files: DataFrame, columns: list[str] | None = None, split_bytes: int = SPLIT_BYTES, skip_bad: bool = False) -> DataFrame:
+    """Points of a table or stream of files with ``path`` and ``length``, split by bytes like the source.
+
+    ``skip_bad`` leaves out files that are no LAS files, which ``file_totals_of`` names.
+    """
     columns = columns or ["file_id", *PLACES, *CORE_DIMENSIONS]
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 path, start = row["path"], row["start"]
-                yield from las_records.read_range(path, start, start + split_bytes, columns, _labels_with_id(path))
+                yield from _or_nothing(las_records.read_range(path, start, start + split_bytes, columns, _labels_with_id(path)), skip_bad)
 
     return _splits(files, split_bytes).mapInArrow(decode, spark_schema(columns))
 
 
 def chunks_of(
-    files: DataFrame, size: int = CHUNK_POINTS, dimensions: list[str] | None = None, split_bytes: int = SPLIT_BYTES
-) -> DataFrame:
+    files: DataFrame, size: int = CHUNK_POINTS, dimensions: list[str] | None = None, split_bytes: int = SPLIT_BYTES,
+    skip_bad: bool = False, timed: bool = False,
+) -> DataFrame:
     """Chunk rows of a table or stream of files: tenant, file, chunk number and an array of points.
 
     A task reads the chunks that begin in its byte range to their end, so points are not shuffled.
+    ``timed`` adds when reading a chunk began and ended, in seconds since 1970. ``skip_bad`` leaves out
+    files that are no LAS files.
     """
     dimensions = dimensions or CORE_DIMENSIONS
     point = spark_schema(dimensions).simpleString()
@@ -248,36 +258,47 @@ def chunks_of(
         for batch in batches:
             for row in batch.to_pylist():
                 path, start = row["path"], row["start"]
-                yield from las_records.read_chunks(path, start, start + split_bytes, dimensions, labels_of(path), size)
+                began = time.time()
+                for chunk in _or_nothing(las_records.read_chunks(path, start, start + split_bytes, dimensions, labels_of(path), size), skip_bad):
+                    ended = time.time()
+                    yield chunk.append_column("began", pa.array([began])).append_column("ended", pa.array([ended])) if timed else chunk
+                    began = ended
 
-    schema = f"tenant_id string, file_name string, chunk_number int, points array<{point}>"
+    schema = f"tenant_id string, file_name string, chunk_number int, points array<{point}>" + ", began double, ended double" * timed
     return _splits(files, split_bytes).mapInArrow(decode, schema)
 
 
 def file_totals_of(files: DataFrame, size: int = CHUNK_POINTS) -> DataFrame:
-    """Per file: tenant, name, MB, points and chunks. Only headers are read, not the points."""
+    """Per file: tenant, name, MB, points, chunks, declared points and ``error``. Only headers are read.
+
+    A file that is no LAS file has an error and no points; one that is cut off has an error and the points it holds.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels = [labels_of(p) for p in batch["path"].to_pylist()]
-            counts = [las_records.whole_points(p) for p in batch["path"].to_pylist()]
+            held, declared, errors = zip(*[las_records.points_or_error(p) for p in batch["path"].to_pylist()], strict=True) if batch.num_rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     *[pa.array([row[c] for row in labels], pa.string()) for c in LABELS],
                     batch["length"],
-                    pa.array(counts, pa.int64()),
+                    pa.array(held, pa.int64()),
+                    pa.array(declared, pa.int64()),
+                    pa.array(errors, pa.string()),
                 ],
-                names=[*LABELS, "length", "total_points"],
+                names=[*LABELS, "length", "total_points", "declared_points", "error"],
             )
 
     counted = _spread(files.select("path", "length"), HEADERS_PER_TASK).mapInArrow(
-        count, "tenant_id string, file_name string, length bigint, total_points bigint"
+        count, "tenant_id string, file_name string, length bigint, total_points bigint, declared_points bigint, error string"
     )
     return counted.select(
         *LABELS,
         "total_points",
         F.ceil(F.col("total_points") / size).alias("total_chunks"),
         (F.col("length") / MEGABYTE).alias("file_size_mb"),
+        "declared_points",
+        "error",
     )
 
 

@@ -104,6 +104,7 @@ class Header:
     record_bytes: int
     data_start: int
     points: int
+    declared_points: int
     scale: tuple[float, float, float]
     offset: tuple[float, float, float]
 
@@ -145,7 +146,7 @@ def arrow_type(name: str) -> pa.DataType:
 
 
 def parse_header(raw: bytes, size: int) -> Header:
-    """The header; the point count is cut to the whole records the file really holds."""
+    """The header, with the points it declares and those whose whole records the file really holds."""
     if len(raw) < 227 or raw[:4] != b"LASF":
         raise LasError("not a LAS file")
     minor = raw[25]
@@ -157,12 +158,15 @@ def parse_header(raw: bytes, size: int) -> Header:
         raise LasError(f"unknown point format {point_format}")
     if minor >= 4 and len(raw) >= 255:
         (points,) = struct.unpack_from("<Q", raw, 247)
+    if record_bytes == 0:
+        raise LasError("records have no bytes")
     present = max(0, size - data_start) // record_bytes
     return Header(
         point_format,
         record_bytes,
         data_start,
         min(points, present),
+        points,
         struct.unpack_from("<ddd", raw, 131),
         struct.unpack_from("<ddd", raw, 155),
     )
@@ -174,9 +178,15 @@ def read_header(path: str) -> Header:
         return parse_header(handle.read(HEADER_BYTES), handle.size())
 
 
-def whole_points(path: str) -> int:
-    """Points a file really holds, from its header and size alone."""
-    return read_header(path).points
+def points_or_error(path: str) -> tuple[int, int, str | None]:
+    """Points a file holds, points it declares, and what is wrong with it, from header and size alone."""
+    try:
+        header = read_header(path)
+        header.dtype
+    except (LasError, OSError, struct.error) as error:
+        return 0, 0, str(error)
+    short = header.declared_points - header.points
+    return header.points, header.declared_points, f"{short} of {header.declared_points} declared points are missing" if short else None
 
 
 def _column(name: str, data: np.ndarray, header: Header) -> pa.Array:

@@ -13,6 +13,10 @@ from gaugeloft.schemas import READINGS
 FIELDS = "_fields"
 
 
+# Fixed value: CSV files, plain or compressed.
+CSV_FILES = "{*.csv,*.csv.gz,*.csv.bz2,*.csv.zst,*.csv.lz4,*.csv.snappy,*.csv.deflate}"
+
+
 def _field_count(line: Column) -> Column:
     """Fields of a line, without parsing it: separators outside quoted fields, plus one; a blank line has none."""
     bare = F.when(line.contains('"'), F.regexp_replace(line, '(^|,)"(?:[^"]|"")*"', "$1")).otherwise(line)
@@ -24,7 +28,7 @@ def scan_lines(
     spark: SparkSession,
     dirs: list[str],
     schema: StructType = READINGS,
-    glob: str = "*.csv*",
+    glob: str = CSV_FILES,
     key: str | None = "vm_id",
     modulus: int | None = None,
 ) -> DataFrame:
@@ -77,7 +81,7 @@ def read_readings_csv(
     spark: SparkSession,
     dirs: list[str],
     schema: StructType = READINGS,
-    glob: str = "*.csv*",
+    glob: str = CSV_FILES,
     modulus: int | None = None,
     on_error: str = "default",
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from gaugeloft.schemas import CHUNK_MESSAGE, COMPLETION_MESSAGE, STORED_ENVELOPE
 
-# Topic names and messages per trigger.
+# Topic names.
 RAW_TOPIC = "raw-vm-metrics"
 SILVER_TOPIC = "silver-vm-metrics"
 GOLD_TOPIC = "gold-vm-metrics"
@@ -16,7 +16,6 @@ ALERT_TOPIC = "vm-anomalies"
 CRITICAL_TOPIC = "critical-conditions"
 CHUNK_TOPIC = "raw-data"
 COMPLETION_TOPIC = "raw-data-metadata"
-OFFSETS_PER_TRIGGER = 1000
 
 
 def read_topic(
@@ -32,15 +31,15 @@ def read_topic(
 
     Formats other than ``kafka`` read stored message rows below ``path``; they also have the batch
     they were stored by, within which offsets count. ``per_trigger`` limits a micro-batch to so many
-    offsets, or files.
+    offsets, or files; without it a micro-batch takes all there is.
     """
     reader = (spark.readStream if stream else spark.read).format(format).options(**options)
     if format == "kafka":
         reader = reader.option("subscribe", topic).option("startingOffsets", "earliest")
-        if stream:
-            reader = reader.option("maxOffsetsPerTrigger", per_trigger or OFFSETS_PER_TRIGGER)
-        else:
+        if not stream:
             reader = reader.option("endingOffsets", "latest")
+        elif per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", per_trigger)
         return reader.load()
     if stream and per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)

@@ -6,13 +6,14 @@ import time
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeloft.functions.convert import to_message
 from gaugeloft.functions.naming import stem_of
 from gaugeloft.operators import gold as gold_ops
+from gaugeloft.operators.joins import join_small
 from gaugeloft.operators.latest import latest
 from gaugeloft.operators.points import CHUNK_POINTS, file_stats, in_chunks, stored_points, unchunk
 from gaugeloft.operators.quality import stop_on_drift
@@ -21,8 +22,9 @@ from gaugeloft.operators.silver import WATERMARK, alert_rate, row_alerts, silver
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.files import log_batch
 from gaugeloft.sinks.messages import fan_out, write_messages
-from gaugeloft.sources.las import SPLIT_BYTES, chunks_of, file_totals_of, points_of
-from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, SILVER_TOPIC, store_messages
+from gaugeloft.session import settle
+from gaugeloft.sources.las import LABELS, SPLIT_BYTES, chunks_of, file_totals_of, points_of
+from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, SILVER_TOPIC, sent_order, store_messages
 
 TopicWriter = Callable[[DataFrame, int], None]
 
@@ -143,19 +145,31 @@ def run_las(
     chunk_points: int = CHUNK_POINTS,
     bounded: bool = False,
     split_bytes: int = SPLIT_BYTES,
+    log_path: str | None = None,
 ) -> StreamingQuery:
     """Arriving LAS files to the points table, with the ids their chunk messages would give.
 
-    A task reads a part of one file, so it writes to one folder and nothing is shuffled.
+    A task reads a part of one file, so it writes to one folder and nothing is shuffled. With
+    ``log_path`` a bad file is logged there and the others go on; without it a bad file ends the
+    query, as nobody would hear of it otherwise.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        rows = stored_points(in_chunks(points_of(batch, split_bytes=split_bytes), size=chunk_points))
-        keyed.upsert_points(rows, root, number, rebalance=False)
+        points = points_of(batch, split_bytes=split_bytes, skip_bad=log_path is not None)
+        keyed.upsert_points(stored_points(in_chunks(points, size=chunk_points)), root, number, rebalance=False)
+        if log_path:
+            bad = file_totals_of(batch, chunk_points).filter("error IS NOT NULL")
+            log_batch(ingestion_record(_as_runs(bad, F.lit(0.0)), F.current_timestamp()), log_path, number)
 
     return _start(files, each, checkpoint, "append", bounded, None)
 
 
+def _as_runs(totals: DataFrame, seconds: Column) -> DataFrame:
+    """File totals as ingestion runs, the file's error among them."""
+    errors = F.array_compact(F.array("error"))
+    return totals.withColumns({"ingestion_time_sec": seconds, "records_processed": F.col("total_points"), "errors": errors})
+
+
 def run_las_topics(
     files: DataFrame,
     chunk_topic: TopicWriter,
@@ -167,22 +181,22 @@ def run_las_topics(
 ) -> StreamingQuery:
     """Arriving LAS files to chunk messages, then one completion message and one log row per file.
 
-    The processing time of a file is that of its micro-batch, as its chunks are read by many tasks.
+    The processing time of a file runs from the first of its chunks that a task began to the last that one
+    ended. A file that is no LAS file gets a log row with status ``error`` and no completion; one that is
+    cut off is completed with the points it holds, and logged with what is missing.
     """
 
     def each(batch: DataFrame, number: int) -> None:
-        begin = time.monotonic()
+        chunks = settle(chunks_of(batch, chunk_points, skip_bad=True, timed=True))
         sent = F.unix_micros(F.current_timestamp()) / 1e6
-        chunk_topic(chunks_of(batch, chunk_points).withColumn("timestamp", sent), number)
-        seconds = F.lit(time.monotonic() - begin)
-        totals = file_totals_of(batch, chunk_points).persist()
-        try:
-            done = totals.withColumns({"status": F.lit("completed"), "processing_time_sec": seconds})
-            completion_topic(done, number)
-            run = totals.withColumns({"ingestion_time_sec": seconds, "records_processed": F.col("total_points")})
-            log_batch(ingestion_record(run, F.current_timestamp()), log_path, number)
-        finally:
-            totals.unpersist()
+        chunk_topic(chunks.drop("began", "ended").withColumn("timestamp", sent), number)
+        taken = chunks.groupBy(*LABELS).agg((F.max("ended") - F.min("began")).alias("seconds"))
+        totals = settle(join_small(file_totals_of(batch, chunk_points), taken, LABELS, "left"))
+        seconds = F.coalesce("seconds", F.lit(0.0))
+        told = totals.select(*LABELS, "total_points", "total_chunks", "file_size_mb", "error", "declared_points", seconds.alias("processing_time_sec"))
+        whole = told.filter("error IS NULL OR declared_points > 0").drop("error", "declared_points")
+        completion_topic(whole.withColumn("status", F.lit("completed")), number)
+        log_batch(ingestion_record(_as_runs(totals, seconds), F.current_timestamp()), log_path, number)
 
     return _start(files, each, checkpoint, "append", bounded, None)
 
@@ -202,17 +216,23 @@ def run_chunk_topics(
     """
 
     def each_chunk(batch: DataFrame, number: int) -> None:
+        """Of a chunk sent again within the batch the last one counts."""
         begin = time.monotonic()
-        keyed.upsert_points(stored_points(unchunk(batch)), points_root, number)
-        if log_path:
+
+        def log(df: DataFrame) -> None:
             seconds = F.lit(time.monotonic() - begin)
-            log_batch(chunk_record(batch, F.current_timestamp(), seconds), f"{log_path}/consumer", number)
+            log_batch(chunk_record(df, F.current_timestamp(), seconds), f"{log_path}/consumer", number)
+
+        last = latest(batch, [*LABELS, "chunk_number"], sent_order(batch))
+        fan_out(last, [lambda df: keyed.upsert_points(stored_points(unchunk(df)), points_root, number), *([log] if log_path else [])])
 
     def each_completion(batch: DataFrame, number: int) -> None:
-        last = latest(batch.filter(F.col("status") == "completed"), ["tenant_id", "file_name"], ["offset"])
-        keyed.upsert_file_stats(file_stats(last), stats_root, number)
-        if log_path:
-            log_batch(completed_record(last, F.current_timestamp()), f"{log_path}/completed", number)
+        last = latest(batch.filter(F.col("status") == "completed"), LABELS, sent_order(batch))
+
+        def log(df: DataFrame) -> None:
+            log_batch(completed_record(df, F.current_timestamp()), f"{log_path}/completed", number)
+
+        fan_out(last, [lambda df: keyed.upsert_file_stats(file_stats(df), stats_root, number), *([log] if log_path else [])])
 
     return [
         _start(chunks, each_chunk, f"{checkpoint}/points", "append", bounded, None),

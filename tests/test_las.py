@@ -39,11 +39,12 @@ def put(folder, name, data):
 def test_dimensions_and_values(spark, path):
     file = put(f"{path}/tenantB", "a.b.las", cloud(10))
     df = las.read_las(spark, file)
-    assert df.columns == [
+    assert df.columns == [*las.PLACES, *las_records.all_dimensions(), *las_records.SCALED]
+    assert {c for c in df.columns if df.filter(F.col(c).isNotNull()).count()} == {
         "tenant_id", "file_name", "point_index", "point_format_id", "X", "Y", "Z", "intensity", "return_number",
         "number_of_returns", "scan_direction_flag", "edge_of_flight_line", "classification", "synthetic", "key_point",
         "withheld", "scan_angle_rank", "user_data", "point_source_id", "gps_time", "scaled_x", "scaled_y", "scaled_z",
-    ]
+    }
     row = df.filter("point_index = 3").first()
     assert (row.tenant_id, row.file_name, row.X, row.Y, row.scaled_x, row.scaled_y) == ("tenantB", "a.b.las", 6, -3, 103.0, 198.5)
     assert (row.return_number, row.number_of_returns, row.scan_direction_flag, row.edge_of_flight_line) == (1, 2, 1, 1)
@@ -107,11 +108,11 @@ def test_other_files_are_refused(spark, path, damage, message):
 def test_mixed_formats(spark, path):
     put(path, "a.las", cloud(2, 0))
     put(path, "b.las", cloud(2, 3, red=np.full(2, 7)))
-    assert "red" not in las.read_las(spark, path).columns
-    merged = las.read_las(spark, path, merge_schema=True)
-    assert sorted((r.file_name, r.red) for r in merged.collect()) == [("a.las", None)] * 2 + [("b.las", 7)] * 2 or [
-        (r.file_name, r.red) for r in merged.orderBy("file_name").collect()
-    ] == [("a.las", None)] * 2 + [("b.las", 7)] * 2
+    put(path, "c.las", cloud(2, 1, gps_time=np.full(2, 1.5)))
+    rows = las.read_las(spark, path).orderBy("file_name").collect()
+    assert [(r.file_name, r.red, r.gps_time) for r in rows] == [("a.las", None, None)] * 2 + [("b.las", 7, 0.0)] * 2 + [("c.las", None, 1.5)] * 2
+    export_points_csv(las.read_las(spark, path), f"{path}/out")
+    assert spark.read.option("header", True).csv(f"{path}/out").filter("gps_time = 1.5").count() == 2
 
 
 def test_file_filters_skip_files(spark, path):
