@@ -77,12 +77,19 @@ class Index:
                 self.postings[word].append((t, place))
 
     def labels(self, words: list[bytes]) -> dict[str, float]:
-        """Label to the best share of a template found with its mandatory phrase."""
-        ranked = sorted(self.postings.keys() & set(words), key=lambda w: (-self.idf.get(w, 0.0), w))
+        """Label to the best share of a template found with its mandatory phrase.
+
+        Templates whose phrase has a word that the file lacks are out before any place is looked up.
+        """
+        present = self.postings.keys() & set(words)
+        able = {t for t, (_, must, _) in enumerate(self.templates) if present.issuperset(must)}
+        if not able:
+            return {}
+        ranked = sorted(present, key=lambda w: (-self.idf.get(w, 0.0), w))
         used: Counter[int] = Counter()
         chosen: dict[bytes, list[tuple[int, int]]] = {}
         for word in ranked:
-            mine = [(t, place) for t, place in self.postings[word] if used[t] < RAREST]
+            mine = [(t, place) for t, place in self.postings[word] if t in able and used[t] < RAREST]
             if mine:
                 chosen[word] = mine
                 used.update({t for t, _ in mine})
