@@ -34,6 +34,12 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: a bare one lies on Spark's default file system, also for readers other than Spark."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -44,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(named)
-        return named.rstrip("/")
+        return qualified(spark, named).rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="gaugeloft-")

@@ -20,12 +20,14 @@ from pyspark.sql.types import StructType
 from gaugeloft.functions.measures import MEGABYTE
 from gaugeloft.functions.naming import DEFAULT_TENANT
 from gaugeloft.operators.points import CHUNK_POINTS, CORE_DIMENSIONS
+from gaugeloft.session import qualified
 from gaugeloft.sources import las_records
 from gaugeloft.storage import filesystem_of, ship_package
 
 # Fixed value: file names taken, upper or lower case.
 GLOB = "*.[lL][aA][sS]"
 SPLIT_BYTES = 128 * 1024 * 1024
+OPEN_COST = 4 * 1024 * 1024
 LABELS = ["tenant_id", "file_name"]
 PLACES = [*LABELS, "point_index", "point_format_id"]
 SAMPLE_POINTS = 5
@@ -67,14 +69,30 @@ def _list_files(paths: list[str], recursive: bool) -> list[tuple[str, int]]:
             raise las_records.LasError(f"no such path: {path}")
         inside = info.type == fs.FileType.Directory
         infos = system.get_file_info(fs.FileSelector(local, recursive=recursive)) if inside else [info]
-        scheme = path.split("://")[0] + "://" if "://" in path and not path.startswith("file:") else ""
-        found += [(scheme + i.path, i.size) for i in infos if i.is_file and i.extension.lower() == "las"]
+        base = path.rstrip("/")
+        found += [(base + i.path[len(local.rstrip("/")) :], i.size) for i in infos if i.is_file and i.extension.lower() == "las"]
     return sorted(found)
 
 
-class ByteRange(InputPartition):
-    def __init__(self, path: str, start: int, end: int):
-        self.path, self.start, self.end = path, start, end
+class ByteRanges(InputPartition):
+    """What one task reads: a part of a large file, or several small files."""
+
+    def __init__(self, ranges: list[tuple[str, int, int]]):
+        self.ranges = ranges
+
+
+def packed(ranges: list[tuple[str, int, int]], limit: int, cost: int) -> list[ByteRanges]:
+    """Ranges put together until their bytes, and ``cost`` for opening each, reach the limit."""
+    parts: list[ByteRanges] = []
+    room = -1
+    for item in ranges:
+        size = item[2] - item[1] + cost
+        if size > room:
+            parts.append(ByteRanges([]))
+            room = limit + cost
+        parts[-1].ranges.append(item)
+        room -= size
+    return parts
 
 
 class LasReader(DataSourceReader):
@@ -84,19 +102,18 @@ class LasReader(DataSourceReader):
         self.wanted: dict[str, set] = {}
         self.before: int | None = None
 
-    def partitions(self) -> list[ByteRange]:
+    def partitions(self) -> list[ByteRanges]:
         ranges = []
         for path, size in _list_files(self.paths, self.recursive):
             labels = labels_of(path)
             if all(labels[c] in values for c, values in self.wanted.items()):
                 starts = range(0, max(size, 1), self.split_bytes)
-                ranges += [ByteRange(path, s, min(s + self.split_bytes, max(size, 1))) for s in starts]
-        return ranges
+                ranges += [(path, s, min(s + self.split_bytes, max(size, 1))) for s in starts]
+        return packed(ranges, self.split_bytes, min(OPEN_COST, self.split_bytes))
 
-    def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        yield from las_records.read_range(
-            partition.path, partition.start, partition.end, self.columns, labels_of(partition.path), self.before
-        )
+    def read(self, partition: ByteRanges) -> Iterator[pa.RecordBatch]:
+        for path, start, end in partition.ranges:
+            yield from las_records.read_range(path, start, end, self.columns, labels_of(path), self.before)
 
 
 class PruningLasReader(LasReader):
@@ -156,7 +173,7 @@ def read_las(
     spark.dataSource.register(LasSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     reader = spark.read.format("las").options(
-        paths=json.dumps([paths] if isinstance(paths, str) else paths),
+        paths=json.dumps([qualified(spark, p) for p in ([paths] if isinstance(paths, str) else paths)]),
         splitBytes=str(split_bytes),
         recursive=str(recursive),
         pruneFiles="true",
@@ -166,7 +183,7 @@ def read_las(
 
 def describe_las(spark: SparkSession, path: str, sample: int = SAMPLE_POINTS) -> DataFrame:
     """Dimension names of a file, its point format, and the values of its leading points."""
-    names = las_records.read_header(path).dimensions
+    names = las_records.read_header(qualified(spark, path)).dimensions
     points = read_las(spark, path, [*PLACES, *names])
     pairs = F.array(*[F.struct(F.lit(i).alias("place"), F.lit(c).alias("dimension"), F.col(c).cast("double").alias("value")) for i, c in enumerate(names)])
     return (

@@ -15,12 +15,20 @@ _shipped: set[str] = set()
 
 
 def filesystem_of(path: str) -> tuple[fs.FileSystem, str]:
-    """Any file system Arrow knows, so that executors read and write shared storage directly."""
+    """Any file system Arrow knows, so that executors read and write shared storage directly.
+
+    A path without a scheme is local; ``qualified`` gives it the one Spark means.
+    """
     if path.startswith("file:"):
         path = "/" + path[len("file:") :].lstrip("/")
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    scheme, colon, _ = path.partition(":/")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if "://" not in path:
+        raise ValueError(f"no file system of Arrow's is known for {path}")
+    if scheme in ("s3a", "s3n"):
+        path = "s3" + path[len(scheme) :]
+    return fs.FileSystem.from_uri(path)
 
 
 def _package_zip() -> bytes:

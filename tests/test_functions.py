@@ -110,7 +110,7 @@ def test_run_measures(spark):
     assert rows[0].mb == 550000 * 24 * 8 / (1024 * 1024)
 
 
-@pytest.mark.parametrize("ratio", [0.0, 1.0, 0.15625, 0.46875, 1 / 3, 0.125, 0.8])
+@pytest.mark.parametrize("ratio", [0.0, 1.0, 0.15625, 0.46875, 1 / 3, 0.125, 0.8, 0.02675, 0.00005, 0.00015, 0.99995, 0.12345, 0.56785, 2 / 3])
 def test_percent_text(spark, ratio):
     df = spark.createDataFrame([(ratio,)], "r double")
     assert values(df.select(measures.percent_text(F.col("r")))) == [f"{ratio * 100:.2f}%"]

@@ -2,6 +2,7 @@ import os
 import struct
 import subprocess
 import sys
+import time
 from pathlib import Path
 
 import numpy as np
@@ -222,3 +223,55 @@ def test_labels_agree_with_the_column_functions(spark):
     df = spark.createDataFrame([(p,) for p in paths], "p string").select("p", tenant_of(F.col("p")).alias("t"), file_name_of(F.col("p")).alias("f"))
     assert all(las.labels_of(r.p) == {"tenant_id": r.t, "file_name": r.f} for r in df.collect())
     assert set(CORE_DIMENSIONS) <= set(las_records.all_dimensions())
+
+
+def test_many_small_files_share_partitions_and_keep_their_names(spark, path):
+    ranges = [(f"hdfs://nn:8020/t/{i}.las", 0, 300_000) for i in range(10_000)]
+    parts = las.packed(ranges, las.SPLIT_BYTES, las.OPEN_COST)
+    assert [r for p in parts for r in p.ranges] == ranges
+    assert len(parts) <= 10_000 * (300_000 + las.OPEN_COST) / las.SPLIT_BYTES + 20
+    assert len(las.packed([("a", 0, 10), ("a", 10, 20)], 10, 10)) == 2
+    for i in range(30):
+        put(f"{path}/tenantA", f"{i}.las", cloud(10))
+    df = las.read_las(spark, path, ["file_name", "X"], recursive=True)
+    assert df.rdd.getNumPartitions() == 1 and df.select("file_name").distinct().count() == 30
+
+
+def test_paths_of_other_file_systems(spark, path, monkeypatch):
+    from gaugeloft import storage
+    from gaugeloft.session import qualified
+
+    assert {storage.filesystem_of(p)[1] for p in ("file:/a/b", "file:///a/b", "/a/b")} == {"/a/b"}
+    with pytest.raises(ValueError, match="no file system"):
+        storage.filesystem_of("dbfs:/x")
+    system, local = storage.filesystem_of("s3a://bucket/key?region=eu-west-1")
+    assert system.type_name == "s3" and local == "bucket/key"
+    assert qualified(spark, "/a/b") == "file:/a/b"
+
+
+def test_bad_files_do_not_stop_the_others(spark, path):
+    for i in range(3):
+        put(f"{path}/in/tenantA", f"good{i}.las", cloud(25))
+    put(f"{path}/in/tenantA", "junk.las", b"junk")
+    put(f"{path}/in/tenantA", "nothing.las", b"LASF")
+    put(f"{path}/in/tenantB", "cut.las", cloud(10)[:-30])
+    topics = {name: pipelines.stored_topic(f"{path}/{name}", name, "tenant_id") for name in ("raw-data", "raw-data-metadata")}
+    pipelines.run_las_topics(las.watch_las(spark, f"{path}/in/*"), *topics.values(), f"{path}/log", f"{path}/c", chunk_points=10, bounded=True).awaitTermination()
+    logged = {r.file_name: (r.records_processed, r.status, bool(r.errors)) for r in read_run_logs(spark, f"{path}/log").collect()}
+    assert logged == {**{f"good{i}.las": (25, "success", False) for i in range(3)}, "junk.las": (0, "error", True), "nothing.las": (0, "error", True), "cut.las": (8, "success", True)}
+    told = completion_messages(read_topic(spark, "raw-data-metadata", "parquet", f"{path}/raw-data-metadata"))[0]
+    assert sorted(r.file_name for r in told.collect()) == ["cut.las", "good0.las", "good1.las", "good2.las"]
+    run_las(las.watch_las(spark, f"{path}/in/*"), f"{path}/points", f"{path}/c2", bounded=True, log_path=f"{path}/log2").awaitTermination()
+    assert keyed.read_points(spark, f"{path}/points").count() == 83
+    assert {r.file_name for r in read_run_logs(spark, f"{path}/log2").collect()} == {"junk.las", "nothing.las", "cut.las"}
+
+
+def test_seconds_are_those_of_the_file(spark, path):
+    for i in range(50):
+        put(f"{path}/in/tenantA", f"{i}.las", cloud(50))
+    topics = {name: pipelines.stored_topic(f"{path}/{name}", name, "tenant_id") for name in ("raw-data", "raw-data-metadata")}
+    begin = time.monotonic()
+    pipelines.run_las_topics(las.watch_las(spark, f"{path}/in/tenantA"), *topics.values(), f"{path}/log", f"{path}/c", bounded=True).awaitTermination()
+    batch = time.monotonic() - begin
+    seconds = [r.ingestion_time_sec for r in read_run_logs(spark, f"{path}/log").collect()]
+    assert len(seconds) == 50 and all(0 < s < batch / 2 for s in seconds)

@@ -80,3 +80,9 @@ def test_scorer_sees_json_and_runs_in_the_tasks(spark):
     df = spark.createDataFrame([("a", 50.0), ("b", None)], "vm_id string, avg_max_cpu double")
     got = score(df, lambda texts: [json.loads(t).get("avg_max_cpu", -1.0) * 2 for t in texts])
     assert sorted(map(tuple, got.select("vm_id", "score").collect())) == [("a", 100.0), ("b", -2.0)]
+
+
+def test_outliers_without_a_group(spark):
+    df = spark.createDataFrame([(float(v),) for v in [*range(100), 10_000]], "v double")
+    for flagged in (quality.outliers_by_deviation(df, [], "v", 3.0), quality.outliers_by_percentile(df, [], "v", 0.0, 0.99)):
+        assert [r.v for r in flagged.filter("is_outlier").collect()] == [10_000.0]

@@ -1,4 +1,8 @@
+import os
+import subprocess
+import sys
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +13,7 @@ from gaugeloft.sinks.messages import show
 from gaugeloft.sources.topics import as_envelope
 
 T0 = datetime(2019, 1, 1)
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def readings(spark, rows):
@@ -131,3 +136,24 @@ def test_topic_versions(spark):
     assert [(r.avg_max_cpu, r.window_start) for r in once] == [(65.0, T0)]
     every = gold.overload(gold.silver_from_messages(topic, dedup=False)).first()
     assert (every.total_windows, every.anomaly_windows) == (2, 1)
+
+
+@pytest.mark.parametrize("zone", ["Asia/Tokyo", "America/New_York"])
+def test_ranges_do_not_depend_on_the_drivers_clock(zone, tmp_path):
+    """The same rows as in UTC, from a driver whose own zone is another."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+import __spark_entry__ as entry
+from gaugeloft.session import build_session
+spark = build_session("zone", "local[4]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": {str(tmp_path)!r}}})
+from pyspark.sql import functions as F
+for name in ("gold_range", "gold_lookback", "vm_lookup", "message_latency"):
+    df = entry.queries()[name](spark, {SF!r})
+    print("ROWS", name, df.count(), df.select(F.bit_xor(F.xxhash64(*[F.col(c).cast("string") for c in df.columns]))).first()[0])
+"""
+    got = []
+    for tz in ("UTC", zone):
+        done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300, env={**os.environ, "TZ": tz})
+        got.append([line for line in done.stdout.splitlines() if line.startswith("ROWS")])
+    assert len(got[0]) == 4 and got[0] == got[1], done.stderr[-1500:]
