@@ -83,8 +83,14 @@ def stamped(gold: DataFrame) -> DataFrame:
     return gold.withColumn("processed_time", F.current_timestamp())
 
 
-def finished_between(silver: DataFrame, after: datetime, until: datetime) -> DataFrame:
-    """Windows that ended since the last run, up to the new cut-off."""
+def finished_between(silver: DataFrame, after: datetime, until: datetime, longest: timedelta = timedelta(days=1)) -> DataFrame:
+    """Windows that ended since the last run, up to the new cut-off.
+
+    Where the table has day folders only those are read in which such a window may start; ``longest``
+    is the longest window.
+    """
+    if "date" in silver.columns:
+        silver = _on_days(silver, after - longest, until)
     return silver.filter((F.col("window_end") > utc_time(after)) & (F.col("window_end") <= utc_time(until)))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gaugeloft.functions.convert import TRACE_START, epoch_to_time, parse_json, shift_epoch, time_to_text, utc_time
+from gaugeloft.functions.convert import TRACE_START, epoch_to_time, event_time_or_arrival, parse_json, shift_epoch, time_to_text, utc_time
 from gaugeloft.functions.measures import ANOMALY_THRESHOLD, is_over
 from gaugeloft.schemas import READINGS
 
@@ -17,10 +17,18 @@ WINDOW = "3 minutes"
 WATERMARK = "30 seconds"
 
 
-def readings_from_messages(messages: DataFrame, schema: StructType = READINGS, offset: int = TRACE_START) -> DataFrame:
-    """Parsed readings of a topic with their event time and row flag."""
-    parsed = parse_json(messages, "value", schema)
-    return with_event_time(parsed, offset)
+def readings_from_messages(
+    messages: DataFrame, schema: StructType = READINGS, offset: int = TRACE_START, by_arrival: bool = False
+) -> DataFrame:
+    """Parsed readings of a topic with their event time and row flag.
+
+    With ``by_arrival`` a reading that carries no time takes that of its message.
+    """
+    if not by_arrival:
+        return with_event_time(parse_json(messages, "value", schema), offset)
+    sent = messages.withColumnRenamed("timestamp", "arrival_time")
+    timed = with_event_time(parse_json(sent, "value", schema, keep=["arrival_time"]), offset)
+    return timed.withColumn("event_time", event_time_or_arrival(F.col("event_time"), F.col("arrival_time"))).drop("arrival_time")
 
 
 def with_event_time(readings: DataFrame, offset: int = TRACE_START, threshold: float = ANOMALY_THRESHOLD) -> DataFrame:

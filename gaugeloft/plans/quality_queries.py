@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import time
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gaugeloft.functions.convert import TRACE_START, to_message, utc_time
 from gaugeloft.functions.measures import is_over
 from gaugeloft.operators import gold as gold_ops
 from gaugeloft.operators import quality, runs
@@ -21,11 +23,12 @@ from gaugeloft.session import fresh_dir
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.files import append_run_log
 from gaugeloft.sources.runlogs import read_run_logs
-from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, GOLD_TOPIC, RAW_TOPIC, SILVER_TOPIC, read_topic
+from gaugeloft.sources.topics import ALERT_TOPIC, CRITICAL_TOPIC, GOLD_TOPIC, RAW_TOPIC, SILVER_TOPIC, as_envelope, read_topic
 from gaugeloft.streaming import pipelines
 from gaugeloft.streaming.monitoring import MetricsListener, observed, read_metrics
 
 METRICS_SECONDS = 120
+ARRIVAL = datetime(2024, 1, 25, 12)
 LINE_BOUNDS = {"l_quantity": (5, 45), "l_extendedprice": (None, 60000), "l_discount": (0.01, None)}
 REQUIRED = ["price", "discount", "number"]
 
@@ -175,6 +178,22 @@ def streaming_silver(spark, sf_dir):
     return rounded(keyed.read_silver(spark, root).drop("date"))
 
 
+def stream_time_fallback(spark, sf_dir):
+    """A topic in which every tenth reading carries no time and takes that of its message."""
+    path, root = fresh_dir(spark, "raw-topic"), fresh_dir(spark, "silver")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp")) - TRACE_START
+    rows = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 10 != 0, seconds).alias("timestamp"),
+        F.col("user_id").cast("string").alias("vm_id"),
+        *[F.col("value").alias(c) for c in ("min_cpu", "max_cpu", "avg_cpu")],
+    )
+    as_envelope(to_message(rows, "vm_id"), RAW_TOPIC).withColumn("timestamp", utc_time(ARRIVAL)).write.parquet(path)
+    readings = readings_from_messages(read_topic(spark, RAW_TOPIC, "parquet", path, stream=True), by_arrival=True)
+    averages = window_average(readings, window="1 day", watermark=no_lateness(spark, sf_dir))
+    pipelines.run_silver(averages, root, fresh_dir(spark, "checkpoint"), bounded=True).awaitTermination()
+    return rounded(keyed.read_silver(spark, root).drop("date"))
+
+
 def streaming_silver_topic(spark, sf_dir):
     """Table and topic from one stream; the topic holds several versions of a window, the last one counts."""
     root, topic, checkpoint = fresh_dir(spark, "silver"), fresh_dir(spark, "topic"), fresh_dir(spark, "checkpoint")
@@ -366,6 +385,10 @@ QUERIES = {
             FROM ({SQL_TREND})) WHERE reasons <> ''""",
     ),
     "streaming_silver_parity": (streaming_silver, sql_text_silver("3 minutes")),
+    "stream_time_fallback": (
+        stream_time_fallback,
+        sql_text_silver("1 day").replace("FROM events", f"FROM (SELECT * REPLACE (CASE WHEN event_id % 10 = 0 THEN TIMESTAMP '{ARRIVAL}' ELSE ts END AS ts) FROM events)"),
+    ),
     "streaming_silver_topic": (streaming_silver_topic, sql_text_silver("1 day")),
     "streaming_gold": (streaming_gold, sql_gold(sql_silver("1 hour", rounded=False), key="vm_id::VARCHAR")),
     "streaming_alerts": (

@@ -25,7 +25,7 @@ from gaugeloft.sinks import keyed
 from gaugeloft.sinks.messages import fan_out
 from gaugeloft.sources.readings import read_readings_csv, rejected_lines, scan_lines
 from gaugeloft.sources.topics import RAW_TOPIC, SILVER_TOPIC, as_envelope, first_messages, read_topic, replay, store_messages
-from gaugeloft.streaming.pipelines import stored_topic
+from gaugeloft.streaming.pipelines import run_gold_incremental, stored_topic
 
 START, END = datetime(2024, 1, 5), datetime(2024, 1, 20)
 LOW_FREQUENCY = 0.15
@@ -97,10 +97,12 @@ def gold_low_threshold(spark, sf_dir):
 
 
 def gold_incremental(spark, sf_dir):
-    windows = silver(spark, sf_dir, "1 hour")
-    before = gold_ops.overload(gold_ops.finished_between(windows, datetime(1970, 1, 1), START))
-    since = gold_ops.overload(gold_ops.finished_between(windows, START, END))
-    return naive(gold_ops.add_counts(before, since))
+    """The stored gold table brought up to date twice; the second run reads the days since the first."""
+    silver_root, gold_root = fresh_dir(spark, "silver"), fresh_dir(spark, "gold")
+    keyed.upsert_silver(silver(spark, sf_dir, "1 hour"), silver_root, 0)
+    for run, until in enumerate((START, END)):
+        run_gold_incremental(spark, silver_root, gold_root, run, until)
+    return naive(keyed.read_gold(spark, gold_root).drop("processed_time"))
 
 
 def gold_report(spark, sf_dir):
@@ -355,7 +357,7 @@ QUERIES = {
     "gold_at_low_threshold": (gold_low_threshold, sql_gold(sql_silver("3 minutes", rounded=False), threshold=LOW_FREQUENCY)),
     "gold_incremental": (
         gold_incremental,
-        sql_gold(sql_silver("1 hour", rounded=False), "window_end <= TIMESTAMP '2024-01-20'"),
+        sql_gold(sql_silver("1 hour", rounded=False), "window_end <= TIMESTAMP '2024-01-20'", end="TIMESTAMP '2024-01-20'"),
     ),
     "gold_report": (
         gold_report,
