@@ -31,6 +31,7 @@ from gaugeloft.session import settle
 HASHES = 224
 ROWS = 5
 BITS = 4
+FINE_HASHES = 2048
 CHUNK = 2048
 MARGIN = 4.9
 STARS = 2
@@ -41,15 +42,18 @@ SIGNED = "id bigint, text_key decimal(38,0), n_shingles bigint, set_key decimal(
 _draw = np.random.default_rng(0x5EED)
 MULTIPLIERS = _draw.integers(0, 1 << 31, (HASHES, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 SUMMANDS = _draw.integers(0, 1 << 32, (HASHES, 1), dtype=np.uint32)
+FINE_MULTIPLIERS = _draw.integers(0, 1 << 31, (FINE_HASHES, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+FINE_SUMMANDS = _draw.integers(0, 1 << 32, (FINE_HASHES, 1), dtype=np.uint32)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
+def minima(shingles: np.ndarray, multipliers: np.ndarray = MULTIPLIERS, summands: np.ndarray = SUMMANDS) -> np.ndarray:
     """The minimum of each hash function over the set, in pieces that stay in the processor's cache."""
-    low = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint32)
+    low = np.full(len(multipliers), 0xFFFFFFFF, dtype=np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    for start in range(0, len(x), CHUNK):
-        values = MULTIPLIERS * x[None, start : start + CHUNK]
-        values += SUMMANDS
+    step = CHUNK * HASHES // len(multipliers)
+    for start in range(0, len(x), step):
+        values = multipliers * x[None, start : start + step]
+        values += summands
         np.minimum(low, values.min(axis=1), out=low)
     return low
 
@@ -69,6 +73,12 @@ def packed_bits(low: np.ndarray) -> np.ndarray:
     return (nibbles[0::2] | nibbles[1::2] << 4).view(np.int64)
 
 
+def fine_bits(shingles: np.ndarray) -> np.ndarray:
+    """One low bit of each of many more minima, 64 to a long."""
+    low = minima(shingles, FINE_MULTIPLIERS, FINE_SUMMANDS)
+    return np.packbits((low & np.uint32(1)).astype(np.uint8)).view(np.int64)
+
+
 def set_key(shingles: np.ndarray) -> Decimal:
     return Decimal(xxhash.xxh3_128_intdigest(shingles.tobytes()) % DIGEST)
 
@@ -100,6 +110,12 @@ def _shingler(size: int):
     return shingle
 
 
+def _fine_signer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bits = [fine_bits(s.values.to_numpy(zero_copy_only=False).view(np.uint64)) for s in batch.column("shingles")]
+        yield pa.RecordBatch.from_arrays([batch.column("set_key"), batch.column("shared"), pa.array(bits, pa.list_(pa.int64()))], ["set_key", "shared", "fine"])
+
+
 def text_key(text: Column) -> Column:
     """Tells texts apart: 96 bits of two hashes as a number, which aggregates in place."""
     return F.xxhash64(text).cast("decimal(38,0)") * (1 << 32) + F.pmod(F.hash(text), F.lit(1 << 32))
@@ -119,11 +135,17 @@ def similarity_of_bits(a: str, b: str) -> Column:
     return ((1 - unequal / HASHES) - 2.0**-BITS) / (1 - 2.0**-BITS)
 
 
-def lowest_estimate(percent: int) -> float:
+def similarity_of_fine_bits(a: str, b: str) -> Column:
+    """The same from one bit of each of the many minima."""
+    unequal = reduce(lambda x, y: x + y, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(FINE_HASHES // 64)])
+    return 1 - 2 * unequal / FINE_HASHES
+
+
+def lowest_estimate(percent: int, hashes: int = HASHES, bits: int = BITS) -> float:
     """What the estimate of a pair at the limit stays above, but for one in a million."""
     s = percent / 100
-    agree = s + (1 - s) / 2**BITS
-    return s - MARGIN * (agree * (1 - agree) / HASHES) ** 0.5 / (1 - 2.0**-BITS)
+    agree = s + (1 - s) / 2**bits
+    return s - MARGIN * (agree * (1 - agree) / hashes) ** 0.5 / (1 - 2.0**-bits)
 
 
 class NearDuplicates:
@@ -181,20 +203,25 @@ class NearDuplicates:
     def _crossing(self, apart: DataFrame) -> DataFrame:
         """All pairs of one bucket and different components that a link is possible for: ``a, b, n_a, n_b``.
 
-        Sizes and bits must allow it, and so must what either set shares at all: a link takes percent
+        Sizes and bits must allow it, also the bits of a longer signature that only sets still in question
+        get; and so must what either set shares at all: a link takes percent
         / (100 + percent) of both sizes together in common, and shingles that no other set of the
         family has are common to none.
         """
         signed = apart.join(self.classes.select("set_key", "n", "bits"), "set_key").join(self._shared(apart), "set_key")
-        columns = ("set_key", "label", "n", "bits", "shared")
+        columns = ("set_key", "label", "n", "bits", "shared", "fine")
         left, right = (signed.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
         enough = F.least("shared_a", "shared_b") * (100 + self.percent) >= (F.col("n_a") + F.col("n_b")) * self.percent
-        possible = (F.col("set_key_a") < F.col("set_key_b")) & (F.col("label_a") != F.col("label_b")) & enough & self._possible()
+        near = similarity_of_fine_bits("fine_a", "fine_b") >= lowest_estimate(self.percent, FINE_HASHES, 1)
+        possible = (F.col("set_key_a") < F.col("set_key_b")) & (F.col("label_a") != F.col("label_b")) & enough & self._possible() & near
         pairs = left.withColumnRenamed("bucket", "_bucket").join(right, (F.col("_bucket") == F.col("bucket")) & possible)
         return settle(pairs.select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b"), "n_a", "n_b").distinct())
 
     def _shared(self, apart: DataFrame) -> DataFrame:
-        """How many shingles of a set some other set of its family has: ``set_key, shared``. A family is what buckets connect."""
+        """How many shingles of a set some other set of its family has, and its longer signature: ``set_key, shared, fine``.
+
+        A family is what buckets connect.
+        """
         first = apart.groupBy("bucket").agg(F.min("set_key").alias("b"))
         family = components(apart.select("bucket", F.col("set_key").alias("a")).join(first, "bucket").select("a", "b"))
         kept = apart.select("set_key").distinct().join(family.withColumnRenamed("node", "set_key"), "set_key", "left")
@@ -202,7 +229,9 @@ class NearDuplicates:
         each = sets.select("set_key", "family", F.explode("shingles").alias("shingle"))
         alone = each.groupBy("family", "shingle").agg(F.count("*").alias("n"), F.min("set_key").alias("set_key")).filter("n = 1")
         lost = alone.groupBy("set_key").agg(F.count("*").alias("lost"))
-        return sets.join(lost, "set_key", "left").select("set_key", (F.size("shingles") - F.coalesce("lost", F.lit(0))).alias("shared"))
+        shared = (F.size("shingles") - F.coalesce("lost", F.lit(0))).cast("bigint").alias("shared")
+        counted = sets.join(lost, "set_key", "left").select("set_key", shared, "shingles")
+        return settle(counted.mapInArrow(_fine_signer, "set_key decimal(38,0), shared bigint, fine array<bigint>"))
 
     def _possible(self) -> Column:
         near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
