@@ -1,12 +1,12 @@
 """Near-duplicates by b-bit MinHash.
 
 Every distinct shingle set is signed with the minima of 224 hash functions. Bands of five minima put
-similar sets into common buckets; of each minimum only the low four bits are kept, packed into longs,
+similar sets into common buckets; of each minimum, mixed once more, only four bits are kept, packed into longs,
 and the number of equal groups of bits, corrected for chance agreement, estimates the similarity of a
 candidate pair. Pairs that may reach the limit are confirmed on their full sets.
 
 A pair at the limit of 0.8 misses all 44 bands with probability 3e-8, and the estimate turns it away
-with probability below 1e-6. Pairs of sets with similarity s meet with probability 44 * s**5 or less,
+with probability of about 1e-6, as far as the hash functions are independent. Pairs of sets with similarity s meet with probability 44 * s**5 or less,
 so for corpora of more than about 10**8 documents choose more rows and hashes: they cost time per
 shingle, not space per document.
 """
@@ -44,6 +44,8 @@ MULTIPLIERS = _draw.integers(0, 1 << 31, (HASHES, 1), dtype=np.uint32) * np.uint
 SUMMANDS = _draw.integers(0, 1 << 32, (HASHES, 1), dtype=np.uint32)
 FINE_MULTIPLIERS = _draw.integers(0, 1 << 31, (FINE_HASHES, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 FINE_SUMMANDS = _draw.integers(0, 1 << 32, (FINE_HASHES, 1), dtype=np.uint32)
+SEEDS = _draw.integers(0, 1 << 32, HASHES, dtype=np.uint32)
+FINE_SEEDS = _draw.integers(0, 1 << 32, FINE_HASHES, dtype=np.uint32)
 
 
 def minima(shingles: np.ndarray, multipliers: np.ndarray = MULTIPLIERS, summands: np.ndarray = SUMMANDS) -> np.ndarray:
@@ -67,15 +69,30 @@ def band_keys(low: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def scrambled(low: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """The minima, mixed differently for each hash function (the finaliser of MurmurHash3).
+
+    Low bits of a * x + b hang on the low bits of x alone, so that those of a small set's few elements would
+    agree, or differ, under all functions at once. The bits kept of a mixed minimum are independent.
+    """
+    x = low ^ seeds
+    x ^= x >> np.uint32(16)
+    x *= np.uint32(0x85EBCA6B)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE35)
+    x ^= x >> np.uint32(16)
+    return x
+
+
 def packed_bits(low: np.ndarray) -> np.ndarray:
-    """The low four bits of each minimum, sixteen to a long."""
-    nibbles = (low & np.uint32((1 << BITS) - 1)).astype(np.uint8)
+    """Four bits of each mixed minimum, sixteen to a long."""
+    nibbles = (scrambled(low, SEEDS) & np.uint32((1 << BITS) - 1)).astype(np.uint8)
     return (nibbles[0::2] | nibbles[1::2] << 4).view(np.int64)
 
 
 def fine_bits(shingles: np.ndarray) -> np.ndarray:
-    """One low bit of each of many more minima, 64 to a long."""
-    low = minima(shingles, FINE_MULTIPLIERS, FINE_SUMMANDS)
+    """One bit of each of many more minima, mixed, 64 to a long."""
+    low = scrambled(minima(shingles, FINE_MULTIPLIERS, FINE_SUMMANDS), FINE_SEEDS)
     return np.packbits((low & np.uint32(1)).astype(np.uint8)).view(np.int64)
 
 
@@ -142,7 +159,7 @@ def similarity_of_fine_bits(a: str, b: str) -> Column:
 
 
 def lowest_estimate(percent: int, hashes: int = HASHES, bits: int = BITS) -> float:
-    """What the estimate of a pair at the limit stays above, but for one in a million."""
+    """What the estimate of a pair at the limit stays above, but for about one in a million."""
     s = percent / 100
     agree = s + (1 - s) / 2**bits
     return s - MARGIN * (agree * (1 - agree) / hashes) ** 0.5 / (1 - 2.0**-bits)

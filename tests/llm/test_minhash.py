@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 from gaugeloft.llm.components import components
-from gaugeloft.llm.minhash import keep_one, lowest_estimate, minima, near_duplicates, packed_bits, similarity_of_bits
+from gaugeloft.llm.minhash import FINE_HASHES, fine_bits, keep_one, lowest_estimate, minima, near_duplicates, packed_bits, similarity_of_bits
 from gaugeloft.llm.queries import op3_minhash
 from gaugeloft.llm.shingles import shingle_set
 
@@ -60,6 +60,34 @@ def test_a_large_family_whose_members_differ(make_docs):
     assert run(make_docs(rows), shingle=2) == brute(rows, 2)
 
 
+def short_variants(rng, families=40, size=10):
+    """Texts of 5 to 15 words: of each family, words are left out of and added to what came before."""
+    rows = []
+    for family in range(families):
+        words = [f"f{family}w{i}" for i in range(15)]
+        for _ in range(size):
+            rows.append((len(rows), " ".join(sorted(rng.sample(words, rng.randrange(5, 16))))))
+    return rows
+
+
+def test_families_of_short_texts(make_docs):
+    rows = short_variants(random.Random(11))
+    assert run(make_docs(rows), shingle=1) == brute(rows, 1)
+
+
+def test_bits_of_small_sets_turn_no_link_away():
+    rng = np.random.default_rng(7)
+    for small in (4, 8, 12, 16):
+        for _ in range(100):
+            whole = np.unique(rng.integers(0, 1 << 64, small * 5 // 4, dtype=np.uint64))
+            part = np.sort(rng.permutation(whole)[:small])
+            fine = [np.unpackbits(fine_bits(s).view(np.uint8)) for s in (whole, part)]
+            assert 1 - 2 * (fine[0] != fine[1]).mean() >= lowest_estimate(80, FINE_HASHES, 1)
+            nibbles = [np.unpackbits(packed_bits(minima(s)).view(np.uint8)).reshape(-1, 4) for s in (whole, part)]
+            equal = (nibbles[0] == nibbles[1]).all(axis=1).mean()
+            assert (equal - 2.0**-4) / (1 - 2.0**-4) >= lowest_estimate(80)
+
+
 def test_odd_documents(odd_docs, make_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     assert run(odd_docs, shingle=2) == brute(rows, 2)
