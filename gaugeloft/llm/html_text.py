@@ -4,8 +4,8 @@ The standard parser's events are read once. Block elements cut the page into lin
 and the tags met since the one before. The ratio of text to tags, smoothed over neighbouring lines with a
 Gaussian, tells content from menus: lines above one standard deviation of the smoothed ratios are clusters
 of content. The content region is the article element with the most clustered text, or without one the
-deepest container that holds nearly all of it. Of the region everything stays but what its own markup
-names as something else.
+deepest container that holds all of it, together with headings, paragraphs and sections that stand beside
+it or its parents. Of the region everything stays but what its own markup names as something else.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ BLOCK = frozenset(
 SPACED = frozenset("br td th".split())
 CONTAINERS = frozenset("html body div section main article table tbody tr td center form fieldset details".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+BESIDE = HEADINGS | {"p", "section", "hgroup"}
 #: Never text of an article.
 UNSEEN = frozenset("script style noscript template head title svg canvas iframe object select option button textarea input label datalist audio video map".split())
 APART = frozenset("nav footer aside form menu dialog search fieldset".split())
@@ -190,10 +191,13 @@ def main_text(html: str | None) -> str:
     in_cluster = ratio >= min(ratio.std(), ratio.max())
     weight: dict[int, float] = {}
     seen: dict[int, float] = {}
+    kept: dict[int, float] = {}
     for (node, text, _, _), clustered, length in zip(page.lines, in_cluster, lengths, strict=True):
         trail = path(node)
         marked = any(page.marks[n] == MARKED and page.tags[n] not in CONTAINERS for n in trail)
+        own = length if clustered and not any(page.marks[n] for n in trail) else 0.0
         for n in trail:
+            kept[n] = kept.get(n, 0.0) + own
             seen[n] = seen.get(n, 0.0) + length
             weight[n] = weight.get(n, 0.0) + (length if clustered and not marked else 0.0)
 
@@ -210,14 +214,20 @@ def main_text(html: str | None) -> str:
         region, children = 0, {}
         for n in seen:
             children.setdefault(page.parents[n], []).append(n)
-        while inner := [n for n in children.get(region, ()) if page.tags[n] in CONTAINERS and page.marks[n] != MARKED and weight[n] >= WHOLE * weight[region] and weight[n]]:
-            region = max(inner, key=score)
+        while inner := [n for n in children.get(region, ()) if page.tags[n] in CONTAINERS and kept[n] and kept[n] == kept[region]]:
+            region = inner[0]
+    around = path(region)
+    first = next(i for i, line in enumerate(page.lines) if region in path(line[0]))
     out = []
-    for node, text, _, linked in page.lines:
+    for i, (node, text, _, linked) in enumerate(page.lines):
         trail = path(node)
-        if region not in trail:
-            continue
-        below = trail[trail.index(region) + 1 :]
+        if region in trail:
+            below = trail[trail.index(region) + 1 :]
+        else:
+            below = trail[sum(1 for n, m in zip(trail, around, strict=False) if n == m) :]
+            beside = below and page.tags[below[0]] in BESIDE or i < first and any(page.tags[n] == "h1" for n in below)
+            if found or not beside or linked and linked >= len(text) - 1:
+                continue
         marks = {page.marks[n] for n in below}
         heading = region and page.articles[region] and any(page.tags[n] in HEADINGS for n in below)
         menu = linked >= len(text) - 1 and any(page.tags[n] == "li" for n in below) and not page.articles[region]

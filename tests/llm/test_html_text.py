@@ -31,6 +31,19 @@ def test_pages(html, want):
     assert main_text(html) == want
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<body>{MENU}<div id=content><h1>T</h1><div class=lead><p>{PROSE}</p></div><div class=story><p>{PROSE}{PROSE}</p><p>{PROSE}{PROSE}</p></div></div>", f"T\n{PROSE.strip()}\n" + "\n".join([(PROSE * 2).strip()] * 2)),
+        (f"<body>{MENU}<div id=content><h1>T</h1><div class=story><p>{PROSE}</p></div></div>", f"T\n{PROSE.strip()}"),
+        (f"<div><section><h2>A</h2><p>A short one.</p></section><section><h2>B</h2><p>{PROSE}{PROSE}</p></section></div>", f"A\nA short one.\nB\n{(PROSE * 2).strip()}"),
+        (f"<div class=top><h1>T</h1></div><div><div><p>{PROSE}</p></div><div><p>{PROSE}</p></div></div><div class=sidebar><h3>No</h3><p>{PROSE}</p></div>", f"T\n{PROSE.strip()}\n{PROSE.strip()}"),
+    ],
+)
+def test_pages_without_an_article_element(html, want):
+    assert main_text(html) == want
+
+
 def plain(html):
     """The same by cutting the known frame of the test pages with expressions."""
     from html import unescape
