@@ -49,6 +49,8 @@ _cut_tag = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")
 _hidden = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 PLAIN, MARKED, TOP = 0, 1, 2
+#: Whether text is cut out of its line: it lies in a marked inline element, or in one that is never text.
+INLINE, NEVER = 1, 2
 SIGMA = 1.0
 WHOLE = 0.7
 
@@ -80,6 +82,7 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parents, self.tags, self.marks, self.articles = [-1], ["html"], [PLAIN], [False]
         self.lines: list[tuple[int, str, int, int]] = []
+        self.cuts = [0]
         self.open = [0]
         self.links = self.met = self.linked = 0
         self.text: list[str] = []
@@ -123,6 +126,9 @@ class Lines(HTMLParser):
         self.parents.append(self.open[-2])
         self.tags.append(tag)
         self.marks.append(_mark(tag, attributes))
+        above = 0 if tag in BLOCK else self.cuts[self.parents[-1]]
+        own = NEVER if tag in UNSEEN else INLINE if self.marks[-1] and tag not in BLOCK else 0
+        self.cuts.append(max(above, own))
         self.articles.append(tag in ("article", "main") or attributes.get("role") in ("main", "article") or "articlebody" in (attributes.get("itemprop") or "").lower())
         self.links += tag == "a"
 
@@ -142,9 +148,9 @@ class Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         node = self.open[-1]
-        if self.marks[node] and self.tags[node] in UNSEEN:
+        if self.cuts[node] == NEVER:
             return
-        if self.tags[node] not in BLOCK and self.marks[node]:
+        if self.cuts[node] == INLINE:
             self.end_line()
             self.at = node
             self.text.append(data)

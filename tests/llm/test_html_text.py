@@ -44,6 +44,21 @@ def test_pages_without_an_article_element(html, want):
     assert main_text(html) == want
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<article><p><span class='share'><b>Share</b></span> {PROSE}</p></article>", PROSE.strip()),
+        (f"<article><p><a class='related'><em>term</em></a> {PROSE}</p></article>", PROSE.strip()),
+        ("<article><p>One <span class='ad'><b>Buy</b> <i>now</i></span> two.</p></article>", "One\ntwo."),
+        ("<article><p>One <button><b>Share</b></button><b>two</b> three.</p></article>", "One two three."),
+        ("<article><p><b>One</b> two <span class='ad'><b><i>Buy</i></b></span></p><p>Three</p></article>", "One two\nThree"),
+        ("<article><span class='ad'><b>Buy<p>now</p></b></span><p>One</p></article>", "One"),
+    ],
+)
+def test_marked_inline_elements(html, want):
+    assert main_text(html) == want
+
+
 def plain(html):
     """The same by cutting the known frame of the test pages with expressions."""
     from html import unescape
