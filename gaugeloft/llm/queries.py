@@ -6,13 +6,14 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeloft.llm import decontamination, html_text, language, licenses, minhash, mixing, pii, sharding, token_files, topk
+from gaugeloft.llm import decontamination, filter_audit, html_text, language, lexical_search, licenses, minhash, mixing, packing, pii, sharding, token_files, topk
 from gaugeloft.llm.common import table, text_of
-from gaugeloft.llm.sql import DUPLICATES_SQL, PII_SQL, SHARD_SEED, SHARDS, SHARDS_SQL, TOPK_SQL
+from gaugeloft.llm.sql import AUDIT_SQL, DUPLICATES_SQL, PII_SQL, SEARCH_SQL, SHARD_SEED, SHARDS, SHARDS_SQL, TOPK_SQL
 from gaugeloft.session import fresh_dir
 
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
+PACKED_TOKENIZER, PACKED_END_ID = "byte_bpe_50k.json", 2
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +70,20 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKED_TOKENIZER), PACKED_END_ID, capacity=1024).drop("ids")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_sharding": (op1_sharding, SHARDS_SQL),
     "op2_exact_topk": (op2_exact_topk, TOPK_SQL),
@@ -81,4 +96,7 @@ QUERIES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op8_token_files": (op8_token_files, None),
     "op10_licences": (op10_licences, None),
+    "op11_filter_audit": (op11_filter_audit, AUDIT_SQL),
+    "op12_packing": (op12_packing, None),
+    "op13_lexical_search": (op13_lexical_search, SEARCH_SQL),
 }

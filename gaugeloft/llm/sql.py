@@ -129,3 +129,52 @@ SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in PL
   coalesce({_JOINED}, '') AS spans, coalesce(string_agg(score, ',' ORDER BY start, rank), '') AS scores
 FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id
 """
+
+AUDIT_SQL = r"""
+WITH judged AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+known AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+rows AS (
+  SELECT part, coalesce(good, 0) = 1 AS good, coalesce(toxic, 0) = 1 AS toxic, [
+    len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+    regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > least, false)] AS f
+  FROM judged LEFT JOIN known USING (doc_id)),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (SELECT filter_order, unnest([1, 2, 3, 4, 5])::INT AS step FROM orders),
+kinds AS (SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM rows GROUP BY part, f),
+placed AS (
+  SELECT part, filter_order, step, filter_order[step] AS filter, n, good, toxic, f,
+    f[ascii(filter_order[step]) - 64] AS fails,
+    len(list_filter(range(1, step), lambda i: f[ascii(filter_order[i]) - 64])) > 0 AS gone,
+    len(list_filter(f, lambda x: x)) = 1 AS once
+  FROM kinds, steps),
+counted AS (
+  SELECT part, filter_order, step, filter, coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT gone AND fails), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (gone AND fails), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails AND once), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND fails), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND fails), 0)::BIGINT AS toxic_lost
+  FROM placed GROUP BY part, filter_order, step, filter)
+SELECT *, sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley FROM counted
+"""
+
+SEARCH_SQL = r"""
+WITH terms AS (
+  SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents)),
+tf AS (SELECT row, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+sizes AS (SELECT row, sum(tf)::BIGINT AS n FROM tf GROUP BY row),
+corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM sizes),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, corpus GROUP BY term),
+asked AS (
+  SELECT DISTINCT item_row, item_id, term FROM (
+    SELECT item_row, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS item_row, item_id, coalesce(text, '') AS text FROM benchmark))),
+scored AS (
+  SELECT item_row, item_id, tf.row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN sizes ON sizes.row = tf.row, corpus GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
