@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -38,28 +40,33 @@ VISIBLE = "!-~\u00c0-\u024f"
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 UNCERTAIN = re.compile(f" (?![{VISIBLE}])")
 CERTAIN = re.compile(f" (?=[{VISIBLE}])")
-PLAIN = re.compile(f"[{VISIBLE}]*")
+PLAIN = re.compile(f"[{VISIBLE}\n\r\t]*")
 #: How byte-level vocabularies cut a plain word, a space before it or not.
-PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^ 0-9{LETTERS}]+")
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^ \n\r\t0-9{LETTERS}]+|[\n\r\t]+(?![^\n\r\t])|[\n\r\t]+")
 #: The characters that stand for bytes: themselves where visible in Latin-1, else from 256 on, in order.
 _hidden = [b for b in range(256) if b < 33 or 126 < b < 161 or b == 173]
 BYTES = {b: 256 + i for i, b in enumerate(_hidden)}
+SPACE = chr(BYTES[32])
 
 
-class _Words(dict):
-    """Ids of words, a space before each; starts anew when full, and does not keep long ones."""
+class _Remembered(dict):
+    """What ``encode`` gives, but for long keys. When full it starts anew, and takes over what is asked for again."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
         self.encode = encode
+        self.before: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        if len(word) <= LONG_WORD:
+    def __missing__(self, key: str) -> bytes:
+        found = self.before.get(key)
+        if found is None:
+            found = self.encode(key)
+        if len(key) <= LONG_WORD:
             if len(self) >= CACHED_WORDS:
+                self.before = dict(self)
                 self.clear()
-            self[word] = ids
-        return ids
+            self[key] = found
+        return found
 
 
 class ByteTokenizer:
@@ -83,45 +90,36 @@ class ByteTokenizer:
         usual = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True, trim_offsets=True)
         self.by_word = cut is not None and cut.__getstate__() == usual.__getstate__() and self.tokenizer.normalizer is None
         self.model = self.tokenizer.model
-        self.words = _Words(self._word)
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = _Remembered(self._word), _Remembered(self._ids)
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=f"<u{self.width}").tobytes()
+        packed = array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder != "little":
+            packed.byteswap()
+        return packed.tobytes()
 
     def _ids(self, part: str) -> bytes:
         seen = part.encode().decode("latin-1").translate(BYTES)
-        return b"".join([t.id.to_bytes(self.width, "little") for t in self.model.tokenize(seen)])
+        return self._packed([t.id for t in self.model.tokenize(seen)])
 
     def _word(self, word: str) -> bytes:
         """Ids of a word with a space before it."""
+        if word.isalpha() and word.isascii():
+            return self._packed([t.id for t in self.model.tokenize(SPACE + word)])
         if not PLAIN.fullmatch(word):
-            return self._packed(self.tokenizer.encode(f" {word}", add_special_tokens=False).ids)
-        if word.isalpha():
-            return self._ids(f" {word}")
-        out = []
-        for part in PARTS.findall(f" {word}"):
-            if part[0] == " " and part[1:].isalpha():
-                out.append(self.words[part[1:]])
-                continue
-            ids = self.parts.get(part)
-            if ids is None:
-                ids = self._ids(part)
-                if len(part) <= LONG_WORD:
-                    if len(self.parts) >= CACHED_WORDS:
-                        self.parts.clear()
-                    self.parts[part] = ids
-            out.append(ids)
-        return b"".join(out)
+            return self._whole(f" {word}")
+        return b"".join([self.words[part[1:]] if part[0] == " " and part != f" {word}" and part[1:].isalpha() else self.parts[part] for part in PARTS.findall(f" {word}")])
+
+    def _whole(self, text: str) -> bytes:
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def text(self, text: str | None) -> np.ndarray:
         """The ids of a text."""
         text = text or ""
         if not self.by_word or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=f"<u{self.width}")
+            return np.frombuffer(self._whole(text), dtype=f"<u{self.width}")
         first, *rest = CERTAIN.split(text) if UNCERTAIN.search(text) else text.split(" ")
-        before = self._packed(self.tokenizer.encode(first, add_special_tokens=False).ids)
-        return np.frombuffer(before + b"".join(map(self.words.__getitem__, rest)), dtype=f"<u{self.width}")
+        return np.frombuffer(self._whole(first) + b"".join(map(self.words.__getitem__, rest)), dtype=f"<u{self.width}")
 
 
 @lru_cache(maxsize=2)
