@@ -32,9 +32,10 @@ from gaugeloft.session import settle
 COORDINATES = 1 << 16
 #: Characters of queries that are searched for at once; their terms and weights go to all tasks.
 BLOCK_CHARS = 4_000_000
-#: Bounds that a task holds at once.
-CELLS = 1 << 21
-FLUSH = 200_000
+#: Bounds, and parts of bounds, that a task holds at once.
+CELLS = 1 << 20
+FLUSH = 100_000
+DOCUMENTS = 1000
 FIRST = 4
 LAST_ID = (1 << 63) - 1
 INDEX = "doc_id bigint, text_hash bigint, n bigint, coordinates array<int>, counts array<int>, term binary, documents bigint"
@@ -96,9 +97,12 @@ def _indexer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if counts:
                 held.update(counts.keys())
                 rows.append((doc.as_py(), key.as_py(), counts.total(), *sketch(counts, places)))
-                if len(held) >= FLUSH:
-                    yield _index_batch([], held)
-                    held.clear()
+            if len(rows) >= DOCUMENTS or len(held) >= FLUSH:
+                yield _index_batch(rows, None)
+                rows = []
+            if len(held) >= FLUSH:
+                yield _index_batch([], held)
+                held.clear()
         yield _index_batch(rows, None)
     yield _index_batch([], held)
 
@@ -131,18 +135,23 @@ class Block:
 def bounds_of(batch: pa.RecordBatch, block: Block, postings: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
     """Upper bounds, documents by queries, some documents at a time, with the number of the first."""
     starts, queries, weights = postings
-    offsets, values = (batch.column("coordinates").offsets.to_numpy(), batch.column("coordinates").values.to_numpy()) if batch.num_rows else (np.zeros(1, int), np.zeros(0, int))
-    counts = batch.column("counts").values.to_numpy().astype(np.int64) if batch.num_rows else values
+    offsets = batch.column("coordinates").offsets.to_numpy()
+    values, counts = (batch.column(c).flatten().to_numpy().astype(np.int64) for c in ("coordinates", "counts"))
     spread = np.array([8 * block.spread(n) for n in batch.column("n").to_pylist()], dtype=np.int64)
-    step, many = max(1, CELLS // max(1, len(block.weights))), len(block.weights)
-    for first in range(0, batch.num_rows, step):
-        last = min(batch.num_rows, first + step)
-        part = slice(offsets[first], offsets[last])
+    many = len(block.weights)
+    asked = starts[1:] - starts[:-1]
+    sums = np.concatenate([[0], np.cumsum(asked[values])])[offsets - offsets[0]]
+    last = 0
+    while last < batch.num_rows:
+        first = last
+        enough = np.searchsorted(sums, sums[first] + CELLS, side="right") - 1
+        last = int(max(first + 1, min(batch.num_rows, enough, first + CELLS // max(1, many))))
+        part = slice(offsets[first] - offsets[0], offsets[last] - offsets[0])
         doc = np.repeat(np.arange(last - first), np.diff(offsets[first : last + 1]))
         at, tf = values[part], counts[part]
-        entries = starts[at + 1] - starts[at]
-        asked = np.flatnonzero(entries)
-        doc, at, tf, entries = doc[asked], at[asked], tf[asked], entries[asked]
+        met = np.flatnonzero(asked[at])
+        doc, at, tf = doc[met], at[met], tf[met]
+        entries = asked[at]
         impact = 1_000_000_000 * tf // (1000 * tf + spread[first:last][doc])
         entry = np.repeat(starts[at] - np.cumsum(entries) + entries, entries) + np.arange(entries.sum())
         cell = np.repeat(doc, entries) * many + queries[entry]
