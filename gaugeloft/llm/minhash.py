@@ -31,10 +31,11 @@ from gaugeloft.session import settle
 HASHES = 224
 ROWS = 5
 BITS = 4
-FINE_HASHES = 2048
 CHUNK = 2048
 MARGIN = 4.9
 STARS = 2
+#: Bits of a set's bitmap.
+BITMAP = 2048
 DIGEST = 10**38
 
 KEY = pa.decimal128(38, 0)
@@ -42,20 +43,16 @@ SIGNED = "id bigint, text_key decimal(38,0), n_shingles bigint, set_key decimal(
 _draw = np.random.default_rng(0x5EED)
 MULTIPLIERS = _draw.integers(0, 1 << 31, (HASHES, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 SUMMANDS = _draw.integers(0, 1 << 32, (HASHES, 1), dtype=np.uint32)
-FINE_MULTIPLIERS = _draw.integers(0, 1 << 31, (FINE_HASHES, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-FINE_SUMMANDS = _draw.integers(0, 1 << 32, (FINE_HASHES, 1), dtype=np.uint32)
 SEEDS = _draw.integers(0, 1 << 32, HASHES, dtype=np.uint32)
-FINE_SEEDS = _draw.integers(0, 1 << 32, FINE_HASHES, dtype=np.uint32)
 
 
-def minima(shingles: np.ndarray, multipliers: np.ndarray = MULTIPLIERS, summands: np.ndarray = SUMMANDS) -> np.ndarray:
+def minima(shingles: np.ndarray) -> np.ndarray:
     """The minimum of each hash function over the set, in pieces that stay in the processor's cache."""
-    low = np.full(len(multipliers), 0xFFFFFFFF, dtype=np.uint32)
+    low = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint32)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    step = CHUNK * HASHES // len(multipliers)
-    for start in range(0, len(x), step):
-        values = multipliers * x[None, start : start + step]
-        values += summands
+    for start in range(0, len(x), CHUNK):
+        values = MULTIPLIERS * x[None, start : start + CHUNK]
+        values += SUMMANDS
         np.minimum(low, values.min(axis=1), out=low)
     return low
 
@@ -69,13 +66,13 @@ def band_keys(low: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def scrambled(low: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+def scrambled(low: np.ndarray) -> np.ndarray:
     """The minima, mixed differently for each hash function (the finaliser of MurmurHash3).
 
     Low bits of a * x + b hang on the low bits of x alone, so that those of a small set's few elements would
     agree, or differ, under all functions at once. The bits kept of a mixed minimum are independent.
     """
-    x = low ^ seeds
+    x = low ^ SEEDS
     x ^= x >> np.uint32(16)
     x *= np.uint32(0x85EBCA6B)
     x ^= x >> np.uint32(13)
@@ -86,16 +83,10 @@ def scrambled(low: np.ndarray, seeds: np.ndarray) -> np.ndarray:
 
 def packed_bits(low: np.ndarray) -> np.ndarray:
     """Four bits of each mixed minimum, sixteen to a long."""
-    nibbles = (scrambled(low, SEEDS) & np.uint32((1 << BITS) - 1)).astype(np.uint8)
+    nibbles = (scrambled(low) & np.uint32((1 << BITS) - 1)).astype(np.uint8)
     return (nibbles[0::2] | nibbles[1::2] << 4).view(np.int64)
 
 
-def fine_bits(shingles: np.ndarray) -> np.ndarray:
-    """One bit of each of many more minima, mixed, 64 to a long."""
-    low = scrambled(minima(shingles, FINE_MULTIPLIERS, FINE_SUMMANDS), FINE_SEEDS)
-    return np.packbits((low & np.uint32(1)).astype(np.uint8)).view(np.int64)
-
-
 def set_key(shingles: np.ndarray) -> Decimal:
     return Decimal(xxhash.xxh3_128_intdigest(shingles.tobytes()) % DIGEST)
 
@@ -118,21 +109,24 @@ def _signer(size: int):
     return sign
 
 
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """Sets the bit that each shingle hashes to, 64 to a long."""
+    held = np.zeros(BITMAP, dtype=np.uint8)
+    held[(shingles % np.uint64(BITMAP)).astype(np.int64)] = 1
+    return np.packbits(held).view(np.int64)
+
+
 def _shingler(size: int):
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(text.as_py(), size).view(np.int64) for text in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("set_key"), pa.array(sets, pa.list_(pa.int64()))], ["set_key", "shingles"])
+            sets = [shingle_set(text.as_py(), size) for text in batch.column("text")]
+            longs = pa.list_(pa.int64())
+            columns = [batch.column("set_key"), pa.array([s.view(np.int64) for s in sets], longs), pa.array([bitmap(s) for s in sets], longs)]
+            yield pa.RecordBatch.from_arrays(columns, ["set_key", "shingles", "bitmap"])
 
     return shingle
 
 
-def _fine_signer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        bits = [fine_bits(s.values.to_numpy(zero_copy_only=False).view(np.uint64)) for s in batch.column("shingles")]
-        yield pa.RecordBatch.from_arrays([batch.column("set_key"), batch.column("shared"), pa.array(bits, pa.list_(pa.int64()))], ["set_key", "shared", "fine"])
-
-
 def text_key(text: Column) -> Column:
     """Tells texts apart: 96 bits of two hashes as a number, which aggregates in place."""
     return F.xxhash64(text).cast("decimal(38,0)") * (1 << 32) + F.pmod(F.hash(text), F.lit(1 << 32))
@@ -152,17 +146,18 @@ def similarity_of_bits(a: str, b: str) -> Column:
     return ((1 - unequal / HASHES) - 2.0**-BITS) / (1 - 2.0**-BITS)
 
 
-def similarity_of_fine_bits(a: str, b: str) -> Column:
-    """The same from one bit of each of the many minima."""
-    unequal = reduce(lambda x, y: x + y, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(FINE_HASHES // 64)])
-    return 1 - 2 * unequal / FINE_HASHES
+def most_in_common(a: str, b: str) -> Column:
+    """The most shingles that two sets can share: every bit that only one bitmap has stands for a shingle that only
+    one set has. Holds without exception, whatever hashes where."""
+    apart = reduce(lambda x, y: x + y, [F.bit_count(F.get(f"bitmap_{a}", F.lit(i)).bitwiseXOR(F.get(f"bitmap_{b}", F.lit(i)))) for i in range(BITMAP // 64)])
+    return (F.col(f"n_{a}") + F.col(f"n_{b}") - apart) / 2
 
 
-def lowest_estimate(percent: int, hashes: int = HASHES, bits: int = BITS) -> float:
+def lowest_estimate(percent: int) -> float:
     """What the estimate of a pair at the limit stays above, but for about one in a million."""
     s = percent / 100
-    agree = s + (1 - s) / 2**bits
-    return s - MARGIN * (agree * (1 - agree) / hashes) ** 0.5 / (1 - 2.0**-bits)
+    agree = s + (1 - s) / 2**BITS
+    return s - MARGIN * (agree * (1 - agree) / HASHES) ** 0.5 / (1 - 2.0**-BITS)
 
 
 class NearDuplicates:
@@ -171,8 +166,9 @@ class NearDuplicates:
     Steps: sign every text; let equal sets be one class; find buckets with more than one class. In each
     bucket the class with the most company is the hub, and every other class is held against it; then, twice,
     a hub by hash against the classes of other components. What is left, classes of one bucket in different
-    components, is held against each other, pair by pair where sizes and bits leave a link possible. So
-    a bucket of copies costs about its size and not its square, and no candidate pair goes unjudged.
+    components, is held against each other, and those come out as pairs that sizes, bits and bitmaps leave a link
+    possible for. So a bucket of copies costs about its size and not its square, a family of variants below the
+    limit makes few pairs, and no candidate pair goes unjudged.
     """
 
     def __init__(self, docs: DataFrame, id_column: str, text_column: str, shingle: int, percent: int):
@@ -218,37 +214,19 @@ class NearDuplicates:
         return settle(labelled.join(mixed_buckets, "bucket", "left_semi"))
 
     def _crossing(self, apart: DataFrame) -> DataFrame:
-        """All pairs of one bucket and different components that a link is possible for: ``a, b, n_a, n_b``.
+        """Pairs of one bucket and different components that a link is possible for, each once: ``a, b, n_a, n_b``.
 
-        Sizes and bits must allow it, also the bits of a longer signature that only sets still in question
-        get; and so must what either set shares at all: a link takes percent
-        / (100 + percent) of both sizes together in common, and shingles that no other set of the
-        family has are common to none.
+        Sizes, bits and bitmaps must allow the link. A pair comes out of the first of the buckets it shares only.
         """
-        signed = apart.join(self.classes.select("set_key", "n", "bits"), "set_key").join(self._shared(apart), "set_key")
-        columns = ("set_key", "label", "n", "bits", "shared", "fine")
+        signed = apart.join(self.classes.select("set_key", "n", "bits", "bands"), "set_key").join(self.sets.select("set_key", "bitmap"), "set_key")
+        columns = ("set_key", "label", "n", "bits", "bands", "bitmap")
         left, right = (signed.select("bucket", *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab")
-        enough = F.least("shared_a", "shared_b") * (100 + self.percent) >= (F.col("n_a") + F.col("n_b")) * self.percent
-        near = similarity_of_fine_bits("fine_a", "fine_b") >= lowest_estimate(self.percent, FINE_HASHES, 1)
-        possible = (F.col("set_key_a") < F.col("set_key_b")) & (F.col("label_a") != F.col("label_b")) & enough & self._possible() & near
-        pairs = left.withColumnRenamed("bucket", "_bucket").join(right, (F.col("_bucket") == F.col("bucket")) & possible)
-        return settle(pairs.select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b"), "n_a", "n_b").distinct())
-
-    def _shared(self, apart: DataFrame) -> DataFrame:
-        """How many shingles of a set some other set of its family has, and its longer signature: ``set_key, shared, fine``.
-
-        A family is what buckets connect.
-        """
-        first = apart.groupBy("bucket").agg(F.min("set_key").alias("b"))
-        family = components(apart.select("bucket", F.col("set_key").alias("a")).join(first, "bucket").select("a", "b"))
-        kept = apart.select("set_key").distinct().join(family.withColumnRenamed("node", "set_key"), "set_key", "left")
-        sets = kept.select("set_key", F.coalesce("label", "set_key").alias("family")).join(self.sets, "set_key")
-        each = sets.select("set_key", "family", F.explode("shingles").alias("shingle"))
-        alone = each.groupBy("family", "shingle").agg(F.count("*").alias("n"), F.min("set_key").alias("set_key")).filter("n = 1")
-        lost = alone.groupBy("set_key").agg(F.count("*").alias("lost"))
-        shared = (F.size("shingles") - F.coalesce("lost", F.lit(0))).cast("bigint").alias("shared")
-        counted = sets.join(lost, "set_key", "left").select("set_key", shared, "shingles")
-        return settle(counted.mapInArrow(_fine_signer, "set_key decimal(38,0), shared bigint, fine array<bigint>"))
+        common = F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
+        enough = most_in_common("a", "b") * (100 + self.percent) >= (F.col("n_a") + F.col("n_b")) * self.percent
+        possible = (F.col("set_key_a") < F.col("set_key_b")) & (F.col("label_a") != F.col("label_b")) & self._possible() & enough
+        first = F.get(common, F.lit(0)) == F.col("bucket")
+        pairs = left.withColumnRenamed("bucket", "_bucket").join(right, (F.col("_bucket") == F.col("bucket")) & possible & first)
+        return settle(pairs.select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b"), "n_a", "n_b"))
 
     def _possible(self) -> Column:
         near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
@@ -258,7 +236,7 @@ class NearDuplicates:
         """Full sets of the classes that share a bucket, from the text of one document each."""
         wanted = self.classes.join(members.select("set_key").distinct(), "set_key").select("set_key", "text_key")
         texts = self.docs.select("text_key", "text").join(wanted, "text_key").groupBy("set_key").agg(F.first("text").alias("text"))
-        return settle(texts.mapInArrow(_shingler(self.size), "set_key decimal(38,0), shingles array<bigint>"))
+        return settle(texts.mapInArrow(_shingler(self.size), "set_key decimal(38,0), shingles array<bigint>, bitmap array<bigint>"))
 
     def _hopeful(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose sizes and bits leave a link possible, with their sizes."""
@@ -269,7 +247,7 @@ class NearDuplicates:
 
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         for side in "ba":
-            pairs = pairs.join(self.sets.withColumnsRenamed({"set_key": side, "shingles": f"set_{side}"}), side)
+            pairs = pairs.join(self.sets.select(F.col("set_key").alias(side), F.col("shingles").alias(f"set_{side}")), side)
         common = F.size(F.array_intersect("set_a", "set_b"))
         return pairs.filter(common * 100 >= (F.col("n_a") + F.col("n_b") - common) * self.percent).select("a", "b")
 
@@ -306,11 +284,12 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     """
     rows = NearDuplicates(docs, id_column, text_column, shingle, percent).rows()
     first = rows.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", "text_key")).alias("first"))
-    chosen = first.select(F.col("first.id").alias("__id"), F.col("first.text_key").alias("__key")).distinct()
-    wordless = rows.filter("component IS NULL").select(F.col("id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    wanted = {k: fresh(k) for k in ("id", "key")}
+    chosen = first.select(F.col("first.id").alias(wanted["id"]), F.col("first.text_key").alias(wanted["key"])).distinct()
+    wordless = rows.filter("component IS NULL").select(F.col("id").alias(wanted["id"]), F.col("text_key").alias(wanted["key"])).distinct()
     chosen = chosen.unionByName(wordless)
     mine = {"id": F.col(f"`{id_column}`").cast("bigint"), "key": text_key(text_of(text_column))}
-    kept = docs.join(chosen, mine["id"].eqNullSafe(F.col("__id")) & (mine["key"] == F.col("__key")), "left_semi")
+    kept = docs.join(chosen, mine["id"].eqNullSafe(F.col(wanted["id"])) & (mine["key"] == F.col(wanted["key"])), "left_semi")
     if rows.groupBy("id", "text_key").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
         return kept
     names = {k: fresh(k) for k in mine}

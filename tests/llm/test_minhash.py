@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 from gaugeloft.llm.components import components
-from gaugeloft.llm.minhash import FINE_HASHES, fine_bits, keep_one, lowest_estimate, minima, near_duplicates, packed_bits, similarity_of_bits
+from gaugeloft.llm.minhash import NearDuplicates, bitmap, keep_one, lowest_estimate, minima, near_duplicates, packed_bits, similarity_of_bits
 from gaugeloft.llm.queries import op3_minhash
 from gaugeloft.llm.shingles import shingle_set
 
@@ -81,13 +81,78 @@ def test_bits_of_small_sets_turn_no_link_away():
         for _ in range(100):
             whole = np.unique(rng.integers(0, 1 << 64, small * 5 // 4, dtype=np.uint64))
             part = np.sort(rng.permutation(whole)[:small])
-            fine = [np.unpackbits(fine_bits(s).view(np.uint8)) for s in (whole, part)]
-            assert 1 - 2 * (fine[0] != fine[1]).mean() >= lowest_estimate(80, FINE_HASHES, 1)
             nibbles = [np.unpackbits(packed_bits(minima(s)).view(np.uint8)).reshape(-1, 4) for s in (whole, part)]
             equal = (nibbles[0] == nibbles[1]).all(axis=1).mean()
             assert (equal - 2.0**-4) / (1 - 2.0**-4) >= lowest_estimate(80)
 
 
+def variants(rng, count, edits, vocabulary):
+    """Texts of one family: each with its own edits, words of a given vocabulary; most pairs under the limit."""
+    base = [f"v{i}" for i in range(160)]
+    rows = []
+    for i in range(count):
+        words = list(base)
+        for at in rng.sample(range(160), rng.choice(edits)):
+            words[at] = f"e{rng.randrange(vocabulary)}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def fast_brute(rows, size):
+    """The same as ``brute`` by a matrix of which set has which shingle."""
+    sets = [shingle_set(t, size) for _, t in rows]
+    known = np.unique(np.concatenate(sets))
+    held = np.zeros((len(sets), len(known)), dtype=np.float32)
+    for i, s in enumerate(sets):
+        held[i, np.searchsorted(known, s)] = 1
+    n = held.sum(axis=1)
+    least = np.arange(len(rows))
+    links = []
+    for i in range(len(rows)):
+        common = held @ held[i]
+        links.append(np.flatnonzero(100 * common >= 80 * (n + n[i] - common)))
+    while True:
+        now = np.array([least[found].min() for found in links])
+        if (now == least).all():
+            return {rows[i][0]: rows[least[i]][0] for i in range(len(rows))}, n
+        least = now
+
+
+def test_a_large_family_below_the_limit_makes_few_pairs(make_docs, monkeypatch):
+    rng = random.Random(9)
+    rows = variants(rng, 900, range(7, 9), 10**6)
+    want, n = fast_brute(rows, 2)
+    found = []
+    crossing = NearDuplicates._crossing
+
+    def counted(self, apart):
+        pairs = crossing(self, apart)
+        found.append((pairs.count(), pairs.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(NearDuplicates, "_crossing", counted)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(make_docs(rows), shingle=2).collect()}
+    assert got == want and len(set(want.values())) > 300
+    assert found and max(found)[0] < 10 * len(rows) and all(a == b for a, b in found)
+
+
+def test_bitmaps_never_rule_a_link_out():
+    rng = np.random.default_rng(3)
+    for size in (3, 40, 300, 5000):
+        for _ in range(30):
+            whole = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+            a, b = (np.sort(rng.permutation(whole)[: rng.integers(1, len(whole) + 1)]) for _ in range(2))
+            apart = np.unpackbits((bitmap(a) ^ bitmap(b)).view(np.uint8)).sum()
+            assert (len(a) + len(b) - apart) / 2 >= len(np.intersect1d(a, b))
+
+
+def test_edits_of_few_words(make_docs):
+    rng = random.Random(10)
+    rows = variants(rng, 400, range(4, 16), 12)
+    want, _ = fast_brute(rows, 2)
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates(make_docs(rows), shingle=2).collect()} == want
+
+
 def test_odd_documents(odd_docs, make_docs):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
     assert run(odd_docs, shingle=2) == brute(rows, 2)
@@ -102,6 +167,8 @@ def test_keep_one_keeps_the_columns(odd_docs, make_docs):
     assert [f for f in found if f[0] in (3, 4, 5, 6, 8, 9, 10)] == [(3, "one"), (4, "Élan vit"), (5, "same wor"), (8, "word0 an")]
     assert {(0, ""), (1, ""), (2, " \t\n "), (7, "a first "), (7, "a second"), (None, "a text w"), (None, "")} <= set(found)
     assert keep_one(make_docs([(1, "p q r s t u"), (1, "p q r s t u")])).count() == 1
+    clash = make_docs([(1, "p q r s t u"), (2, "p q r s t u")]).withColumnsRenamed({"lang": "__id", "source": "__key", "n_chars": "id"})
+    assert [(r["doc_id"], r["__id"]) for r in keep_one(clash).collect()] == [(1, None)]
 
 
 def test_bits_estimate_the_similarity(spark):
