@@ -14,6 +14,7 @@ from gaugeloft.session import fresh_dir
 
 TOKENIZER, END_ID = "word_bpe_49k.json", 1
 PACKED_TOKENIZER, PACKED_END_ID = "byte_bpe_50k.json", 2
+MIX_BUDGET = 0.5
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,7 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), budget=MIX_BUDGET)
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 9).alias("weight"), F.round("probability", 9).alias("probability"), "kept")
 
 
