@@ -16,6 +16,8 @@ from gaugeloft.llm.common import fresh, table, text_of
 from gaugeloft.session import fresh_dir
 
 SHARDS, SEED = 64, 2025
+#: The share of all tokens that mixing keeps.
+BUDGET = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, seed=SEED).filter("kept").select(docs.columns)
+    return mixing.mix(docs, seed=SEED, budget=BUDGET).filter("kept").select(docs.columns)
 
 
 def deal_into_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
