@@ -94,14 +94,24 @@ def finished_between(silver: DataFrame, after: datetime, until: datetime, longes
     return silver.filter((F.col("window_end") > utc_time(after)) & (F.col("window_end") <= utc_time(until)))
 
 
+def ended_by(silver: DataFrame, until: datetime) -> DataFrame:
+    return silver.filter(F.col("window_end") <= utc_time(until))
+
+
+def signed_counts(windows: DataFrame, keys: list[str] | None = None, sign: str = "sign") -> DataFrame:
+    """Counts of windows to add, less those to take back."""
+    flagged = F.when(F.col("is_window_anomaly"), F.col(sign)).otherwise(0)
+    return windows.groupBy(*(keys or ["vm_id"])).agg(F.sum(sign).alias("total_windows"), F.sum(flagged).alias("anomaly_windows"))
+
+
 def add_counts(previous: DataFrame, fresh: DataFrame, keys: list[str] | None = None, threshold: float = FREQUENCY_THRESHOLD) -> DataFrame:
-    """Gold of two disjoint sets of windows, from their counts alone."""
+    """Gold from earlier counts and counts to add, which may be negative; a key left without windows goes."""
     keys = keys or ["vm_id"]
     columns = [*keys, "total_windows", "anomaly_windows"]
     counts = previous.select(columns).unionByName(fresh.select(columns)).groupBy(*keys).agg(
         F.sum("total_windows").alias("total_windows"), F.sum("anomaly_windows").alias("anomaly_windows")
     )
-    return _judged(counts, keys, None, None, threshold)
+    return _judged(counts.filter("total_windows > 0"), keys, None, None, threshold)
 
 
 def windows_of(silver: DataFrame, vm_id, start: datetime | None = None, end: datetime | None = None) -> DataFrame:

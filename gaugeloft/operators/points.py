@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeloft.functions.naming import file_id, point_id
 from gaugeloft.operators.latest import latest
+from gaugeloft.operators.ranks import positions
+from gaugeloft.session import settle
+from gaugeloft.storage import ship_package
 
 # Points per chunk, rows per export chunk, dimensions sent and exported.
 CHUNK_POINTS = 10_000
@@ -50,6 +58,62 @@ def chunk(
     return collected.withColumn("points", bare)
 
 
+def _folder(files: list[str], size: int):
+    """Folds rows that come in order into pieces of chunks; a piece holds what one task has of its chunk."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_rows = None
+        for batch in chain(batches, [None]):
+            if batch is not None and open_rows is not None:
+                batch = pa.Table.from_batches([open_rows, batch]).combine_chunks().to_batches()[0] if batch.num_rows else open_rows
+            last = batch is None
+            batch = open_rows if last else batch
+            if batch is None or not batch.num_rows:
+                continue
+            position, file = batch.column("_position").to_numpy(), batch.column("_file").to_numpy()
+            number = position // size
+            cut = (np.diff(file) != 0) | (np.diff(number) != 0) | (np.diff(position) != 1)
+            starts = np.concatenate([[0], np.flatnonzero(cut) + 1])
+            ends = np.append(starts[1:], batch.num_rows)
+            if not last:
+                open_rows = batch.slice(starts[-1])
+                starts, ends = starts[:-1], ends[:-1]
+            if len(starts):
+                yield _pieces(batch, files, size, starts, ends, position, number)
+            if last:
+                break
+
+    return fold
+
+
+def _pieces(batch: pa.RecordBatch, files: list[str], size: int, starts: np.ndarray, ends: np.ndarray, position: np.ndarray, number: np.ndarray) -> pa.RecordBatch:
+    whole = ends - starts == np.minimum(size, batch.column("_total").to_numpy()[starts] - number[starts] * size)
+    offsets = pa.array(np.append(starts, ends[-1]).astype(np.int32))
+    held = pa.ListArray.from_arrays(offsets, batch.column("_fields"))
+    taken = [batch.column(f).take(pa.array(starts)) for f in files]
+    return pa.RecordBatch.from_arrays([*taken, pa.array(number[starts].astype(np.int32)), pa.array(position[starts]), pa.array(whole), held], [*files, "chunk_number", "_first", "_whole", "points"])
+
+
+def chunk_in_order(points: DataFrame, files: list[str], order: list[str], size: int = CHUNK_POINTS, fields: list[str] | None = None) -> DataFrame:
+    """The same as ``chunk`` for points that have an order but no positions yet, with one shuffle of the points.
+
+    The points are range-partitioned by file and order. A file's partitions are counted, which tells every task
+    where its rows stand in their file, and it folds them into chunks as they come. Only chunks that an edge between
+    tasks cuts are put together by a second shuffle, one or two for each task. A task holds a chunk and a batch.
+    """
+    fields = fields or [c for c in points.columns if c not in files]
+    spark = points.sparkSession
+    numbered = positions(points.select(*files, F.struct(*order).alias("_order"), F.struct(*fields).alias("_fields")), files, ["_order"])
+    rows = numbered.select(*files, "_fields", F.col("position").alias("_position"), "_file", "_total")
+    ship_package(spark)
+    names = {f.name: f for f in rows.schema}
+    out = T.StructType([*(names[f] for f in files), T.StructField("chunk_number", T.IntegerType()), T.StructField("_first", T.LongType()),
+                        T.StructField("_whole", T.BooleanType()), T.StructField("points", T.ArrayType(names["_fields"].dataType))])
+    pieces = settle(rows.mapInArrow(_folder(files, size), out))
+    cut = pieces.filter("NOT _whole").groupBy(*files, "chunk_number").agg(F.sort_array(F.collect_list(F.struct("_first", "points"))).alias("_pieces"))
+    return pieces.filter("_whole").select(*files, "chunk_number", "points").unionByName(cut.select(*files, "chunk_number", F.flatten("_pieces.points").alias("points")))
+
+
 def unchunk(chunks: DataFrame, at: str = "point_position") -> DataFrame:
     """One row per point again, with its place in the chunk."""
     kept = [c for c in chunks.columns if c != "points"]
@@ -74,8 +138,11 @@ def in_chunks(points: DataFrame, position: str = "point_index", size: int = CHUN
     )
 
 
-def stored_points(flat: DataFrame) -> DataFrame:
-    """Rows of the points table from unchunked or numbered points: stable ids, missing numbers as zero."""
+def stored_points(flat: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Rows of the points table from unchunked or numbered points: stable ids, missing numbers as zero.
+
+    ``keep`` names columns to carry along, such as the chunk that a table tells versions by.
+    """
     if "file_id" not in flat.columns:
         flat = flat.withColumn("file_id", file_id(F.col("tenant_id"), F.col("file_name")))
 
@@ -96,6 +163,7 @@ def stored_points(flat: DataFrame) -> DataFrame:
         number("classification", "int").alias("classification"),
         number("point_source_id", "int").alias("point_source_id"),
         number("scan_angle_rank", "int").alias("scan_angle_rank"),
+        *(keep or []),
     )
 
 

@@ -45,6 +45,24 @@ def dense_position(df: DataFrame, group: list[str], order: list[str], name: str
     return joined.withColumn(name, F.col(OFFSET) + F.col(SLOT) - F.col(FIRST)).drop(SLOT, PART, FIRST, OFFSET)
 
 
+def positions(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """The rows in order within tasks, with their ``position`` in their group, ``_total`` of the group, and ``_file``, a number that
+    the rows of a group in one range partition share and no others have."""
+    placed = _placed(df, group, order)
+    shares = settle(_shares(placed, group, F.count("*")).drop(WEIGHT))
+    joined = join_small(placed, shares, [*group, PART])
+    return joined.withColumns({"position": F.col(OFFSET) + F.col(SLOT) - F.col(FIRST), "_total": F.col(SIZE), "_file": F.col(FIRST)}).drop(SLOT, PART, FIRST, OFFSET, SIZE)
+
+
+def running_sum(df: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """Adds the sum of ``value`` from the first row of each group up to this one, in an order without ties."""
+    placed = _placed(df, group, order)
+    shares = settle(_shares(placed, group, F.sum(value)).drop(WEIGHT, SIZE, FIRST))
+    inside = W.partitionBy(PART, *group).orderBy(SLOT).rowsBetween(W.unboundedPreceding, 0)
+    joined = join_small(placed, shares, [*group, PART]).withColumn(name, F.col(OFFSET) + F.sum(value).over(inside))
+    return joined.drop(SLOT, PART, OFFSET)
+
+
 def exact_percentiles(df: DataFrame, group: list[str], value: str, fractions: dict[str, float]) -> DataFrame:
     """Interpolated percentiles per group, one column per entry of ``fractions``.
 

@@ -12,7 +12,7 @@ from gaugeloft.functions.naming import file_id, file_name_of, stem_of, tenant_of
 from gaugeloft.operators.points import (
     CORE_DIMENSIONS,
     EXPORT_DIMENSIONS,
-    chunk,
+    chunk_in_order,
     core_points,
     file_stats,
     file_totals,
@@ -22,7 +22,6 @@ from gaugeloft.operators.points import (
     stored_points,
     unchunk,
 )
-from gaugeloft.operators.ranks import dense_position
 from gaugeloft.plans.staging import stage_las
 from gaugeloft.plans.tables import LINE_ORDER, completions, naive, point_chunks, points, table
 from gaugeloft.session import fresh_dir, settle
@@ -50,8 +49,8 @@ def sql_uuid(name: str) -> str:
 
 
 def chunk_counts(spark, sf_dir):
-    rows = points(spark, sf_dir, ["l_quantity"]).select("flag", "point_index", "l_quantity", "l_orderkey")
-    chunks = chunk(rows, ["flag"], "point_index")
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("flag"), *LINE_ORDER, "l_quantity")
+    chunks = chunk_in_order(rows, ["flag"], LINE_ORDER, fields=["l_quantity", "l_orderkey"])
     return chunks.select(
         "flag",
         F.col("chunk_number").cast("bigint").alias("chunk_number"),
@@ -64,8 +63,7 @@ def chunk_counts(spark, sf_dir):
 
 def chunk_roundtrip(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_type", "event_id", "value")
-    numbered = dense_position(events, ["event_type"], ["event_id"])
-    flat = unchunk(chunk(numbered, ["event_type"], "position", EVENT_CHUNK))
+    flat = unchunk(chunk_in_order(events, ["event_type"], ["event_id"], EVENT_CHUNK, ["event_id", "value"]))
     return flat.withColumn("chunk_number", F.col("chunk_number").cast("bigint")).withColumn(
         "point_position", F.col("point_position").cast("bigint")
     )
@@ -78,7 +76,7 @@ def totals_per_file(spark, sf_dir):
 def points_table(spark, sf_dir):
     """Chunks stored twice, as after a replay; the ids make both writes the same rows."""
     root = fresh_dir(spark, "points")
-    rows = stored_points(unchunk(settle(point_chunks(spark, sf_dir))))
+    rows = stored_points(unchunk(settle(point_chunks(spark, sf_dir))), ["chunk_number"])
     keyed.upsert_points(rows, root, 0)
     keyed.upsert_points(rows, root, 1)
     return keyed.read_points(spark, root)
@@ -93,17 +91,17 @@ def file_stats_table(spark, sf_dir):
 
 
 def points_numeric_tenants(spark, sf_dir):
-    """Tenants whose names look like numbers, stored twice, compacted, then joined by one with letters."""
-    root = fresh_dir(spark, "points")
+    """Tenants whose names look like numbers, stored twice, rewritten, then joined by one with letters."""
+    root, rewritten = fresh_dir(spark, "points"), fresh_dir(spark, "points")
     names = F.element_at(F.array(F.lit("007"), F.lit("1e5"), F.lit("B")), (F.col("event_id") % 3 + 1).cast("int"))
     rows = table(spark, sf_dir, "events").select(
         names.alias("tenant_id"), F.lit("f.las").alias("file_name"), F.lit(0).alias("chunk_number"), F.col("event_id").cast("int").alias("point_position"), F.col("user_id").alias("X")
     )
     for version, part in enumerate((rows.filter("tenant_id <> 'B'"), rows.filter("tenant_id = '007'"))):
-        keyed.upsert_points(stored_points(part), root, version)
-    keyed.compact(spark, root, keyed.POINT_KEYS, ["tenant_id", "file_id"])
-    keyed.upsert_points(stored_points(rows.filter("tenant_id = 'B'")), root, 2)
-    stored = keyed.read_points(spark, root)
+        keyed.upsert_points(stored_points(part, ["chunk_number"]), root, version)
+    keyed.rewrite_points(spark, root, rewritten)
+    keyed.upsert_points(stored_points(rows.filter("tenant_id = 'B'"), ["chunk_number"]), rewritten, 2)
+    stored = keyed.read_points(spark, rewritten)
     return stored.groupBy("tenant_id").agg(F.count("*").alias("points"), F.sum("x").alias("sum_x"))
 
 

@@ -105,6 +105,19 @@ def gold_incremental(spark, sf_dir):
     return naive(keyed.read_gold(spark, gold_root).drop("processed_time"))
 
 
+def gold_corrected_windows(spark, sf_dir):
+    """Silver that is corrected after it was counted: three versions, a run of gold after each, the last one backdated."""
+    silver_root, gold_root = fresh_dir(spark, "silver"), fresh_dir(spark, "gold")
+    rows = readings(spark, sf_dir)
+    final = window_average(rows, window="1 hour")
+    early = window_average(rows.filter(F.col("event_id") % 2 == 0), window="1 hour")
+    versions = [early, final.filter(F.col("vm_id") % 3 == 0), final.filter(F.col("vm_id") % 3 != 0)]
+    for run, (version, until) in enumerate(zip(versions, (START, END, datetime(2024, 1, 8)), strict=True)):
+        keyed.upsert_silver(version, silver_root, run)
+        run_gold_incremental(spark, silver_root, gold_root, run, until)
+    return naive(keyed.read_gold(spark, gold_root).drop("processed_time"))
+
+
 def gold_report(spark, sf_dir):
     return gold_ops.report(gold_ops.overload(silver(spark, sf_dir))).select("vm_id", "overload_frequency")
 
@@ -224,15 +237,25 @@ def newest_first(spark, sf_dir):
 
 
 def silver_table(spark, sf_dir):
-    """An early version of the table, the same batch replayed, a snapshot, then the final version."""
-    root = fresh_dir(spark, "silver")
+    """An early version of the table, the same batch replayed, the table rewritten, then the final version."""
+    root, rewritten = fresh_dir(spark, "silver"), fresh_dir(spark, "silver")
     rows = readings(spark, sf_dir)
     early = window_average(rows.filter(F.col("event_id") % 2 == 0), window="1 hour")
     keyed.upsert_silver(early, root, 0)
     keyed.upsert_silver(early, root, 0)
-    keyed.compact(spark, root, [*keyed.SILVER_KEYS, "date"], ["date"])
-    keyed.upsert_silver(window_average(rows, window="1 hour"), root, 1)
-    return rounded(keyed.read_silver(spark, root).drop("date"))
+    keyed.rewrite_silver(spark, root, rewritten)
+    keyed.upsert_silver(window_average(rows, window="1 hour"), rewritten, 1)
+    return rounded(keyed.read_silver(spark, rewritten).drop("date"))
+
+
+def vm_lookup_stored(spark, sf_dir):
+    """Windows of one VM from the stored table, which was written in two versions and rewritten for lookups."""
+    root, rewritten = fresh_dir(spark, "silver"), fresh_dir(spark, "silver")
+    rows = readings(spark, sf_dir)
+    for version, part in enumerate((rows.filter(F.col("event_id") % 2 == 0), rows)):
+        keyed.upsert_silver(window_average(part), root, version)
+    keyed.rewrite_silver(spark, root, rewritten)
+    return rounded(gold_ops.windows_of(keyed.read_silver(spark, rewritten), KNOWN_VM, START, END).drop("date"))
 
 
 def gold_table(spark, sf_dir):
@@ -359,6 +382,10 @@ QUERIES = {
         gold_incremental,
         sql_gold(sql_silver("1 hour", rounded=False), "window_end <= TIMESTAMP '2024-01-20'", end="TIMESTAMP '2024-01-20'"),
     ),
+    "gold_corrected_windows": (
+        gold_corrected_windows,
+        sql_gold(sql_silver("1 hour", rounded=False), "window_end <= TIMESTAMP '2024-01-20'", end="TIMESTAMP '2024-01-20'"),
+    ),
     "gold_report": (
         gold_report,
         f"SELECT vm_id, printf('%.2f%%', overload_frequency * 100) AS overload_frequency FROM ({sql_gold(sql_silver('3 minutes', rounded=False))})",
@@ -431,6 +458,11 @@ QUERIES = {
         f"""SELECT * FROM ({sql_silver("3 minutes")}) WHERE vm_id = {KNOWN_VM}
             AND window_start BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'""",
     ),
+    "vm_lookup_stored": (
+        vm_lookup_stored,
+        f"""SELECT * FROM ({sql_silver("3 minutes")}) WHERE vm_id = {KNOWN_VM}
+            AND window_start BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20'""",
+    ),
     "preview_100": (preview_100, f"SELECT * FROM ({sql_silver('1 hour')}) ORDER BY vm_id, window_start DESC LIMIT 100"),
     "newest_first": (newest_first, f"SELECT * FROM ({sql_silver('1 day')}) ORDER BY vm_id, window_start DESC"),
     "silver_table": (silver_table, sql_silver("1 hour")),

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -122,24 +121,35 @@ def run_gold(
 
 
 def run_gold_incremental(spark: SparkSession, silver_root: str, gold_root: str, run: int, until: datetime) -> None:
-    """Brings the gold table up to ``until``: only windows that ended since its stored cut-off are read.
-
-    The cut-off is the end of the range the stored rows cover; a table that is not there yet starts empty.
+    """Brings the gold table up to ``until`` and to the newest version of silver, reading only what that changes.
+
+    The run before counted the windows that ended by its cut-off, as silver had them then. To its counts come the windows
+    that ended since, as they were then, and of all windows that silver has written since the new row is added and
+    the old one taken back: so a window that is corrected, or comes late, counts right after any cut-off. The
+    cut-off never goes back: a run with an earlier ``until`` keeps the last one, and still takes corrections.
+    Runs are numbered upwards. One that failed, or is repeated, starts again from the last one before it that
+    finished. Without such a run everything is counted, and so it is where silver was rewritten since without the
+    versions that run had seen.
     """
-    silver = keyed.read_silver(spark, silver_root)
-    try:
-        previous = keyed.read_gold(spark, gold_root)
-        micros = previous.agg(F.max(F.unix_micros("date_range_end"))).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        previous, micros = None, None
-    after = datetime.fromtimestamp((micros or 0) / 1e6, timezone.utc)
-    until = until if until.tzinfo else until.replace(tzinfo=timezone.utc)
-    added = gold_ops.overload(gold_ops.finished_between(silver, after, until))
-    gold = gold_ops.add_counts(previous, added) if previous else added
-    covered = gold.withColumn("date_range_end", utc_time(until).cast("timestamp"))
-    keyed.upsert_gold(gold_ops.stamped(settle(covered)), gold_root, run)
+    wanted = until if until.tzinfo else until.replace(tzinfo=timezone.utc)
+    oldest, version = keyed.version_range(spark, silver_root)
+    keys = [*keyed.SILVER_KEYS, "date"]
+    last = keyed.progress_before(spark, gold_root, run)
+    if last is None or last[2] < oldest:
+        silver = keyed.read_as_of(spark, silver_root, keys, version)
+        gold = gold_ops.overload(gold_ops.ended_by(silver, wanted))
+    else:
+        last_run, micros, seen = last
+        covered = datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=micros)
+        wanted = max(wanted, covered)
+        ended = gold_ops.finished_between(keyed.read_as_of(spark, silver_root, keys, seen), covered, wanted).withColumn(keyed.SIGN, F.lit(1))
+        changed = gold_ops.ended_by(keyed.changes(spark, silver_root, keys, seen, version), wanted)
+        added = gold_ops.signed_counts(ended.unionByName(changed), sign=keyed.SIGN)
+        gold = gold_ops.add_counts(keyed.read_as_of(spark, gold_root, keyed.GOLD_KEYS, last_run), added)
+    reached = utc_time(wanted).cast("timestamp")
+    dated = gold.withColumns({"date_range_start": F.lit(None).cast("timestamp"), "date_range_end": reached})
+    keyed.upsert_gold(gold_ops.stamped(settle(dated)), gold_root, run)
+    keyed.mark_progress(spark, gold_root, run, reached, version)
 
 
 def silver_then_gold(silver: DataFrame, silver_root: str, gold_root: str, checkpoint: str, run: int = 0, topic: TopicWriter | None = None) -> None:
@@ -178,7 +188,7 @@ def run_las(
 
     def each(batch: DataFrame, number: int) -> None:
         points = points_of(batch, split_bytes=split_bytes, skip_bad=log_path is not None)
-        keyed.upsert_points(stored_points(in_chunks(points, size=chunk_points)), root, number, rebalance=False)
+        keyed.upsert_points(stored_points(in_chunks(points, size=chunk_points), ["chunk_number"]), root, number, rebalance=False)
         if log_path:
             bad = file_totals_of(batch, chunk_points).filter("error IS NOT NULL")
             log_batch(ingestion_record(_as_runs(bad, F.lit(0.0)), F.current_timestamp()), log_path, number)
@@ -246,7 +256,7 @@ def run_chunk_topics(
             log_batch(chunk_record(df, F.current_timestamp(), seconds), f"{log_path}/consumer", number)
 
         last = latest(batch, [*LABELS, "chunk_number"], sent_order(batch))
-        fan_out(last, [lambda df: keyed.upsert_points(stored_points(unchunk(df)), points_root, number), *([log] if log_path else [])])
+        fan_out(last, [lambda df: keyed.upsert_points(stored_points(unchunk(df), ["chunk_number"]), points_root, number), *([log] if log_path else [])])
 
     def each_completion(batch: DataFrame, number: int) -> None:
         last = latest(batch.filter(F.col("status") == "completed"), LABELS, sent_order(batch))

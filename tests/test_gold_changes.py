@@ -1,0 +1,93 @@
+"""Gold kept up to date from what silver changed, against counting everything again."""
+
+import random
+import re
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from gaugeloft.operators.gold import ended_by, overload
+from gaugeloft.sinks import keyed
+from gaugeloft.streaming.pipelines import run_gold_incremental
+
+SILVER = "vm_id long, window_start timestamp, window_end timestamp, avg_max_cpu double, is_window_anomaly boolean"
+DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def window(vm, hour, over):
+    start = DAY + timedelta(hours=hour)
+    return (vm, start, start + timedelta(hours=1), 95.0 if over else 5.0, over)
+
+
+def store(spark, root, version, rows):
+    keyed.upsert_silver(spark.createDataFrame(rows, SILVER), root, version)
+
+
+def counts(df):
+    return {r["vm_id"]: (r["total_windows"], r["anomaly_windows"], r["overload_frequency"], r["recommendation"]) for r in df.collect()}
+
+
+def gold(spark, root):
+    return counts(keyed.read_gold(spark, root))
+
+
+def from_scratch(spark, root, hours):
+    return counts(overload(ended_by(keyed.read_silver(spark, root), DAY + timedelta(hours=hours))))
+
+
+@pytest.fixture
+def roots(path):
+    return f"{path}/silver", f"{path}/gold"
+
+
+def test_corrections_and_late_windows_after_the_cut_off(spark, roots):
+    silver, table = roots
+    rng = random.Random(4)
+    state = {}
+    cut = 0
+    for run, until in enumerate([30, 50, 50, 20, 80, 10]):
+        for _ in range(60):
+            vm, hour = rng.randrange(5), rng.randrange(90)
+            state[vm, hour] = window(vm, hour, rng.random() < 0.4)
+        changed = rng.sample(sorted(state), 40) if run else sorted(state)
+        stored = {k: window(*k, rng.random() < 0.4) for k in changed}
+        store(spark, silver, run, list(stored.values()))
+        run_gold_incremental(spark, silver, table, run, DAY + timedelta(hours=until))
+        cut = max(cut, until)
+        assert gold(spark, table) == from_scratch(spark, silver, cut)
+        assert {r["date_range_end"].replace(tzinfo=timezone.utc) for r in keyed.read_gold(spark, table).collect()} == {DAY + timedelta(hours=cut)}
+
+
+def test_an_earlier_cut_off_counts_nothing_twice(spark, roots):
+    silver, table = roots
+    store(spark, silver, 0, [window(vm, hour, hour % 2 == 0) for vm in range(2) for hour in range(40)])
+    for run, until in enumerate([40, 5, 40]):
+        run_gold_incremental(spark, silver, table, run, DAY + timedelta(hours=until))
+        assert gold(spark, table) == {vm: (40, 20, 0.5, "Current configuration is adequate") for vm in range(2)}
+
+
+def test_a_repeated_or_unfinished_run_starts_from_the_last_finished_one(spark, roots):
+    silver, table = roots
+    store(spark, silver, 0, [window(1, hour, True) for hour in range(10)])
+    run_gold_incremental(spark, silver, table, 0, DAY + timedelta(hours=5))
+    store(spark, silver, 1, [window(1, 2, False)])
+    for _ in range(2):
+        run_gold_incremental(spark, silver, table, 1, DAY + timedelta(hours=8))
+        assert gold(spark, table)[1][:2] == (8, 7)
+    # Gold of run 2 was written, but its progress was not.
+    keyed.upsert_gold(keyed.read_gold(spark, table).replace(8, 99, ["total_windows"]), table, 2)
+    run_gold_incremental(spark, silver, table, 3, DAY + timedelta(hours=9))
+    assert gold(spark, table)[1][:2] == (9, 8)
+
+
+def test_changes_read_only_new_versions_and_their_keys(spark, roots):
+    silver, _ = roots
+    store(spark, silver, 0, [window(vm, hour, False) for vm in range(3) for hour in range(72)])
+    store(spark, silver, 1, [window(1, 5, True), window(9, 100, True)])
+    store(spark, silver, 2, [window(1, 5, False)])
+    found = sorted((r["vm_id"], r["is_window_anomaly"], r["sign"]) for r in keyed.changes(spark, silver, [*keyed.SILVER_KEYS, "date"], 0, 1).collect())
+    assert found == [(1, False, -1), (1, True, 1), (9, True, 1)]
+    both = keyed.changes(spark, silver, [*keyed.SILVER_KEYS, "date"], 0, 2)
+    assert sorted((r["vm_id"], r["is_window_anomaly"], r["sign"]) for r in both.collect()) == [(1, False, -1), (1, False, 1), (9, True, 1)]
+    assert re.search(r"date#\d+ IN ", both._jdf.queryExecution().optimizedPlan().toString())
+    assert "SortMergeJoin" not in both._jdf.queryExecution().executedPlan().toString()
+    assert keyed.version_range(spark, silver) == (0, 2)

@@ -1,0 +1,161 @@
+"""Late rows, completeness of files, concurrency and chunking, against plain Python."""
+
+import json
+import math
+import os
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from gaugeloft.operators.concurrency import throughput_by_concurrency, with_concurrency
+from gaugeloft.operators.points import chunk_in_order
+from gaugeloft.sinks import keyed
+from gaugeloft.streaming.stateful import file_completeness, read_late, run_completeness, run_silver_keeping_late
+
+T0 = datetime(2024, 1, 1)
+STAMP = 1_700_000_000
+
+
+def send(folder, number, rows):
+    os.makedirs(folder, exist_ok=True)
+    file = f"{folder}/{number:04d}.json"
+    with open(file, "w") as handle:
+        handle.write("\n".join(json.dumps(r) for r in rows))
+    os.utime(file, (STAMP + number, STAMP + number))
+
+
+def text(seconds):
+    return str(T0 + timedelta(seconds=seconds))
+
+
+def readings(spark, path):
+    schema = "vm_id string, event_time timestamp, max_cpu double"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{path}/in")
+
+
+def run_late(spark, path):
+    query = run_silver_keeping_late(readings(spark, path), f"{path}/silver", f"{path}/late", f"{path}/check", bounded=True, window="60 seconds", watermark="30 seconds")
+    query.awaitTermination()
+    return query
+
+
+def test_every_row_is_counted_or_kept_as_late(spark, path):
+    rng = random.Random(1)
+    batches = [[(rng.choice("abc"), 100 * n + rng.randrange(-250, 100), rng.choice([None, 50.0, 95.5, 99.0])) for _ in range(40)] for n in range(5)]
+    batches[3] += [(None, 350, 1.0), ("a", None, 2.0), ("a", 5, None)]
+    for n, batch in enumerate(batches):
+        send(f"{path}/in", n, [{"vm_id": v, "event_time": None if t is None else text(t), "max_cpu": c} for v, t, c in batch])
+        if n == 2:
+            run_late(spark, path)  # the rest goes on from the checkpoint
+    query = run_late(spark, path)
+    windows, late, latest = {}, [], None
+    for batch in batches:
+        closed = -math.inf if latest is None else latest - 30
+        for vm, t, cpu in batch:
+            if t is None:
+                continue
+            start = t // 60 * 60
+            if start + 60 <= closed:
+                late.append((vm, start, t, cpu))
+            else:
+                windows.setdefault((vm, start), []).append(cpu)
+        latest = max([t for _, t, _ in batch if t is not None] + ([latest] if latest is not None else []))
+    since = lambda x: int((x - T0).total_seconds())
+    found = [(r.vm_id, since(r.window_start), since(r.event_time), r.max_cpu) for r in read_late(spark, f"{path}/late").collect()]
+    assert sorted(found, key=str) == sorted([r for r in late if r[0] is not None], key=str) and len(found) > 10
+    stored = {(r.vm_id, since(r.window_start)): (r.avg_max_cpu, r.is_window_anomaly) for r in keyed.read_silver(spark, f"{path}/silver").collect()}
+    want = {}
+    for key, values in windows.items():
+        known = [v for v in values if v is not None]
+        average = sum(known) / len(known) if known else None
+        if key[0] is not None:
+            want[key] = (pytest.approx(average) if known else None, average is not None and average > 90)
+    assert stored == want
+    assert all(s["numRowsDroppedByWatermark"] == 0 for p in query.recentProgress for s in p["stateOperators"])
+
+
+def message(at, **data):
+    return {"value": json.dumps(data), "timestamp": text(at)}
+
+
+def topic(spark, folder):
+    return spark.readStream.schema("value string, timestamp timestamp").option("maxFilesPerTrigger", 1).json(folder)
+
+
+def test_files_are_complete_short_or_timed_out(spark, path):
+    chunk = lambda at, name, number, n: message(at, tenant_id="A", file_name=name, chunk_number=number, points=[{"X": 1.0}] * n)
+    done = lambda at, name, points, parts, status="completed": message(at, tenant_id="A", file_name=name, status=status, total_points=points, total_chunks=parts)
+    chunks = [
+        [chunk(0, "whole", 0, 5), chunk(1, "whole", 1, 2), chunk(0, "again", 0, 3), chunk(0, "short", 0, 4), chunk(2, "silent", 0, 1), message(3, nothing=1)],
+        [chunk(10, "again", 0, 4), chunk(12, "early", 0, 2)],
+        [chunk(500, "tick", 0, 0)],
+        [chunk(1500, "tick", 1, 0)],
+    ]
+    completions = [
+        [done(3, "whole", 7, 2), done(4, "short", 9, 2), done(5, "early", 2, 1), done(5, "failed", 2, 1, "failed")],
+        [done(11, "again", 4, 1), done(11, "empty", 0, 0)],
+        [done(501, "idle", 1, 1, "idle")],
+        [done(1501, "idle", 1, 1, "idle")],
+    ]
+    for n, (c, d) in enumerate(zip(chunks, completions, strict=True)):
+        send(f"{path}/chunks", n, c)
+        send(f"{path}/done", n, d)
+    verdicts = file_completeness(topic(spark, f"{path}/chunks"), topic(spark, f"{path}/done"), patience="100 seconds", watermark="10 seconds")
+    run_completeness(verdicts, lambda df, n: df.write.mode("overwrite").parquet(f"{path}/out/n={n}"), f"{path}/check", bounded=True).awaitTermination()
+    found = {r.file_name: (r.verdict, r.received_points, r.received_chunks, r.announced_points, r.announced_chunks) for r in spark.read.parquet(f"{path}/out").collect()}
+    found.pop("tick", None)
+    assert found == {
+        "whole": ("complete", 7, 2, 7, 2), "again": ("complete", 4, 1, 4, 1), "early": ("complete", 2, 1, 2, 1), "empty": ("complete", 0, 0, 0, 0),
+        "short": ("short", 4, 1, 9, 2), "silent": ("timed out", 1, 1, None, None),
+    }
+
+
+def brute_concurrency(rows):
+    out = []
+    for name, tenant, begin, seconds, _ in rows:
+        if begin is None or seconds is None:
+            continue
+        going = [(n, t) for n, t, b, s, _ in rows if b is not None and s is not None and b <= begin and b + max(s, 1e-6) > begin]
+        out.append((name, len(going), len({t for _, t in going})))
+    return sorted(out)
+
+
+def test_concurrency_by_brute_force(spark):
+    rng = random.Random(2)
+    rows = [(f"f{i}", rng.choice(["A", "B", "C", None]), rng.randrange(300), float(rng.choice([0, 1, 5, 40, 200])), rng.random()) for i in range(250)]
+    rows += [("x", "A", None, 1.0, 1.0), ("y", "A", 5, None, 1.0)]
+    df = spark.createDataFrame([(n, t, None if b is None else T0 + timedelta(seconds=b), s, p) for n, t, b, s, p in rows], "file_name string, tenant_id string, run_time timestamp, ingestion_time_sec double, throughput_mb_sec double")
+    placed = with_concurrency(df)
+    assert placed.columns == [*df.columns, "files_at_once", "tenants_at_once"]
+    want = brute_concurrency(rows)
+    assert sorted((r.file_name, r.files_at_once, r.tenants_at_once) for r in placed.collect()) == want
+    grid = {}
+    speed = {n: p for n, *_, p in rows}
+    for name, files, tenants in want:
+        grid.setdefault((files, tenants), []).append(speed[name])
+    found = {(r.files_at_once, r.tenants_at_once): (r.runs, r.mean_throughput) for r in throughput_by_concurrency(df).collect()}
+    assert found == {k: (len(v), pytest.approx(sum(v) / len(v), abs=1e-6)) for k, v in grid.items()}
+    assert with_concurrency(df.limit(0)).count() == 0
+
+
+def test_chunks_in_one_shuffle(spark):
+    rng = random.Random(3)
+    rows = [(t, i, float(i) if i % 7 else None) for t, n in (("a", 1037), ("b", 3), ("c", 250), (None, 40), ("d", 1)) for i in range(n)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "file string, at long, x double").repartition(7)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "33")
+    try:
+        out = chunk_in_order(df, ["file"], ["at"], size=50, fields=["at", "x"])
+        found = {(r["file"], r["chunk_number"]): [tuple(p) for p in r["points"]] for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept[1])
+    want = {}
+    for file, at, x in sorted(rows, key=str):
+        want.setdefault((file, at // 50), []).append((at, x))
+    assert found == {k: sorted(v) for k, v in want.items()}
+    assert len(found) == out.count() and plan.count("Exchange hashpartitioning") == 1 and "_whole" in plan
+    assert chunk_in_order(df.limit(0), ["file"], ["at"], size=50, fields=["x"]).count() == 0
