@@ -74,7 +74,9 @@ def stream_file_completeness(spark, sf_dir) -> DataFrame:
 
 def concurrency(spark, sf_dir) -> DataFrame:
     """Orders as ingestion runs of as many minutes as their customer has numbers."""
-    return throughput_by_concurrency(runs(spark, sf_dir).withColumn("ingestion_time_sec", F.col("ingestion_time_sec") * 60))
+    rate = F.try_divide(F.col("file_size_mb"), F.col("ingestion_time_sec"))
+    logs = runs(spark, sf_dir).withColumns({"throughput_mb_sec": rate, "ingestion_time_sec": F.col("ingestion_time_sec") * 60})
+    return throughput_by_concurrency(logs, places=3)
 
 
 QUERIES = {
@@ -98,10 +100,10 @@ QUERIES = {
         concurrency,
         """WITH runs AS (
              SELECT o_orderkey, o_orderpriority AS tenant, o_orderdate AS begun, o_orderdate + to_microseconds(greatest(o_custkey * 60000000, 1)) AS ended,
-               CASE WHEN o_custkey > 0 THEN o_totalprice / o_custkey::DOUBLE ELSE 0 END AS throughput FROM orders),
+               o_totalprice / nullif(o_custkey, 0)::DOUBLE AS throughput FROM orders),
            placed AS (
              SELECT a.o_orderkey, any_value(a.throughput) AS throughput, count(*) AS files_at_once, count(DISTINCT b.tenant) AS tenants_at_once
              FROM runs a JOIN runs b ON b.begun <= a.begun AND b.ended > a.begun GROUP BY a.o_orderkey)
-           SELECT files_at_once, tenants_at_once, count(*) AS runs, round(avg(throughput), 6) AS mean_throughput FROM placed GROUP BY ALL""",
+           SELECT files_at_once, tenants_at_once, count(*) AS runs, round(avg(throughput), 3) AS mean_throughput FROM placed GROUP BY ALL""",
     ),
 }
