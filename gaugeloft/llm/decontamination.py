@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from gaugeloft.llm.common import text_of, workers
 from gaugeloft.llm.licenses import words_of
 from gaugeloft.llm.shingles import gram_hashes, word_hashes
+from gaugeloft.operators.joins import join_small
+from gaugeloft.session import settle
 
 GRAM = 3
 WINDOW = 3
@@ -31,6 +33,12 @@ STEP = 192
 BLOCK_WORDS = 500_000
 LEAST = 0.5
 LEAST_WORDS = 6
+#: All trigrams of an item of up to so many words are seeds: an edit leaves it no five words in a row.
+ALL_SEEDS = 12
+#: Of items of six to eight words a larger share has to align.
+SHORT, SHORT_LEAST = 8, 0.75
+#: So many words, net of edits, are a leak however long the item is.
+ENOUGH = 30
 MATCH, MISMATCH, GAP = 2, -1, -1
 MARGIN = 0.5
 LEAKS = "doc_id bigint, item_id bigint, score double, first_word bigint, last_word bigint"
@@ -57,6 +65,13 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def needed_words(length: int) -> float:
+    """How many words, less those that edits cost, have to align with an item, or a piece of one, of so many words."""
+    if length <= SHORT:
+        return length if length < LEAST_WORDS else SHORT_LEAST * length
+    return min(max(LEAST * length, LEAST_WORDS), ENOUGH)
+
+
 def segments(words: list[bytes]) -> list[list[bytes]]:
     """Overlapping pieces of a long item; a short one is a piece itself. Fewer words than a gram give none."""
     if len(words) < GRAM:
@@ -89,8 +104,9 @@ class Block:
         places = defaultdict(set)
         for s, grams in enumerate(self.grams):
             rarity = documents[np.searchsorted(self.known, grams)]
-            for start in range(max(1, len(grams) - WINDOW + 1)):
-                window = range(start, min(start + WINDOW, len(grams)))
+            width = WINDOW if len(self.words[s]) > ALL_SEEDS else 1
+            for start in range(max(1, len(grams) - width + 1)):
+                window = range(start, min(start + width, len(grams)))
                 seed = min(window, key=lambda i: (rarity[i], grams[i]))
                 places[int(grams[seed])].add((s, seed))
         self.places = {gram: sorted(where) for gram, where in places.items()}
@@ -134,7 +150,7 @@ class Block:
 
     @staticmethod
     def _judge(item: np.ndarray, passage: np.ndarray) -> tuple[float, int, int] | None:
-        needed = max(LEAST * len(item), min(len(item), LEAST_WORDS))
+        needed = needed_words(len(item))
         if np.isin(item, passage).sum() < needed:
             return None
         score, end = align(item, passage)
@@ -162,14 +178,20 @@ def _holding(df: DataFrame, text_column: str, block: Block) -> np.ndarray:
     return out
 
 
-def blocks(docs: DataFrame, benchmark: DataFrame, text_column: str, item_column: str, item_text_column: str) -> Iterator[Block]:
-    """The benchmark in blocks of about BLOCK_WORDS words, their seeds chosen by all documents."""
+def distinct_texts(benchmark: DataFrame, item_column: str, item_text_column: str) -> tuple[DataFrame, DataFrame]:
+    """The texts of all items, each once, as ``text_id, text``, and which items have them, ``text_id, item_id``."""
     items = benchmark.select(F.col(f"`{item_column}`").cast("bigint").alias("item_id"), text_of(item_text_column).alias("text"))
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    texts = settle(items.select("text").distinct().withColumn("text_id", F.monotonically_increasing_id()))
+    return texts, items.join(texts, "text").select("text_id", "item_id").distinct()
+
+
+def blocks(docs: DataFrame, texts: DataFrame, text_column: str) -> Iterator[Block]:
+    """The benchmark's texts in blocks of about BLOCK_WORDS words, their seeds chosen by all documents."""
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     count = -(-size // (BLOCK_WORDS * 6)) or 1
     for number in range(count):
-        rows = items.filter(F.pmod(F.xxhash64("text"), F.lit(count)) == number).collect()
-        block = Block(sorted(map(tuple, rows), key=str))
+        rows = texts.filter(F.pmod(F.xxhash64("text"), F.lit(count)) == number).select("text_id", "text").collect()
+        block = Block(sorted(map(tuple, rows)))
         block.choose_seeds(_holding(workers(docs), text_column, block))
         yield block
 
@@ -180,12 +202,14 @@ def find_leaks(
     """Documents that hold benchmark items: ``doc_id, item_id, score, first_word, last_word``.
 
     A row per document and item whose best alignment reaches half of a perfect one, and six words (all words
-    of an item of three to five). Words are runs of letters and digits in lower case; ``first_word`` and
+    of an item of three to five, three quarters of one of six to eight), or thirty words of a longer item. Words are runs of letters and digits in lower case; ``first_word`` and
     ``last_word`` number them from 0. Items of fewer than three words, and null or empty texts on either
     side, take no part. Items with equal text each get their rows; a repeated document gives repeated
-    rows, a repeated item row none. Long texts are read whole, long items in overlapping segments. A
-    null id stays null. Empty tables give an empty result.
+    rows, a repeated item row none. Long texts are read whole, long items in overlapping segments, of which
+    one holds any passage of up to 64 words whole. A null id stays null. Empty tables give an empty result. Equal items are
+    looked for once.
     """
+    texts, names = distinct_texts(benchmark, item_column, item_text_column)
 
     def leaks_in(block: Block) -> DataFrame:
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,12 +221,14 @@ def find_leaks(
 
         return docs.select(F.col(f"`{id_column}`").cast("bigint"), text_of(text_column)).mapInArrow(find, LEAKS)
 
-    return reduce(DataFrame.unionByName, map(leaks_in, blocks(docs, benchmark, text_column, item_column, item_text_column)))
+    found = reduce(DataFrame.unionByName, map(leaks_in, blocks(docs, texts, text_column)))
+    return join_small(found.withColumnRenamed("item_id", "text_id"), settle(names), ["text_id"]).select(*[c.split()[0] for c in LEAKS.split(", ")])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text") -> DataFrame:
     """The documents without a leak, in all their columns; the rules are those of ``find_leaks``."""
-    place = docs.columns.index(text_column)
+    place = [c.lower() for c in docs.columns].index(text_column.lower())
+    texts = distinct_texts(benchmark, item_column, item_text_column)[0]
 
     def clean(block: Block):
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,4 +237,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_column: str = "tex
 
         return keep
 
-    return reduce(lambda df, block: df.mapInArrow(clean(block), docs.schema), blocks(docs, benchmark, text_column, item_column, item_text_column), docs)
+    return reduce(lambda df, block: df.mapInArrow(clean(block), docs.schema), blocks(docs, texts, text_column), docs)

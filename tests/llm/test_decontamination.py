@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 from gaugeloft.llm import decontamination
-from gaugeloft.llm.decontamination import GAP, MATCH, MISMATCH, align, decontaminate, find_leaks, segments
+from gaugeloft.llm.decontamination import GAP, MATCH, MISMATCH, Block, align, decontaminate, find_leaks, needed_words, segments
 
 ITEMS = "item_id long, text string"
 
@@ -104,3 +104,50 @@ def test_long_items_and_empty_tables(spark, make_docs, odd_docs):
     assert [(d, i) for d, i, *_ in leaks(spark, docs, [(5, " ".join(long))])] == [(1, 5)]
     assert leaks(spark, make_docs([]), [(5, " ".join(long))]) == []
     assert leaks_any(spark, odd_docs, []) == []
+
+
+def edited(rng, passage, share):
+    """Words replaced, left out or doubled, in equal parts."""
+    out = []
+    for w in passage:
+        if rng.random() >= share:
+            out.append(w)
+        elif (kind := rng.randrange(3)) != 0:
+            out += [f"x{rng.randrange(999)}"] if kind == 1 else [w, f"y{rng.randrange(999)}"]
+    return out
+
+
+def recall(length, share, item_words=600, tries=60):
+    rng = random.Random(length * 100 + int(share * 100))
+    item = words(rng, item_words)
+    block = Block([(1, " ".join(item))])
+    block.choose_seeds(np.zeros(len(block.known), dtype=np.int64))
+    found = 0
+    for _ in range(tries):
+        at = rng.randrange(item_words - length + 1)
+        doc = words(rng, 80) + edited(rng, item[at : at + length], share) + words(rng, 80)
+        found += bool(block.leaks(" ".join(doc)))
+    return found / tries
+
+
+def test_recall_of_passages_of_a_long_item():
+    table = {(n, s): recall(n, s) for n in (50, 100, 200) for s in (0.0, 0.1, 0.2)}
+    print(table, recall(20, 0.0))
+    assert all(r == 1.0 for (n, s), r in table.items() if s == 0.0)
+    assert all(r >= 0.9 for (n, s), r in table.items() if s <= 0.1 or n > 50)
+
+
+def test_an_edit_in_a_short_item(spark, make_docs):
+    text = "alpha beta gamma delta epsilon zeta eta theta iota"
+    for n in (6, 7, 8, 9):
+        item = text.split()[:n]
+        one_edit = [w if i != n // 2 else "other" for i, w in enumerate(item)]
+        assert [d for d, *_ in leaks(spark, make_docs([(1, "so " + " ".join(one_edit) + " end"), (2, " ".join(item[:3]) + " and nothing else")]), [(1, " ".join(item))])] == [1]
+    assert [needed_words(n) for n in (3, 5, 6, 8, 9, 12, 40, 59, 61, 256)] == [3, 5, 4.5, 6, 6, 6, 20, 29.5, 30, 30]
+
+
+def test_repeated_items_and_other_names(spark, make_docs):
+    docs = make_docs([(1, "one two three four five six seven eight nine"), (2, "nothing of it")]).withColumnRenamed("text", "Text")
+    items = [(i, "one two three four five six seven eight nine") for i in (3, 4, 4, None)]
+    assert sorted(leaks_any(spark, docs, items), key=str) == sorted([(1, i, 1.0, 0, 8) for i in (3, 4, None)], key=str)
+    assert [r["doc_id"] for r in decontaminate(docs, spark.createDataFrame(items, ITEMS)).collect()] == [2]
