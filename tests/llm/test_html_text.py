@@ -1,3 +1,4 @@
+import time
 import re
 
 import pytest
@@ -22,7 +23,7 @@ MENU = "<nav><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></u
         (f"<article><p>{PROSE}</p></article><article class='comment'><p>{PROSE}{PROSE}</p></article>", PROSE.strip()),
         (f"<body class='has-sidebar'><div class='page'><p>{PROSE}</p><ul><li>first</li><li>second</li></ul></div></body>", f"{PROSE.strip()}\nfirst\nsecond"),
         ("<article><table><tr><td>a</td><td>b</td></tr></table><pre> x  y </pre>tail</article>", "a b\nx y\ntail"),
-        ("<article><p>a<span hidden>no</span>b <span class='ad'>Buy</span>c</p></article>", "a\nb\nc"),
+        ("<article><p>a<span hidden>no</span>b <span class='ad'>Buy</span>c</p></article>", "ab c"),
         ("<p>5 &lt; 6 &#x41;&unknown; &am", "5 < 6 A&unknown; &am"),
         ("<article><!-- note --><p>kept</p><![CDATA[x]]></article", "kept"),
     ],
@@ -49,7 +50,7 @@ def test_pages_without_an_article_element(html, want):
     [
         (f"<article><p><span class='share'><b>Share</b></span> {PROSE}</p></article>", PROSE.strip()),
         (f"<article><p><a class='related'><em>term</em></a> {PROSE}</p></article>", PROSE.strip()),
-        ("<article><p>One <span class='ad'><b>Buy</b> <i>now</i></span> two.</p></article>", "One\ntwo."),
+        ("<article><p>One <span class='ad'><b>Buy</b> <i>now</i></span> two.</p></article>", "One two."),
         ("<article><p>One <button><b>Share</b></button><b>two</b> three.</p></article>", "One two three."),
         ("<article><p><b>One</b> two <span class='ad'><b><i>Buy</i></b></span></p><p>Three</p></article>", "One two\nThree"),
         ("<article><span class='ad'><b>Buy<p>now</p></b></span><p>One</p></article>", "One"),
@@ -96,4 +97,38 @@ def test_smoothing_keeps_the_mean_of_even_lines():
     page = Lines()
     page.feed("<p>a</p><p>b <a>c</a></p>")
     page.close()
-    assert [(t, linked) for _, t, _, linked in page.lines] == [("a", 0), ("b c", 1)]
+    assert [("".join(t for _, t in pieces), linked) for _, pieces, _, linked in page.lines] == [("a", 0), ("b c", 1)]
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (f"<article><p>{PROSE}</p></article><section id='comments'><article><p>{PROSE}{PROSE}</p></article></section>", PROSE.strip()),
+        (f"<article><p>{PROSE}</p></article><div class='comments'><article><p>{PROSE}{PROSE}</p></article></div>", PROSE.strip()),
+        (f"<article><p>{PROSE}</p><p>Before <span class='ad'>Buy <b>now</b></span>after</p></article>", f"{PROSE.strip()}\nBefore after"),
+        (f"<article><p><span class='share'><b>Share</b></span> Long words here {PROSE}</p></article>", f"Long words here {PROSE.strip()}"),
+        (f"<article><p class='share-price'>Up 3%</p><div class='text-widget'><p>{PROSE}</p></div><p class='alert-level'>High</p></article>", f"Up 3%\n{PROSE.strip()}\nHigh"),
+        (f"<body><div class='form'><h1>T</h1><p>{PROSE}</p></div><div class='share'>Share</div></body>", f"T\n{PROSE.strip()}"),
+        (f"<main><h1>T</h1><article><p>{PROSE}</p></article><p>tail</p></main>", f"T\n{PROSE.strip()}\ntail"),
+        (f"<article><p>{PROSE}</p><div class='cookie-banner'>We</div><div class='ad-slot'>Buy</div><div class='relatedPosts'>More</div></article>", PROSE.strip()),
+    ],
+)
+def test_marks_and_regions(html, want):
+    assert main_text(html) == want
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<article>" + "<span>" * 100_000 + "".join(f"<p>word {i}" for i in range(20_000)) + "</article>",
+        "<div>x" * 100_000,
+        "<p>" + "<b> </b>" * 100_000 + "text",
+        "<ul>" + "<li><i>" * 50_000 + "end",
+        "<table><tr><td>" + "<span>" * 50_000 + "</p>" * 50_000 + "x",
+        "<section class='comments'>" * 30_000 + "remark" + "</section>" * 30_000 + "<p>text</p>",
+    ],
+)
+def test_time_grows_with_the_page_only(html):
+    begin = time.process_time()
+    main_text(html)
+    assert time.process_time() - begin < 6
