@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeloft.functions.measures import estimated_mb, run_status, throughput
+from gaugeloft.operators.joins import join_small
+from gaugeloft.session import settle
 
 GOOD = ("success", "completed")
 LOG_TIME = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -108,6 +110,11 @@ def run_trend(logs: DataFrame, time: Column, window: str, group: list[str] | Non
     )
 
 
+#: What makes a word of a message a value, and how many different words a place may have before they are values.
+VALUE = r"[0-9/\\@]|[^.=][.=][^.=]"
+MOST_VALUES = 8
+
+
 def failure_patterns(logs: DataFrame, group: list[str] | None = None) -> DataFrame:
     """Errors that differ only in their numbers, counted together; a null pattern counts runs without errors."""
     group = group or ["tenant_id"]
@@ -116,6 +123,29 @@ def failure_patterns(logs: DataFrame, group: list[str] | None = None) -> DataFra
     return each.groupBy(*group, pattern.alias("pattern")).agg(F.count("*").alias("occurrences"))
 
 
+def failure_templates(logs: DataFrame, group: list[str] | None = None, most: int = MOST_VALUES) -> DataFrame:
+    """Errors of one template counted together: ``group, template, occurrences, distinct_messages``.
+
+    A message is cut at spaces. A word with a digit, a slash, a backslash, an ``@`` or a dot or equals sign inside is a
+    value, such as a number, path, host or id, and becomes ``*``. Messages of as many words and the same first word then share
+    a template as far as their other words agree: a place at which they have more than ``most`` different words holds
+    values, too, and becomes ``*`` in all of them. Words are counted per place, combined before the
+    shuffle, so that a template of very many messages is a few rows. A run without errors has a null template.
+    """
+    group = group or ["tenant_id"]
+    masked = F.transform(F.split(F.trim("error"), "\\s+"), lambda w: F.when(w.rlike(VALUE), "*").otherwise(w))
+    each = logs.select(*group, F.explode_outer("errors").alias("error")).withColumn("words", masked)
+    known = each.groupBy(*group, "words").agg(F.count("*").alias("n"), F.count_distinct("error").alias("messages"))
+    shape = ["_length", "_lead"]
+    shaped = settle(known.withColumns({"_length": F.size("words"), "_lead": F.get("words", F.lit(0))}))
+    words = shaped.filter("words IS NOT NULL").select(*shape, F.posexplode("words").alias("_place", "_word")).distinct()
+    free = words.groupBy(*shape, "_place").agg(F.count("*").alias("_values")).filter(F.col("_values") > most)
+    places = settle(free.groupBy(*shape).agg(F.collect_list("_place").alias("_free")))
+    joined = join_small(shaped, places, shape, "left")
+    template = F.array_join(F.transform("words", lambda w, i: F.when(F.array_contains(F.coalesce("_free", F.array().cast("array<int>")), i), "*").otherwise(w)), " ")
+    return joined.groupBy(*group, template.alias("template")).agg(F.sum("n").alias("occurrences"), F.sum("messages").alias("distinct_messages"))
+
+
 def throughput_grid(logs: DataFrame, rows: str, columns: str, values: list, places: int | None = None) -> DataFrame:
     """Mean throughput with one row per value of ``rows`` and one column per listed value of ``columns``.
 

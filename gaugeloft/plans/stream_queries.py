@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from gaugeloft.functions.convert import to_message, utc_time
 from gaugeloft.operators.concurrency import throughput_by_concurrency
+from gaugeloft.operators.joins import join_small
 from gaugeloft.operators.points import chunk_in_order
+from gaugeloft.operators.runs import failure_templates
 from gaugeloft.plans.reading_queries import SQL_READINGS, rounded
 from gaugeloft.plans.tables import LINE_ORDER, naive, readings, runs, table
 from gaugeloft.session import fresh_dir, settle
 from gaugeloft.sinks import keyed
 from gaugeloft.sources.topics import CHUNK_TOPIC, COMPLETION_TOPIC, as_envelope, read_topic
+from gaugeloft.streaming.quantiles import RANK_ERROR, read_quantiles, run_outliers
 from gaugeloft.streaming.stateful import file_completeness, read_late, run_completeness, run_silver_keeping_late
 
 BATCHES, LATENESS, LATE_WINDOW = 4, "10 days", "6 hours"
@@ -79,7 +82,48 @@ def concurrency(spark, sf_dir) -> DataFrame:
     return throughput_by_concurrency(logs, places=3)
 
 
+def templates(spark, sf_dir) -> DataFrame:
+    """Errors with paths, hosts, ids and the names of customers' segments in them."""
+    order, number = F.col("o_orderkey"), F.col("o_custkey")
+    errors = F.array(
+        F.concat(F.lit("cannot open /data/"), F.translate("tenant_id", " ", "_"), F.lit("/order"), order, F.lit(".las on node-"), number % 40, F.lit(".example.org")),
+        F.concat(F.lit("timeout after "), number, F.lit(" s")),
+        F.when(number % 2 == 0, F.concat(F.lit("file order"), order, F.lit(" incomplete"))).otherwise(F.concat(F.lit("checksum of chunk differs: "), F.md5(order.cast("string")))),
+    )
+    logs = runs(spark, sf_dir).withColumn("number", F.regexp_extract("file_name", "[0-9]+", 0)).withColumnRenamed("errors", "_")
+    logs = logs.withColumns({"o_orderkey": F.col("number").cast("bigint"), "o_custkey": F.col("ingestion_time_sec").cast("bigint")})
+    return failure_templates(logs.withColumn("errors", F.when(F.col("status") == "error", errors).otherwise(F.array().cast("array<string>"))))
+
+
+def stream_outliers(spark, sf_dir) -> DataFrame:
+    """Running percentiles of a stream in four batches: whether each is as near its rank as stated."""
+    path, root, outliers = (fresh_dir(spark, n) for n in ("readings", "sketches", "outliers"))
+    rows = readings(spark, sf_dir)
+    for batch in range(BATCHES):
+        rows.filter(F.col("event_id") % BATCHES == batch).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    run_outliers(stream, root, outliers, fresh_dir(spark, "checkpoint"), ["tenant_id"], "max_cpu", bounded=True).awaitTermination()
+    fractions = {"p01": 0.01, "p50": 0.5, "p95": 0.95, "p99": 0.99}
+    found = settle(read_quantiles(spark, root, ["tenant_id"], fractions))
+    ranked = join_small(rows.filter(F.col("max_cpu").isNotNull()), found, ["tenant_id"]).groupBy("tenant_id", "n")
+    slack = F.greatest(F.lit(RANK_ERROR), 1 / F.col("n"))
+    below, upto = ({p: F.avg((F.col("max_cpu") < F.col(p)).cast("double") if strict else (F.col("max_cpu") <= F.col(p)).cast("double")) for p in fractions} for strict in (True, False))
+    shares = ranked.agg(*[below[p].alias(f"{p}_below") for p in fractions], *[upto[p].alias(f"{p}_upto") for p in fractions])
+    near = [((F.col(f"{p}_below") - slack <= f) & (F.col(f"{p}_upto") + slack >= f)).alias(p) for p, f in fractions.items()]
+    return shares.select("tenant_id", "n", *near)
+
+
 QUERIES = {
+    "failure_templates": (
+        templates,
+        """WITH errors AS (
+             SELECT o_orderpriority AS tenant_id, unnest(CASE WHEN o_orderstatus <> 'P' THEN [NULL] ELSE [
+               'cannot open ' || o_orderkey, 'timeout ' || o_custkey, CASE WHEN o_custkey % 2 = 0 THEN 'file ' ELSE 'checksum ' END || o_orderkey] END) AS error FROM orders)
+           SELECT tenant_id, CASE string_split(error, ' ')[1] WHEN 'cannot' THEN 'cannot open * on *' WHEN 'timeout' THEN 'timeout after * s' WHEN 'file' THEN 'file * incomplete'
+                  WHEN 'checksum' THEN 'checksum of chunk differs: *' END AS template, count(*) AS occurrences, count(DISTINCT error) AS distinct_messages
+           FROM errors GROUP BY ALL""",
+    ),
+    "stream_outliers": (stream_outliers, "SELECT event_type AS tenant_id, count(value) AS n, TRUE AS p01, TRUE AS p50, TRUE AS p95, TRUE AS p99 FROM events GROUP BY 1"),
     "streaming_late_rows": (streaming_late_rows, f"SELECT vm_id, window_start, window_end, event_time, max_cpu FROM ({SQL_MARKED}) WHERE late"),
     "streaming_on_time": (
         streaming_on_time,
