@@ -4,7 +4,7 @@ The index holds, for every word of the templates, where it stands in them. A fil
 looked up from the rarest on (by how many documents of the corpus hold them); each occurrence and
 each posting together name the place where the template would begin, and places with several votes
 are compared word by word. A label needs a sufficient share of the template, weighted by rarity,
-and its mandatory phrase standing there in full.
+and its mandatory phrase standing there in full, with no negation before it.
 """
 
 from __future__ import annotations
@@ -41,7 +41,49 @@ TEMPLATES = [
     ("cc-by-sa", "cc by sa", "licensed under cc by sa 4 0"),
     ("cc0", "waived all copyright", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
     ("unlicense", "free and unencumbered software", "this is free and unencumbered software released into the public domain"),
+    ("mit", "mit license", "the mit license mit"),
+    ("mit", "without warranty of any kind", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("apache-2.0", "apache license 2 0", "apache license 2 0"),
+    ("apache-2.0", "apache 2 0", "apache 2 0"),
+    ("apache-2.0", "apache license", "apache license version 2 0 january 2004 http www apache org licenses"),
+    ("apache-2.0", "compliance with the license", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("gpl", "gnu gpl", "gnu gpl"),
+    ("lgpl", "gnu lgpl", "gnu lgpl"),
+    ("lgpl", "lesser general public license", "gnu lesser general public license"),
+    ("lgpl", "library general public license", "gnu library general public license"),
+    ("agpl", "affero general public license", "gnu affero general public license"),
+    ("mpl-2.0", "mozilla public license version 2 0", "mozilla public license version 2 0"),
+    ("mpl-2.0", "mpl 2 0", "mpl 2 0"),
+    ("bsd", "redistribution and use in source and binary forms", "redistribution and use in source and binary forms"),
+    ("bsd", "clause bsd license", "3 clause bsd license"),
+    ("bsd", "bsd 3 clause", "bsd 3 clause license"),
+    ("bsd", "bsd 2 clause", "bsd 2 clause license"),
+    ("bsd", "bsd license", "bsd style license bsd license"),
+    ("bsd", "endorse or promote products", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("isc", "isc license", "isc license"),
+    ("bsl-1.0", "boost software license", "boost software license version 1 0"),
+    ("bsl-1.0", "software license", "distributed under the boost software license version 1 0 see accompanying file license 1 0 txt or copy at"),
+    ("epl", "eclipse public license", "eclipse public license v 2 0"),
+    ("epl", "eclipse public license", "this program and the accompanying materials are made available under the terms of the eclipse public license which accompanies this distribution"),
+    ("cc0", "cc0 1 0", "cc0 1 0 universal"),
+    ("cc0", "dedicated the work to the public domain", "the person who associated a work with this deed has dedicated the work to the public domain"),
+    ("cc-by-sa", "attribution sharealike", "creative commons attribution sharealike 4 0 international"),
+    ("cc-by-sa", "attribution share alike", "creative commons attribution share alike license"),
+    ("cc-by-nc", "attribution noncommercial", "creative commons attribution noncommercial 4 0 international"),
+    ("cc-by-nc", "attribution non commercial", "creative commons attribution non commercial license"),
+    ("zlib", "altered source versions", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("wtfpl", "do what the fuck you want to public license", "do what the fuck you want to public license"),
+    ("artistic-2.0", "artistic license", "the artistic license 2 0"),
 ]
+#: Label, identifiers of licences as files name them after the words "SPDX-License-Identifier".
+IDENTIFIERS = [
+    ("mit", "MIT"), ("apache-2.0", "Apache-2.0"), ("gpl", "GPL-2.0"), ("gpl", "GPL-3.0"), ("lgpl", "LGPL-2.1"), ("lgpl", "LGPL-3.0"), ("agpl", "AGPL-3.0"),
+    ("mpl-2.0", "MPL-2.0"), ("bsd", "BSD-2-Clause"), ("bsd", "BSD-3-Clause"), ("isc", "ISC"), ("cc0", "CC0-1.0"), ("cc-by", "CC-BY-4.0"), ("cc-by-sa", "CC-BY-SA-4.0"),
+    ("cc-by-nc", "CC-BY-NC-4.0"), ("unlicense", "Unlicense"), ("bsl-1.0", "BSL-1.0"), ("epl", "EPL-1.0"), ("epl", "EPL-2.0"), ("zlib", "Zlib"), ("artistic-2.0", "Artistic-2.0"),
+]
+#: Before a notice, or within it, they turn it into its contrary.
+NEGATIONS = frozenset(b"not no never neither nor isn aren wasn cannot".split())
+REACH = 3
 RAREST = 6
 VOTES = 2
 TOLERANCE = 2
@@ -65,12 +107,25 @@ def phrase_places(joined: bytes, phrase: bytes) -> Iterator[int]:
         yield word
 
 
+def templates() -> list[tuple[str, list[bytes], list[bytes]]]:
+    """Label, mandatory phrase and words of every template; an identifier is its own mandatory phrase."""
+    plain = [(label, must.encode().split(), text.encode().split()) for label, must, text in TEMPLATES]
+    named = [(label, words_of(f"spdx license identifier {name}")) for label, name in IDENTIFIERS]
+    return plain + [(label, words, words) for label, words in named]
+
+
+def negated(words: list[bytes], must: list[bytes], template: list[bytes], at: int) -> bool:
+    """Whether a negation stands among the words of a notice before its mandatory phrase ``at``, or shortly before the notice."""
+    lead = next((i for i in range(len(template) - len(must) + 1) if template[i : i + len(must)] == must), 0)
+    return bool(NEGATIONS.intersection(words[max(0, at - lead - REACH) : at]) - set(template))
+
+
 class Index:
     """The templates with their postings; ``idf`` weighs their words."""
 
     def __init__(self, idf: dict[bytes, float]):
         self.idf = idf
-        self.templates = [(label, must.encode().split(), text.encode().split()) for label, must, text in TEMPLATES]
+        self.templates = templates()
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for t, (_, _, words) in enumerate(self.templates):
             for place, word in enumerate(words):
@@ -103,7 +158,7 @@ class Index:
             near = sum(votes[t, start + d] for d in range(-TOLERANCE, TOLERANCE + 1))
             if near >= min(VOTES, len(template)):
                 share = self._share(words, template, start)
-                if share > max(LEAST - 1e-9, found.get(label, 0.0)) and self._stands(words, must, start, len(template)):
+                if share > max(LEAST - 1e-9, found.get(label, 0.0)) and self._stands(words, must, template, start):
                     found[label] = share
         return found
 
@@ -118,13 +173,15 @@ class Index:
         return hit / total if total else 0.0
 
     @staticmethod
-    def _stands(words: list[bytes], must: list[bytes], start: int, length: int) -> bool:
-        low, high = max(0, start - TOLERANCE), start + length + TOLERANCE
-        return any(words[at : at + len(must)] == must for at in range(low, high - len(must) + 1))
+    def _stands(words: list[bytes], must: list[bytes], template: list[bytes], start: int) -> bool:
+        """Whether the mandatory phrase is there, with no negation that the template lacks before it."""
+        low, high = max(0, start - TOLERANCE), start + len(template) + TOLERANCE
+        places = (at for at in range(low, high - len(must) + 1) if words[at : at + len(must)] == must)
+        return any(not negated(words, must, template, at) for at in places)
 
 
 def vocabulary() -> set[bytes]:
-    return {word for _, _, text in TEMPLATES for word in text.encode().split()}
+    return {word for _, _, words in templates() for word in words}
 
 
 def licence_idf(df: DataFrame, text_column: str = "text") -> dict[bytes, float]:

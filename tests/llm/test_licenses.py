@@ -1,7 +1,8 @@
+import random
 import re
 
 import pytest
-from gaugeloft.llm.licenses import BASE_PHRASES, Index, scan_licences, vocabulary, words_of
+from gaugeloft.llm.licenses import BASE_PHRASES, LEAST, TOLERANCE, Index, licence_idf, negated, scan_licences, templates, vocabulary, words_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -49,6 +50,20 @@ def test_base_of_all_documents(table):
         ("Licensed under the Apache License, Version 2.0", "apache-2.0", 0),
         ("This Source Code Form is subject to all terms of the Mozilla Public License v. 2.0", "mpl-2.0", 0),
         ("cc by cc by cc", "cc-by", 2),
+        ("// SPDX-License-Identifier: MIT", "mit", 0),
+        ("# SPDX-License-Identifier: BSD-3-Clause\nimport os", "bsd", 0),
+        ("SPDX-License-Identifier: GPL-2.0-or-later", "gpl", 0),
+        ("subject to the Mozilla Public License, version 2.0.", "mpl-2.0", 0),
+        ("License: Apache-2.0", "apache-2.0", 0),
+        ("GNU LGPL v2.1", "lgpl", 0),
+        ("CC0 1.0 Universal", "cc0", 0),
+        ("Redistribution and use in source and binary forms, with or without", "bsd", 0),
+        ("Boost Software License - Version 1.0 - August 17th, 2003", "bsl-1.0", 0),
+        ("made available under the terms of the Eclipse Public License 2.0", "epl", 0),
+        ("This is not released under the MIT license.", "", 0),
+        ("It isn't licensed under the Apache License, Version 2.0", "", 0),
+        ("You may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "apache-2.0", 0),
+        ("MIT students met Apache pilots in the Mozilla office; no license", "", 0),
         ("", "", 0),
         (None, "", 0),
     ],
@@ -70,3 +85,36 @@ def test_odd_documents_and_clashing_names(make_docs, odd_docs):
 def test_a_word_repeated_very_often():
     words = words_of("license " * 50_000 + "released under the MIT license")
     assert Index(dict.fromkeys(vocabulary(), 1.0)).labels(words) == {"mit": 1.0}
+
+
+def brute_labels(words, idf):
+    """Every template laid on every place."""
+    found = {}
+    for label, must, template in templates():
+        total = sum(idf[w] for w in template)
+        for start in range(-len(template), len(words) + 1):
+            near = lambda at: words[max(0, at - TOLERANCE) : max(0, at + TOLERANCE + 1)]
+            share = sum(idf[w] for i, w in enumerate(template) if w in near(start + i)) / total
+            if share < LEAST - 1e-9:
+                continue
+            places = [i for i in range(max(0, start - TOLERANCE), start + len(template) + TOLERANCE - len(must) + 1) if words[i : i + len(must)] == must]
+            if any(not negated(words, must, template, at) for at in places):
+                found[label] = max(found.get(label, 0.0), share)
+    return found
+
+
+def test_labels_by_brute_force(table):
+    docs = table("documents")
+    idf = licence_idf(docs)
+    index = Index(idf)
+    rng = random.Random(6)
+    texts = [words_of(r["text"])[:400] for r in docs.limit(40).collect()]
+    for _, must, template in templates() * 2:
+        edited = [w for w in template if rng.random() > 0.1] if rng.random() < 0.5 else template
+        filler = [rng.choice([b"some", b"word", b"license", b"the", b"of", b"not"]) for _ in range(12)]
+        texts.append(filler[:6] + edited + filler[6:])
+    for words in texts:
+        want, got = brute_labels(words, idf), index.labels(words)
+        assert got.keys() == want.keys(), (words, got, want)
+        assert all(got[label] <= want[label] + 1e-9 for label in got)
+        assert all(got[label] == pytest.approx(want[label], abs=0.25) for label in got)
