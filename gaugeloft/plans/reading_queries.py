@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from gaugeloft.sinks import keyed
 from gaugeloft.sinks.messages import fan_out
 from gaugeloft.sources.readings import read_readings_csv, rejected_lines, scan_lines
 from gaugeloft.sources.topics import RAW_TOPIC, SILVER_TOPIC, as_envelope, first_messages, read_topic, replay, store_messages
-from gaugeloft.streaming.pipelines import run_gold_incremental, stored_topic
+from gaugeloft.streaming.pipelines import run_gold, run_gold_incremental, stored_topic
 
 START, END = datetime(2024, 1, 5), datetime(2024, 1, 20)
 LOW_FREQUENCY = 0.15
@@ -105,6 +105,22 @@ def gold_incremental(spark, sf_dir):
     return naive(keyed.read_gold(spark, gold_root).drop("processed_time"))
 
 
+def gold_processed_time(spark, sf_dir):
+    """Gold rows bear the time at which their run stored them."""
+    root, begin = fresh_dir(spark, "gold"), datetime.now(timezone.utc)
+    run_gold(silver(spark, sf_dir, "1 hour"), root, 0)
+    end = datetime.now(timezone.utc)
+    stored = keyed.read_gold(spark, root)
+    return stored.select("vm_id", F.col("processed_time").between(utc_time(begin).cast("timestamp"), utc_time(end).cast("timestamp")).alias("stamped"))
+
+
+def silver_quarantine(spark, sf_dir):
+    """Windows whose key is missing are set aside when silver is stored."""
+    root = fresh_dir(spark, "silver")
+    keyed.upsert_silver(silver(spark, sf_dir, "1 day").withColumn("vm_id", F.nullif(F.col("vm_id"), F.lit(KNOWN_VM))), root, 0)
+    return rounded(keyed.read_quarantine(spark, root).select("vm_id", "window_start", "window_end", "avg_max_cpu", "is_window_anomaly"))
+
+
 def gold_corrected_windows(spark, sf_dir):
     """Silver that is corrected after it was counted: three versions, a run of gold after each, the last one backdated."""
     silver_root, gold_root = fresh_dir(spark, "silver"), fresh_dir(spark, "gold")
@@ -382,6 +398,8 @@ QUERIES = {
         gold_incremental,
         sql_gold(sql_silver("1 hour", rounded=False), "window_end <= TIMESTAMP '2024-01-20'", end="TIMESTAMP '2024-01-20'"),
     ),
+    "gold_processed_time": (gold_processed_time, "SELECT DISTINCT user_id AS vm_id, TRUE AS stamped FROM events WHERE ts IS NOT NULL"),
+    "silver_quarantine": (silver_quarantine, f"SELECT * REPLACE (NULL::BIGINT AS vm_id) FROM ({sql_silver('1 day')}) WHERE vm_id = {KNOWN_VM}"),
     "gold_corrected_windows": (
         gold_corrected_windows,
         sql_gold(sql_silver("1 hour", rounded=False), "window_end <= TIMESTAMP '2024-01-20'", end="TIMESTAMP '2024-01-20'"),

@@ -16,7 +16,7 @@ from gaugeloft.plans.reading_queries import SQL_READINGS, rounded
 from gaugeloft.plans.tables import LINE_ORDER, naive, readings, runs, table
 from gaugeloft.session import fresh_dir, settle
 from gaugeloft.sinks import keyed
-from gaugeloft.sources.topics import CHUNK_TOPIC, COMPLETION_TOPIC, as_envelope, read_topic
+from gaugeloft.sources.topics import CHUNK_TOPIC, COMPLETION_TOPIC, as_envelope, chunk_messages, read_topic
 from gaugeloft.streaming.quantiles import RANK_ERROR, read_quantiles, run_outliers
 from gaugeloft.streaming.stateful import file_completeness, read_late, run_completeness, run_silver_keeping_late
 
@@ -113,7 +113,20 @@ def stream_outliers(spark, sf_dir) -> DataFrame:
     return shares.select("tenant_id", "n", *near)
 
 
+def chunk_rejected(spark, sf_dir) -> DataFrame:
+    """What a topic of chunks holds besides: messages without points, and some that are no messages at all."""
+    points = F.when(F.col("event_id") % 7 != 0, F.array(F.struct(F.col("value").alias("Z"))))
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("tenant_id"), F.col("event_id").cast("string").alias("file_name"), points.alias("points"))
+    messages = as_envelope(to_message(rows.drop("event_id"), "tenant_id"), CHUNK_TOPIC)
+    text = F.col("value").cast("string")
+    number = F.get_json_object(text, "$.file_name").cast("bigint")
+    broken = messages.withColumn("value", F.when(number % 11 == 0, F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text).cast("binary"))
+    rejected = chunk_messages(broken)[1]
+    return rejected.groupBy(F.col("key").cast("string").alias("tenant_id")).agg(F.count("*").alias("messages"))
+
+
 QUERIES = {
+    "chunk_rejected": (chunk_rejected, "SELECT event_type AS tenant_id, count(*) AS messages FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0 GROUP BY 1"),
     "failure_templates": (
         templates,
         """WITH errors AS (
