@@ -150,7 +150,7 @@ def test_lookup_in_a_rewritten_table_skips_files(spark, path):
     start, end = datetime(2024, 1, 1), datetime(2024, 1, 2, 23)
     mine = lambda root: windows_of(keyed.read_silver(spark, root), "vm0123", start, end)
     assert mine(f"{path}/new").count() == 8 == mine(f"{path}/old").count()
-    assert scanned_rows(mine(f"{path}/new")) <= len(rows) // 4 < scanned_rows(mine(f"{path}/old"))
+    assert scanned_rows(mine(f"{path}/new")) <= len(rows) // 2 < scanned_rows(mine(f"{path}/old"))
     assert scanned_rows(windows_of(keyed.read_silver(spark, f"{path}/new"), "vm0123x", start, end)) == 0
 
 
