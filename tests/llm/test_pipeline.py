@@ -7,7 +7,13 @@ import sys
 from pathlib import Path
 
 import corpus_pipeline
+import numpy as np
+from gaugeloft.llm.decontamination import MATCH, align, needed_words
+from gaugeloft.llm.licenses import words_of
+from gaugeloft.llm.mixing import mix
+from gaugeloft.llm.shingles import word_hashes
 
+from test_minhash import brute
 from tests_support import SF
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -31,6 +37,45 @@ def test_stages(spark, table):
     assert sorted(r["row_number"] for r in rows) == list(range(len(rows)))
 
 
+def plain_leaks(texts, items):
+    """Documents that any item aligns with, cell by cell over the whole text, without seeds."""
+    out = set()
+    for doc, text in texts.items():
+        held = word_hashes(words_of(text))
+        for item in items:
+            words = word_hashes(words_of(item))
+            if 3 <= len(words) and len(held) and np.isin(words, held).sum() >= needed_words(len(words)):
+                if align(words, held)[0] >= MATCH * needed_words(len(words)):
+                    out.add(doc)
+                    break
+    return out
+
+
+def test_stages_by_brute_force(spark, table):
+    """Each stage on its own input against a plain version of its rule."""
+    stages = dict(corpus_pipeline.STAGES)
+    docs = table("documents")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    sizes = {d: len((t or "").encode().lower().split()) + 1 for d, t in texts.items()}
+    ids = lambda df: {r["doc_id"] for r in df.select("doc_id").collect()}
+    groups = brute(list(texts.items()), 5)
+    assert ids(stages["near_duplicates"](spark, docs, SF)) == {d for d, n, least, kept in groups if kept}
+    items = [r["text"] for r in table("benchmark").collect()]
+    assert ids(stages["decontamination"](spark, docs, SF)) == texts.keys() - plain_leaks(texts, items)
+    mixed = ids(stages["mixing"](spark, docs, SF))
+    kept = {r["doc_id"]: (r["kept"], r["probability"]) for r in mix(docs, seed=corpus_pipeline.SEED, budget=corpus_pipeline.BUDGET).collect()}
+    assert mixed == {d for d, (k, _) in kept.items() if k}
+    expected = sum(p * sizes[d] for d, (_, p) in kept.items())
+    spread = sum(p * (1 - p) * sizes[d] ** 2 for d, (_, p) in kept.items()) ** 0.5
+    assert abs(expected - corpus_pipeline.BUDGET * sum(sizes.values())) < 0.02 * expected and abs(sum(sizes[d] for d in mixed) - expected) < 4 * spread
+    dealt = stages["sharding"](spark, docs, SF).collect()
+    shards = {}
+    for r in dealt:
+        shards.setdefault(r["shard"], []).append(r["slot"])
+    assert {r["doc_id"] for r in dealt} == texts.keys() and all(sorted(s) == list(range(len(s))) for s in shards.values())
+    assert max(map(len, shards.values())) - min(map(len, shards.values())) <= 1
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, SF)
     assert {"doc_id", "text", "shard", "slot"} <= set(out.columns) and out.count() > 20
@@ -46,8 +91,8 @@ def test_entry_without_this_package(tmp_path):
     assert done.returncode == 0, done.stderr
 
 
-def test_all_eleven_are_registered():
+def test_all_are_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
