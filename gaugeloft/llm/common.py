@@ -12,6 +12,11 @@ from gaugeloft.session import pin_utc
 from gaugeloft.storage import ship_package
 
 
+#: Rows of a batch between Spark and a Python worker, for operators that take whole texts.
+BATCH_ROWS = 500
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -22,6 +27,17 @@ def workers(df: DataFrame) -> DataFrame:
     return df
 
 
+def short_batches(df: DataFrame) -> DataFrame:
+    """Call before running Python over texts: a batch, held in the JVM and in the worker at once, has few of them.
+
+    It is a setting of the session, which stays; a smaller one is left as it is.
+    """
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(ARROW_ROWS)) <= BATCH_ROWS:
+        conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    return df
+
+
 def fresh(name: str) -> str:
     """A column name that no input has."""
     return f"__{name}_{uuid.uuid4().hex[:12]}"

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeloft.llm.common import fresh, put, text_of, workers
+from gaugeloft.llm.common import fresh, put, short_batches, text_of, workers
 from gaugeloft.operators.joins import join_small
 from gaugeloft.session import settle
 
@@ -117,7 +117,7 @@ class Evidence:
 
     def __init__(self, df: DataFrame, text: Column, declared: Column, address: Column, languages: Sequence[str]):
         self.names = [*languages, UNKNOWN]
-        self.table = log_likelihoods(trigram_counts(workers(df), text, declared, languages))
+        self.table = log_likelihoods(trigram_counts(short_batches(workers(df)), text, declared, languages))
         host = host_of(address)
         scores = scored(text, self.table)
         judged = df.select(host.alias("host"), declared.alias("declared"), scores.alias("scores"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeloft.llm.common import fresh, mixed, put, text_of, workers
+from gaugeloft.llm.common import fresh, mixed, put, short_batches, text_of, workers
 from gaugeloft.llm.components import components
 from gaugeloft.llm.shingles import shingle_set
 from gaugeloft.session import settle
@@ -174,7 +174,7 @@ class NearDuplicates:
     def __init__(self, docs: DataFrame, id_column: str, text_column: str, shingle: int, percent: int):
         self.size, self.percent = shingle, percent
         text = text_of(text_column)
-        self.docs = workers(docs).select(F.col(f"`{id_column}`").cast("bigint").alias("id"), text_key(text).alias("text_key"), text.alias("text"))
+        self.docs = short_batches(workers(docs)).select(F.col(f"`{id_column}`").cast("bigint").alias("id"), text_key(text).alias("text_key"), text.alias("text"))
         self.signed = settle(self.docs.mapInArrow(_signer(shingle), SIGNED))
         known = self.signed.filter("set_key IS NOT NULL").groupBy("set_key")
         self.classes = settle(known.agg(F.min("text_key").alias("text_key"), F.min("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("bits").alias("bits")))
