@@ -6,10 +6,12 @@ they have looked at it.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -28,6 +30,10 @@ COMPLETE, SHORT, TIMED_OUT = "complete", "short", "timed out"
 # Fixed value: how long a file may wait for what it lacks.
 PATIENCE = "10 minutes"
 
+# Spark starts a state processor on the driver, too, in a process that gets none of the shipped files: the
+# processors travel as code, so that nothing there has to import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class _WindowSums(StatefulProcessor):
     """Sums and counts of the open windows of a key; rows of windows that the watermark has closed go out as they are."""

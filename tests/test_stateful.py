@@ -4,13 +4,17 @@ import json
 import math
 import os
 import random
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
 import pytest
 from gaugeloft.operators.concurrency import throughput_by_concurrency, with_concurrency
 from gaugeloft.operators.points import chunk_in_order
 from gaugeloft.sinks import keyed
+from gaugeloft.streaming import stateful
 from gaugeloft.streaming.stateful import file_completeness, read_late, run_completeness, run_silver_keeping_late
+from pyspark import cloudpickle
 
 T0 = datetime(2024, 1, 1)
 STAMP = 1_700_000_000
@@ -74,6 +78,17 @@ def test_every_row_is_counted_or_kept_as_late(spark, path):
     assert all(s["numRowsDroppedByWatermark"] == 0 for p in query.recentProgress for s in p["stateOperators"])
 
 
+@pytest.mark.parametrize("processor", [stateful._WindowSums(60_000_000, ["vm_id"]), stateful._FileProgress(1000)])
+def test_processors_load_where_the_package_is_missing(path, processor):
+    """As in the process on the driver that Spark starts them in."""
+    with open(f"{path}/processor", "wb") as out:
+        out.write(cloudpickle.dumps(processor))
+    code = "import pickle, sys; p = pickle.load(open('processor', 'rb')); assert 'gaugeloft' not in sys.modules; print(type(p).__name__)"
+    bare = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=path, env=bare, capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == type(processor).__name__, done.stderr
+
+
 def message(at, **data):
     return {"value": json.dumps(data), "timestamp": text(at)}
 
