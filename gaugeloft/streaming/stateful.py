@@ -12,13 +12,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from gaugeloft.functions.measures import ANOMALY_THRESHOLD, is_over
 from gaugeloft.operators.silver import WATERMARK, WINDOW
 from gaugeloft.schemas import CHUNK_MESSAGE, COMPLETION_MESSAGE
+from gaugeloft.session import SETTINGS
 from gaugeloft.sinks import keyed
 from gaugeloft.sinks.messages import fan_out
 from gaugeloft.storage import ship_package
@@ -35,6 +36,22 @@ PATIENCE = "10 minutes"
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+STORE = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _start(spark: SparkSession, writer: DataStreamWriter, bounded: bool) -> StreamingQuery:
+    """Starts a query whose state processors need RocksDB, also in a session that is set to another store.
+
+    A query copies the session's settings when it starts, so the session gets its own back at once.
+    """
+    kept = spark.conf.get(STORE)
+    spark.conf.set(STORE, SETTINGS[STORE])
+    try:
+        return (writer.trigger(availableNow=True) if bounded else writer).start()
+    finally:
+        spark.conf.set(STORE, kept)
+
+
 class _WindowSums(StatefulProcessor):
     """Sums and counts of the open windows of a key; rows of windows that the watermark has closed go out as they are."""
 
@@ -168,7 +185,7 @@ def run_silver_keeping_late(
 
     stream = window_average_and_late(readings, keys, time, value, **options)
     writer = stream.writeStream.foreachBatch(each).outputMode("update").option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if bounded else writer).start()
+    return _start(readings.sparkSession, writer, bounded)
 
 
 def read_late(spark, late_root: str) -> DataFrame:
@@ -265,4 +282,4 @@ def file_completeness(chunks: DataFrame, completions: DataFrame, patience: str =
 def run_completeness(verdicts: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, bounded: bool = False) -> StreamingQuery:
     """Hands every micro-batch of verdicts to ``sink`` with its number."""
     writer = verdicts.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if bounded else writer).start()
+    return _start(verdicts.sparkSession, writer, bounded)

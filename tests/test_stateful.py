@@ -89,6 +89,19 @@ def test_processors_load_where_the_package_is_missing(path, processor):
     assert done.stdout.strip() == type(processor).__name__, done.stderr
 
 
+def test_a_session_with_another_state_store(spark, path):
+    kept = spark.conf.get(stateful.STORE)
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(stateful.STORE, other)
+    try:
+        send(f"{path}/in", 0, [{"vm_id": "a", "event_time": text(0), "max_cpu": 1.0}])
+        run_late(spark, path)
+        assert spark.conf.get(stateful.STORE) == other
+    finally:
+        spark.conf.set(stateful.STORE, kept)
+    assert [r.vm_id for r in keyed.read_silver(spark, f"{path}/silver").collect()] == ["a"]
+
+
 def message(at, **data):
     return {"value": json.dumps(data), "timestamp": text(at)}
 
