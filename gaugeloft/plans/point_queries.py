@@ -76,9 +76,9 @@ def totals_per_file(spark, sf_dir):
 def points_table(spark, sf_dir):
     """Chunks stored twice, as after a replay; the ids make both writes the same rows."""
     root = fresh_dir(spark, "points")
-    rows = stored_points(unchunk(settle(point_chunks(spark, sf_dir))), ["chunk_number"])
-    keyed.upsert_points(rows, root, 0)
-    keyed.upsert_points(rows, root, 1)
+    chunks = settle(point_chunks(spark, sf_dir))
+    keyed.upsert_chunks(chunks, root, 0)
+    keyed.upsert_chunks(chunks, root, 1)
     return keyed.read_points(spark, root)
 
 
@@ -256,11 +256,11 @@ def _chunk_envelopes(spark, sf_dir) -> DataFrame:
 def chunk_topics(spark, sf_dir):
     """Chunk and completion topics consumed side by side; points counted per file against the announced totals."""
     stored, roots = fresh_dir(spark, "two-topics"), [fresh_dir(spark, n) for n in ("points", "stats")]
-    chunks = settle(_chunk_envelopes(spark, sf_dir))
+    _chunk_envelopes(spark, sf_dir).write.parquet(f"{stored}/chunks")
+    chunks = read_topic(spark, CHUNK_TOPIC, "parquet", f"{stored}/chunks")
     announced = file_totals(chunk_messages(chunks)[0]).select(
         "*", F.lit("completed").alias("status"), F.lit(30.0).alias("file_size_mb"), F.lit(15.0).alias("processing_time_sec")
     )
-    chunks.write.parquet(f"{stored}/chunks")
     as_envelope(to_message(announced, "tenant_id"), COMPLETION_TOPIC).write.parquet(f"{stored}/completions")
     data = read_topic(spark, CHUNK_TOPIC, "parquet", f"{stored}/chunks", stream=True)
     meta = read_topic(spark, COMPLETION_TOPIC, "parquet", f"{stored}/completions", stream=True)

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
+from gaugeloft.functions.naming import file_id
 from gaugeloft.operators.joins import fits_broadcast
 from gaugeloft.operators.latest import has_null_key, latest
-from gaugeloft.operators.points import latest_measurements
+from gaugeloft.operators.points import latest_measurements, stored_points, unchunk
 from gaugeloft.session import settle
 
 VERSION = "batch_id"
@@ -44,11 +45,13 @@ def write_version(
     sort_by: list[str | Column] | None = None,
     rebalance: bool = True,
     looked_up: list[str] | None = None,
+    **options: str,
 ) -> None:
     """Stores one version in a single pass. Rows with a null in the key go to a folder of their own.
 
     Partition folders are filled through a rebalance, which splits a large tenant or day over
     several tasks and packs small ones together. It can be left out where tasks hold few folders.
+    ``options`` are those of the files.
     """
     folders = [REJECTED, *(partition_by or [])]
     marked = df.withColumn(REJECTED, has_null_key(keys).cast("int"))
@@ -57,7 +60,7 @@ def write_version(
     if sort_by:
         marked = marked.sortWithinPartitions(*folders, *sort_by)
     blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in looked_up or []}
-    marked.write.mode("overwrite").options(**blooms).partitionBy(*folders).parquet(f"{root}/versions/{VERSION}={version}")
+    marked.write.mode("overwrite").options(**blooms, **options).partitionBy(*folders).parquet(f"{root}/versions/{VERSION}={version}")
 
 
 def _read(spark: SparkSession, path: str, base: str) -> DataFrame:
@@ -185,7 +188,8 @@ def upsert_points(df: DataFrame, root: str, batch: int, rebalance: bool = True)
     their manifest is there, so a batch that is being written or failed half-way shows nothing. The
     manifest is read off one column of the files just written: a row per 10,000 points or so.
     """
-    write_version(df, root, batch, POINT_KEYS, ["tenant_id", "file_id"], rebalance=rebalance)
+    # Ids are half of a stored point, and their hexadecimal digits take half the room with an entropy coder.
+    write_version(df, root, batch, POINT_KEYS, ["tenant_id", "file_id"], rebalance=rebalance, compression="zstd")
     spark = df.sparkSession
     try:
         written = _read(spark, f"{root}/versions/{VERSION}={batch}", f"{root}/versions")
@@ -197,6 +201,14 @@ def upsert_points(df: DataFrame, root: str, batch: int, rebalance: bool = True)
     held.write.mode("overwrite").parquet(f"{root}/chunks/{VERSION}={batch}")
 
 
+def upsert_chunks(chunks: DataFrame, root: str, batch: int) -> None:
+    """The points of whole chunks, a row each. They are spread over tasks before they get ids of their own, which
+    hardly compress and would make up most of that shuffle."""
+    named = chunks.withColumn("file_id", file_id(F.col("tenant_id"), F.col("file_name")))
+    points = unchunk(named).hint("rebalance", "tenant_id", "file_id")
+    upsert_points(stored_points(points, ["chunk_number"]), root, batch, rebalance=False)
+
+
 def read_points(spark: SparkSession, root: str) -> DataFrame:
     """The points of the last version of each chunk."""
     return _current_points(spark, root).drop("chunk_number")

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from gaugeloft.operators import points
 from gaugeloft.operators.latest import latest
 from gaugeloft.operators.joins import fits_broadcast, join_small
+from gaugeloft.operators.points import stored_points, unchunk
 from gaugeloft.operators.ranks import dense_position, exact_percentiles
+from gaugeloft.sinks import keyed
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -123,3 +125,25 @@ def test_join_small_beyond_the_broadcast_limit(spark, monkeypatch):
     assert not fits_broadcast(side)
     large = sorted(map(tuple, join_small(df, side, ["k"], "left").collect()), key=lambda r: r[1])
     assert large == small
+
+
+def test_points_are_spread_before_they_get_ids(spark, path):
+    points = [{"X": 1.0, "Y": None, "Z": 2.0}] * 3
+    chunks = spark.createDataFrame(
+        [("A", "a.las", 0, points), ("A", "a.las", 1, points[:1]), ("007", "b.las", 0, points[:2])],
+        "tenant_id string, file_name string, chunk_number int, points array<struct<X: double, Y: double, Z: double>>",
+    )
+    stored, write = [], keyed.upsert_points
+    keyed.upsert_points = lambda df, *rest, **options: (stored.append((df, options)), write(df, *rest, **options))
+    try:
+        for batch in (0, 1):
+            keyed.upsert_chunks(chunks, path, batch)
+    finally:
+        keyed.upsert_points = write
+    for df, options in stored:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not options["rebalance"] and "RebalancePartitions" in plan
+        assert "point_id" not in plan[plan.index("RebalancePartitions") :]
+    found = keyed.read_points(spark, path).orderBy("tenant_id", "point_id").collect()
+    want = stored_points(unchunk(chunks), []).orderBy("tenant_id", "point_id").collect()
+    assert [r.asDict() for r in found] == [r.asDict() for r in want] and len(found) == 6
