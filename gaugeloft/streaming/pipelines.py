@@ -15,7 +15,7 @@ from gaugeloft.functions.naming import stem_of
 from gaugeloft.operators import gold as gold_ops
 from gaugeloft.operators.joins import join_small
 from gaugeloft.operators.latest import latest
-from gaugeloft.operators.points import CHUNK_POINTS, file_stats, in_chunks, stored_points, unchunk
+from gaugeloft.operators.points import CHUNK_POINTS, file_stats, in_chunks, stored_points
 from gaugeloft.operators.quality import stop_on_drift
 from gaugeloft.operators.runs import chunk_record, completed_record, ingestion_record
 from gaugeloft.operators.silver import WATERMARK, alert_rate, row_alerts, silver_text
@@ -256,7 +256,7 @@ def run_chunk_topics(
             log_batch(chunk_record(df, F.current_timestamp(), seconds), f"{log_path}/consumer", number)
 
         last = latest(batch, [*LABELS, "chunk_number"], sent_order(batch))
-        fan_out(last, [lambda df: keyed.upsert_points(stored_points(unchunk(df), ["chunk_number"]), points_root, number), *([log] if log_path else [])])
+        fan_out(last, [lambda df: keyed.upsert_chunks(df, points_root, number), *([log] if log_path else [])])
 
     def each_completion(batch: DataFrame, number: int) -> None:
         last = latest(batch.filter(F.col("status") == "completed"), LABELS, sent_order(batch))

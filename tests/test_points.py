@@ -14,6 +14,7 @@ from gaugeloft.operators.joins import fits_broadcast, join_small
 from gaugeloft.operators.points import stored_points, unchunk
 from gaugeloft.operators.ranks import dense_position, exact_percentiles
 from gaugeloft.sinks import keyed
+from gaugeloft.sources.topics import chunk_messages
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -147,3 +148,10 @@ def test_points_are_spread_before_they_get_ids(spark, path):
     found = keyed.read_points(spark, path).orderBy("tenant_id", "point_id").collect()
     want = stored_points(unchunk(chunks), []).orderBy("tenant_id", "point_id").collect()
     assert [r.asDict() for r in found] == [r.asDict() for r in want] and len(found) == 6
+
+
+def test_a_message_is_parsed_once(spark):
+    messages = spark.createDataFrame([(b'{"points": [{"X": 1.0}]}', 0), (b'{"points": [', 1), (None, 2), (b'{"tenant_id": "A"}', 3)], "value binary, offset bigint")
+    kept, rest = chunk_messages(messages)
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert [r["offset"] for r in kept.collect()] == [0] and sorted(r["offset"] for r in rest.collect()) == [1, 2, 3]
