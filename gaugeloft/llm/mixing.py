@@ -11,12 +11,13 @@ probabilities that are cut at 1 and calibrated to the same targets again, as far
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,10 +32,8 @@ OTHER = "other"
 ROUNDS = 60
 INNER = 200
 TOLERANCE = 1e-9
-#: Calibrating under caps: rounds at most, the error in shares that ends them, steps that fit a source's factor.
-CAPPED_ROUNDS, CAPPED_TOLERANCE, CAPPED_STEPS = 40, 1e-4, 12
-#: Up to so many sources, one row of some forty numbers each, are calibrated on the driver; more of them in Spark jobs.
-FEW_SOURCES = 20_000
+#: Calibrating under caps: rounds at most, and the error in shares that ends them.
+CAPPED_ROUNDS, CAPPED_TOLERANCE = 400, 1e-4
 PIECE = 1 << 18
 
 _gap = re.compile(rb"[\x20\x09-\x0d]")
@@ -169,7 +168,8 @@ def cap(cells: DataFrame, names: Sequence[str], raked: Raked, budget: float) ->
     """Probabilities ``min(1, factor * factor * factor)`` that take a share ``budget`` of all tokens, in expectation.
 
     Starting from raked factors, every round brings each margin to its share of the budget, as capped cells leave
-    it; a margin value of which there are too few tokens is taken whole, and the others make up for it. The
+    it, the sources exactly. Sources, however few or many, stay in Spark: a round is one job over them, of which only
+    the language x topic table reaches the driver. A margin value of which there are too few tokens is taken whole, and the others make up for it. The
     targets are the raked shares. ``residual`` is what the language and topic shares are still off by.
     """
     shape = (len(names), TOPICS)
@@ -196,37 +196,28 @@ def cap(cells: DataFrame, names: Sequence[str], raked: Raked, budget: float) ->
         level = now
     wanted = F.least("tokens", F.col("raked") / whole * goal * level)
     b, c = raked.languages * (goal / whole), raked.topics.copy()
+    goals = workers(sources).select("source", "n", wanted.alias("wanted"))
 
-    def factor() -> Column:
-        weights = F.array(*[F.lit(float(x)) for x in np.outer(b, c).ravel()])
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in _numbers(batch, size)], ["n", "wanted"])
 
-        def taken(f: Column) -> Column:
-            return F.aggregate(F.zip_with("n", weights, lambda n, w: n * F.least(F.lit(1.0), f * w)), F.lit(0.0), lambda a, x: a + x)
-
-        first = F.coalesce("factor", F.lit(0.0)).cast("double")
-        return F.aggregate(F.sequence(F.lit(1), F.lit(CAPPED_STEPS)), first, lambda f, _: F.when(taken(f) > 0, f * wanted / taken(f)).otherwise(f))
-
-    few = None
-    if sources.count() <= FEW_SOURCES:
-        rows = sources.select("source", "n", "factor", wanted.alias("wanted")).collect()
-        held_n, goals = np.array([r["n"] for r in rows]).reshape(len(rows), size), np.array([r["wanted"] for r in rows], dtype=float)
-        few = np.array([r["factor"] or 0.0 for r in rows], dtype=float)
+    # A round is a job of a few milliseconds over blocks of sources, without a plan of its own.
+    blocks = settle(goals.mapInArrow(packed, "n binary, wanted binary")).rdd
 
     def held_now() -> np.ndarray:
         """Tokens taken per language and topic, once the sources' factors have followed the others."""
-        nonlocal few
         w = np.outer(b, c).ravel()
-        if few is None:
-            fitted = sources.select("n", factor().alias("f"))
-            row = fitted.agg(*[F.sum(F.get("n", F.lit(i)) * F.least(F.lit(1.0), F.col("f") * float(w[i]))) for i in range(size)]).first()
-            return np.array([x or 0.0 for x in row]).reshape(shape)
-        for _ in range(CAPPED_STEPS):
-            taken = (held_n * np.minimum(1.0, few[:, None] * w)).sum(axis=1)
-            few = np.divide(few * goals, taken, out=few.copy(), where=taken > 0)
-        return (held_n * np.minimum(1.0, few[:, None] * w)).sum(axis=0).reshape(shape)
+
+        def taken(row: Row) -> np.ndarray:
+            n = np.frombuffer(row["n"]).reshape(-1, size)
+            return (n * np.minimum(1.0, source_factors(n, np.frombuffer(row["wanted"]), w)[:, None] * w)).sum(axis=0)
+
+        return blocks.map(taken).treeAggregate(np.zeros(size), np.add, np.add).reshape(shape)
 
     residual = 0.0
-    for _ in range(CAPPED_ROUNDS if few is None else 10 * CAPPED_ROUNDS):
+    for _ in range(CAPPED_ROUNDS):
         held = held_now()
         residual = max(np.abs(held.sum(axis=1) - want_b).max(), np.abs(held.sum(axis=0) - want_c).max()) / (goal or 1.0)
         if residual <= CAPPED_TOLERANCE:
@@ -234,11 +225,35 @@ def cap(cells: DataFrame, names: Sequence[str], raked: Raked, budget: float) ->
         step_b = np.divide(want_b, held.sum(axis=1), out=np.ones(shape[0]), where=held.sum(axis=1) > 0)
         held = np.minimum(held * step_b[:, None], supply)
         b, c = b * step_b, c * np.divide(want_c, held.sum(axis=0), out=np.ones(shape[1]), where=held.sum(axis=0) > 0)
-    if few is not None:
-        held_now()
-        found = sources.sparkSession.createDataFrame([(r["source"], float(f)) for r, f in zip(rows, few, strict=True)], T.StructType([sources.schema["source"], T.StructField("factor", T.DoubleType())]))
-        return Raked(found, b, c, 1.0, float(residual))
-    return Raked(settle(sources.select("source", factor().alias("factor"))), b, c, 1.0, float(residual))
+    last = np.outer(b, c).ravel()
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("source"), pa.array(source_factors(*_numbers(batch, size), last))], ["source", "factor"])
+
+    found = goals.mapInArrow(fitted, T.StructType([sources.schema["source"], T.StructField("factor", T.DoubleType())]))
+    return Raked(settle(found), b, c, 1.0, float(residual))
+
+
+def source_factors(n: np.ndarray, wanted: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The factor of each source (row) at which ``sum(n * min(1, factor * weights))`` is what is wanted, or all that can be had.
+
+    With some cells taken whole and the others by weight the sum is a line in the factor, and the true sum is the least
+    of these lines. Those that take the heaviest cells whole are enough, so the factor is the largest of their roots.
+    """
+    order = np.argsort(weights, kind="stable")
+    order = order[weights[order] > 0]
+    held = n[:, order]
+    partly, slope = held.cumsum(axis=1), (held * weights[order]).cumsum(axis=1)
+    left_out = np.maximum(held.sum(axis=1) - wanted, 0.0)
+    roots = np.divide(partly - left_out[:, None], slope, out=np.zeros_like(slope), where=slope > 0)
+    return roots.max(axis=1, initial=0.0)
+
+
+def _numbers(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Columns ``n`` (rows of ``size`` numbers) and ``wanted`` of a batch."""
+    n = batch.column("n").flatten().to_numpy(zero_copy_only=False).reshape(-1, size)
+    return n, batch.column("wanted").to_numpy(zero_copy_only=False)
 
 
 def _fit(wanted: np.ndarray, held: np.ndarray) -> np.ndarray:

@@ -3,9 +3,10 @@ from collections import Counter
 import numpy as np
 import pytest
 from gaugeloft.llm import mixing
-from gaugeloft.llm.mixing import LANGUAGES, OTHER, TOPICS, Margins, cap, count_words, mix, rake, within_supply
+from gaugeloft.llm.mixing import LANGUAGES, OTHER, TOPICS, Margins, Raked, cap, count_words, mix, rake, source_factors, within_supply
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 
 def shares(rows, key, weight):
@@ -110,6 +111,44 @@ def test_capped_probabilities_by_brute_force(spark):
     assert max(abs(got[c] - want[c]) for c in cells) < 0.02 and got["rare", 1, 2] == pytest.approx(1.0, abs=1e-3)
 
 
+def test_many_sources_are_calibrated_as_few_are(spark):
+    """3,400 copies of each of six sources get what the six get alone."""
+    r = np.random.default_rng(3)
+    shape, names = (6, 3, TOPICS), [*LANGUAGES, OTHER]
+    numbers = np.where(r.random(shape) < 0.4, r.integers(1, 900, shape), 0)
+    cells = [(f"s{s}", int(l), int(t), int(numbers[s, l, t])) for s, l, t in zip(*numbers.nonzero(), strict=True)]
+    few = spark.createDataFrame(cells, "source string, language int, topic int, tokens long")
+    factors = spark.createDataFrame([(f"s{s}", s + 1.0) for s in range(6)], "source string, factor double")
+    found = []
+    for copies in (1, 3_400):
+        copied = lambda df, k=copies: df.crossJoin(spark.range(k)).withColumn("source", F.concat_ws("-", "source", "id")).drop("id")
+        sampled = cap(copied(few), names, Raked(copied(factors), np.array([1.0, 2, 4, 1, 1]), np.array([1.0, 1, 2, 2, 3, 3, 1, 1]), 1.0, 0.0), 0.5)
+        assert sampled.residual < 1e-4
+        factor = {row["source"]: row["factor"] for row in sampled.sources.collect()}
+        assert len(factor) == 6 * copies
+        found.append({(s, l, t): [min(1.0, factor[f"{s}-{k}"] * sampled.languages[l] * sampled.topics[t]) for k in range(copies)] for s, l, t, _ in cells})
+    alone, among_many = found
+    for cell, (p,) in alone.items():
+        assert min(among_many[cell]) == pytest.approx(p, abs=1e-9) and max(among_many[cell]) == pytest.approx(p, abs=1e-9)
+
+
+def test_source_factors_by_bisection():
+    r = np.random.default_rng(4)
+    n = np.where(r.random((300, 12)) < 0.6, r.integers(0, 50, (300, 12)), 0).astype(float)
+    weights = np.array([0.0, 3, 3, 0.2, 1e-9, 7, 1, 0.5, 0.5, 2, 40, 1e-3])
+    can = n[:, 1:].sum(axis=1)
+    wanted = can * r.choice([0.0, 0.01, 0.3, 0.9, 1.0, 1.2], 300)
+    low, high = np.zeros(300), np.full(300, 1e10)
+    for _ in range(200):
+        middle = (low + high) / 2
+        short = (n * np.minimum(1.0, middle[:, None] * weights)).sum(axis=1) < np.minimum(wanted, can)
+        low, high = np.where(short, middle, low), np.where(short, high, middle)
+    got = source_factors(n, wanted, weights)
+    plain, mine = (np.minimum(1.0, f[:, None] * weights) * (n > 0) for f in (high, got))
+    assert np.abs(plain - mine).max() < 1e-6 and not got[can == 0].any()
+    assert source_factors(np.zeros((2, 3)), np.zeros(2), np.ones(3)).tolist() == source_factors(np.ones((2, 3)), np.ones(2), np.zeros(3)).tolist() == [0.0, 0.0]
+
+
 def test_short_values_are_taken_whole():
     out = within_supply(np.array([0.5, 0.3, 0.2]), np.array([10.0, 100.0, 100.0]), 100.0)
     assert out.tolist() == pytest.approx([10.0, 54.0, 36.0])
