@@ -8,10 +8,12 @@ from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
+from gaugeloft.llm import mixing
 from gaugeloft.llm.decontamination import MATCH, align, needed_words
 from gaugeloft.llm.licenses import words_of
-from gaugeloft.llm.mixing import mix
+from gaugeloft.llm.mixing import LANGUAGES, TOPICS, Raked, mix
 from gaugeloft.llm.shingles import word_hashes
+from pyspark.sql import functions as F
 
 from test_minhash import brute
 from tests_support import SF
@@ -37,6 +39,27 @@ def test_stages(spark, table):
     assert sorted(r["row_number"] for r in rows) == list(range(len(rows)))
 
 
+def test_mixing_of_many_sources_is_that_of_few(spark, make_docs, monkeypatch):
+    """The stage samples 3,400 copies of six sources with the probabilities that the six get alone."""
+    r = np.random.default_rng(3)
+    shape = (6, 3, TOPICS)
+    numbers = np.where(r.random(shape) < 0.4, r.integers(2, 20, shape), 0)
+    words = ["w2", "w1", "w19", "w14", "w0", "w7", "w3", "w4"]  # a word of each topic
+    few = make_docs([(i, f"{words[t]} " * int(numbers[s, l, t] - 1), LANGUAGES[l], f"s{s}") for i, (s, l, t) in enumerate(zip(*numbers.nonzero(), strict=True))])
+
+    def given(cells, names, margins):
+        factor = F.substring("source", 2, 1).cast("double") + 1
+        return Raked(cells.select("source", factor.alias("factor")).distinct(), np.array([1.0, 2, 4, 1, 1]), np.array([1.0, 1, 2, 2, 3, 3, 1, 1]), 1.0, 0.0)
+
+    monkeypatch.setattr(mixing, "rake", given)
+    alone = {x["doc_id"]: x["probability"] for x in mix(few, budget=corpus_pipeline.BUDGET).collect()}
+    assert 0 < min(alone.values()) < 0.1
+    many = few.crossJoin(spark.range(3_400)).withColumns({"source": F.concat_ws("-", "source", "id"), "doc_id": F.col("doc_id") * 3_400 + F.col("id")}).drop("id")
+    uniform = F.shiftrightunsigned(F.xxhash64(F.lit(corpus_pipeline.SEED), "doc_id", "text"), 11) / float(1 << 53)
+    want = {x["doc_id"] for x in many.select("doc_id", uniform.alias("u")).collect() if x["u"] < alone[x["doc_id"] // 3_400]}
+    assert {x["doc_id"] for x in corpus_pipeline.mix_sources(spark, many, "").select("doc_id").collect()} == want
+
+
 def plain_leaks(texts, items):
     """Documents that any item aligns with, cell by cell over the whole text, without seeds."""
     out = set()
