@@ -13,6 +13,7 @@ from gaugeloft.llm.decontamination import MATCH, align, needed_words
 from gaugeloft.llm.licenses import words_of
 from gaugeloft.llm.mixing import LANGUAGES, TOPICS, Raked, mix
 from gaugeloft.llm.shingles import word_hashes
+from gaugeloft.operators import joins
 from pyspark.sql import functions as F
 
 from test_minhash import brute
@@ -60,6 +61,23 @@ def test_mixing_of_many_sources_is_that_of_few(spark, make_docs, monkeypatch):
     assert {x["doc_id"] for x in corpus_pipeline.mix_sources(spark, many, "").select("doc_id").collect()} == want
 
 
+def test_mixing_is_the_same_by_either_join(spark, make_docs, monkeypatch):
+    """The stage keeps the same documents whether the table of sources is broadcast or, as if it were large, shuffled."""
+    docs = make_docs([(i // 2, f"some words of text number {i % 90} " * (1 + i % 5), LANGUAGES[i % 3], f"s{i % 4}" if i % 7 else None) for i in range(400)])
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before, kept = spark.conf.get(threshold), []
+    spark.conf.set(threshold, "-1")
+    try:
+        for rows, join in ((joins.MAX_BROADCAST_ROWS, "BroadcastHashJoin"), (-1, "SortMergeJoin")):
+            monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", rows)
+            out = corpus_pipeline.mix_sources(spark, docs, "")
+            assert join in out._jdf.queryExecution().executedPlan().toString()
+            kept.append(sorted(r["doc_id"] for r in out.select("doc_id").collect()))
+    finally:
+        spark.conf.set(threshold, before)
+    assert kept[0] == kept[1] and 0 < len(kept[0]) < docs.count()
+
+
 def plain_leaks(texts, items):
     """Documents that any item aligns with, cell by cell over the whole text, without seeds."""
     out = set()
